@@ -14,7 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_CARRY = "__carry"
+_CARRIED = "__carried"
+_IS_CARRY = "__is_carry"
 
 
 def carry_value(
@@ -56,16 +57,16 @@ def carry_value(
         pick(F.when(present, F.col(value)), F.when(present, rank)).alias(value)
     )
     carry = (
-        carry_value(ends, keys, chunks[:-1], [chunks[-1]], value, _CARRY, ahead=ahead)
-        .where(F.col(_CARRY).isNotNull())
-        .select(*group, F.col(_CARRY).alias(value), F.lit(True).alias(_CARRY))
+        carry_value(ends, keys, chunks[:-1], [chunks[-1]], value, _CARRIED, ahead=ahead)
+        .where(F.col(_CARRIED).isNotNull())
+        .select(*group, F.col(_CARRIED).alias(value), F.lit(True).alias(_IS_CARRY))
     )
-    rows = df.withColumn(_CARRY, F.lit(False))
+    rows = df.withColumn(_IS_CARRY, F.lit(False))
     return (
         rows.unionByName(carry, allowMissingColumns=True)
         .withColumn(out, nearest)
-        .where(~F.col(_CARRY))
-        .drop(_CARRY)
+        .where(~F.col(_IS_CARRY))
+        .drop(_IS_CARRY)
     )
 
 

@@ -83,32 +83,44 @@ def order_fields(d: Dialect) -> dict[str, str]:
     }
 
 
-def price_text(number: str, cents: str) -> str:
-    """``cents`` hundredths written in one of seven number formats."""
-    whole = _whole(f"{cents} / 100.0")
-    decimals = f"lpad({_text(f'{cents} % 100')}, 2, '0')"
-    thousands, rest = _whole(f"{cents} / 100000.0"), f"lpad({_text(f'{whole} % 1000')}, 3, '0')"
+LINE_COLUMNS = (
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+    f"{_whole('l_extendedprice / l_quantity * 100')} AS cents",
+)
+
+
+def lines_sql(columns: tuple[str, ...] = LINE_COLUMNS) -> str:
+    """Order lines with their unit price in hundredths, split into the parts a text needs."""
+    cents = ", ".join(columns)
+    whole = _whole("cents / 100.0")
+    thousands = _whole("whole / 1000.0")
+    return (
+        f"SELECT *, {_text('whole')} AS whole_text, {_text(thousands)} AS thousands,"
+        f" lpad({_text('whole % 1000')}, 3, '0') AS rest, lpad({_text('cents % 100')}, 2, '0') AS decimals"
+        f" FROM (SELECT *, {whole} AS whole FROM (SELECT {cents} FROM lineitem) AS priced) AS split"
+    )
+
+
+def price_text(number: str = "l_linenumber") -> str:
+    """The unit price of a line of :func:`lines_sql` in one of seven number formats."""
 
     def grouped(sign: str, mark: str) -> str:
         return (
-            f"CASE WHEN {whole} >= 1000 THEN {thousands} || '{sign}' || {rest} ELSE {_text(whole)} END"
-            f" || '{mark}' || {decimals}"
+            f"CASE WHEN whole >= 1000 THEN thousands || '{sign}' || rest ELSE whole_text END"
+            f" || '{mark}' || decimals"
         )
 
     return (
-        f"CASE {number} % 7 WHEN 0 THEN {_text(whole)} || '.' || {decimals}"
+        f"CASE {number} % 7 WHEN 0 THEN whole_text || '.' || decimals"
         f" WHEN 1 THEN {grouped(',', '.')}"
         f" WHEN 2 THEN {grouped('.', ',')}"
-        f" WHEN 3 THEN {_text(whole)} || ',' || {decimals}"
+        f" WHEN 3 THEN whole_text || ',' || decimals"
         f" WHEN 4 THEN {grouped(chr(39) * 2, '.')}"
         f" WHEN 5 THEN {grouped('٬', '٫')}"
-        f" ELSE ' ' || {whole} || ',' || {decimals} || ' ' END"
+        f" ELSE ' ' || whole_text || ',' || decimals || ' ' END"
     )
 
 
-CENTS = _whole("l_extendedprice / l_quantity * 100")
-
-
 def currency_text(d: Dialect, shift: int) -> str:
     raw = d.pick(RAW_CURRENCIES, f"(o_custkey + {shift}) % {len(RAW_CURRENCIES)}")
     return f"CASE WHEN o_orderkey % 2 = 1 THEN ' ' || {raw} || ' ' ELSE {raw} END"
@@ -121,7 +133,7 @@ def cart_items(d: Dialect) -> list[tuple[str, dict[str, str]]]:
         "product_id": _text("l_partkey"),
         "currency": currency_text(d, 0),
         "amount": _text("CAST(l_quantity AS BIGINT)"),
-        "price": price_text("l_linenumber", CENTS),
+        "price": price_text(),
     }
     gift = {
         "product_id": "'gift-' || l_suppkey",
@@ -185,6 +197,10 @@ def _columns(fields: dict[str, str]) -> list:
     return [F.expr(text).alias(name) for name, text in fields.items()]
 
 
+def priced_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(lines_sql().replace("FROM lineitem", "FROM {lines}"), lines=table(spark, sf_dir, "lineitem"))
+
+
 def order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One checkout document per order, without its cart."""
     return table(spark, sf_dir, "orders").select(*_columns(order_fields(SPARK)))
@@ -196,9 +212,7 @@ def checkout_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     A document per line keeps carts small however many lines an order has; grouping by order
     happens in the jobs, after pre-aggregation.
     """
-    lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice"
-    )
+    lines = priced_lines(spark, sf_dir)
     items = [
         F.when(F.expr(condition), F.struct(*_columns(fields))) for condition, fields in cart_items(SPARK)
     ]

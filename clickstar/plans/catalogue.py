@@ -62,9 +62,12 @@ def landed_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def build_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    return Warehouse(spark, scratch_path(spark, "warehouse"), TODAY).build(
-        adapter.checkout_events(spark, sf_dir),
-        raw_locations(spark, sf_dir),
+    built = Warehouse(spark, scratch_path(spark, "warehouse"), TODAY)
+    # The landed documents feed five tables; they are written once, each job then prunes columns.
+    events = built.save("raw_mongo", adapter.checkout_events(spark, sf_dir), audit=False)
+    return built.build(
+        events,
+        locate.ip_locations(events, adapter.ip_ranges(spark, sf_dir)),
         adapter.raw_products(spark, sf_dir),
         landed_rates(spark, sf_dir),
         seeds.currency_mapping(spark),
@@ -247,9 +250,8 @@ def fx_rejected_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def price_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-        F.expr(adapter.price_text("l_linenumber", adapter.CENTS)).alias("raw_price"),
+    lines = adapter.priced_lines(spark, sf_dir).select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.expr(adapter.price_text()).alias("raw_price")
     )
     return lines.withColumn("price", number(price_functions.parse_price(F.col("raw_price"))))
 
@@ -257,9 +259,9 @@ def price_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def price_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prices with a blank inside cannot be read: how many per line number."""
-    text = F.expr(adapter.price_text("l_linenumber", adapter.CENTS))
+    text = F.expr(adapter.price_text())
     spaced = F.when(F.col("l_quantity") > 25, F.replace(text, F.lit(","), F.lit(" , "))).otherwise(text)
-    lines = table(spark, sf_dir, "lineitem").select("l_linenumber", spaced.alias("raw_price"))
+    lines = adapter.priced_lines(spark, sf_dir).select("l_linenumber", spaced.alias("raw_price"))
     price = price_functions.parse_price(F.col("raw_price"), strict=False)
     return lines.groupBy("l_linenumber").agg(
         F.count_if(price_functions.bad_price(F.col("raw_price"))).alias("n_bad"), F.count(price).alias("n_good")

@@ -70,8 +70,8 @@ place AS (
 LINES = f"""
 item AS (
   SELECT ord.*, l_partkey::VARCHAR AS product_id, {RAW} AS raw_currency, CAST(l_quantity AS BIGINT) AS amount,
-         {adapter.CENTS}::HUGEINT * 10000000 AS nano
-  FROM ord JOIN lineitem ON l_orderkey = o_orderkey
+         cents::HUGEINT * 10000000 AS nano
+  FROM ord JOIN ({adapter.lines_sql()}) ON l_orderkey = o_orderkey
   UNION ALL
   SELECT ord.*, 'gift-' || l_suppkey, {RAW_GIFT}, 1, ((l_suppkey % 90 + 10) * 100 + 50)::HUGEINT * 10000000
   FROM ord JOIN lineitem ON l_orderkey = o_orderkey WHERE l_linenumber % 3 = 0
@@ -180,13 +180,13 @@ month AS (
   SELECT year(date_key) AS y, month(date_key) AS m, any_value(monthname(date_key)) AS month_name,
          count(DISTINCT order_id) AS orders, sum(usd) AS revenue
   FROM fact WHERE date_key <> DATE '1970-01-01' GROUP BY 1, 2),
-both AS (SELECT *, lag(revenue) OVER w AS before, lag(orders) OVER w AS orders_before FROM month WINDOW w AS (ORDER BY y, m))
+pair AS (SELECT *, lag(revenue) OVER w AS before, lag(orders) OVER w AS orders_before FROM month WINDOW w AS (ORDER BY y, m))
 SELECT y AS year_number, m AS month_number, month_name, CAST(make_date(y, m, 1) AS VARCHAR) AS month_start_date,
        printf('%04d-%02d', y, m) AS year_month, orders AS total_orders, revenue::DOUBLE AS current_month_revenue,
        before::DOUBLE AS previous_month_revenue, (revenue - coalesce(before, 0))::DOUBLE AS mom_growth_amount,
        round(CAST((revenue - before)::DOUBLE / nullif(before, 0)::DOUBLE AS DECIMAL(28,9)) * 100, 2)::DOUBLE AS mom_growth_rate_pct,
        orders - coalesce(orders_before, 0) AS mom_order_growth_amount
-FROM both"""
+FROM pair"""
 
 ORACLE["aov_summary"] = f"""{STAR}
 SELECT sum(usd * sales_amount)::DOUBLE AS Revenue, count(DISTINCT order_id) AS Orders,
@@ -243,9 +243,9 @@ SELECT event_id, last_value(CASE WHEN event_type = 'error' THEN value END IGNORE
 FROM events"""
 
 ORACLE["dq_active_record"] = f"""WITH {EVENTS}, {VERSIONS},
-both AS (SELECT count(DISTINCT device_id) AS total_unique_customers,
+pair AS (SELECT count(DISTINCT device_id) AS total_unique_customers,
   count(DISTINCT CASE WHEN later IS NULL AND user_agent <> 'error' THEN device_id END) AS total_active_customers FROM version)
-SELECT * FROM both WHERE total_unique_customers <> total_active_customers"""
+SELECT * FROM pair WHERE total_unique_customers <> total_active_customers"""
 
 CALENDAR = """{day}, dayofweek({d}) + 1 AS day_of_week, dayname({d}) AS day_name, dayofmonth({d}) AS day_of_month,
   dayofyear({d}) AS day_of_year, weekofyear({d}) AS week_of_year, month({d}) AS month_number, monthname({d}) AS month_name,
@@ -294,14 +294,14 @@ ORACLE["fx_rejected_quotes"] = f"""WITH {MAPPING}, {CODES}, {QUOTES}
 SELECT CAST(day AS VARCHAR) AS date, 2 * count(*) AS n_rejected FROM quote WHERE currency_code IN ('CHF', 'JPY') GROUP BY 1"""
 
 # Functions ----------------------------------------------------------------------------------
-PRICE = adapter.price_text("l_linenumber", adapter.CENTS)
 ORACLE["price_parse"] = f"""
-SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, {PRICE} AS raw_price,
-       ({adapter.CENTS} / 100.0)::DECIMAL(18,2)::DOUBLE AS price FROM lineitem"""
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, {adapter.price_text()} AS raw_price,
+       (cents / 100.0)::DECIMAL(18,2)::DOUBLE AS price FROM ({adapter.lines_sql()})"""
 
 ORACLE["price_rejects"] = f"""
 SELECT l_linenumber, count(*) FILTER (spaced) AS n_bad, count(*) FILTER (NOT spaced) AS n_good
-FROM (SELECT l_linenumber, l_quantity > 25 AND contains({PRICE}, ',') AS spaced FROM lineitem) GROUP BY 1"""
+FROM (SELECT l_linenumber, l_quantity > 25 AND contains({adapter.price_text()}, ',') AS spaced FROM ({adapter.lines_sql()}))
+GROUP BY 1"""
 
 ORACLE["epoch_parse"] = """
 WITH e AS (SELECT event_id, event_id % 6 AS kind, CAST(floor(epoch(ts)) AS BIGINT) AS s, date_trunc('second', ts) AS tm FROM events)

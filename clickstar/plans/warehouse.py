@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -62,6 +63,11 @@ class Warehouse:
             lateness=lateness,
         )
 
+    def together(self, *jobs: Callable[[], DataFrame]) -> list[DataFrame]:
+        """Run independent jobs at the same time; the cluster's scheduler shares its cores."""
+        with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+            return list(pool.map(lambda job: job(), jobs))
+
     def build(
         self, events: DataFrame, raw_location: DataFrame, raw_product: DataFrame, landed_rates: DataFrame,
         mapping: DataFrame, lateness: str = "drop",
@@ -70,21 +76,26 @@ class Warehouse:
 
         ``lateness`` is the rule for order lines that are not newer than the fact.
         """
-        customer = self.save("dim_customer", dims.dim_customer(events))
-        calendar = self.save("dim_date", dims.dim_date(events, self.today))
-        currency = self.save("dim_currency", dims.dim_currency(events, mapping))
-        store = self.save("dim_store", dims.dim_store(events))
-        product = self.save("dim_product", dims.dim_product(raw_product))
-        ips = self.save("stg_location", dims.located_ips(raw_location), audit=False)
-        location = self.save("dim_location", dims.dim_location(ips))
+        made = self.together(
+            lambda: self.save("dim_customer", dims.dim_customer(events)),
+            lambda: self.save("dim_date", dims.dim_date(events, self.today)),
+            lambda: self.save("dim_currency", dims.dim_currency(events, mapping)),
+            lambda: self.save("dim_store", dims.dim_store(events)),
+            lambda: self.save("dim_product", dims.dim_product(raw_product)),
+            lambda: self.save("stg_location", dims.located_ips(raw_location), audit=False),
+        )
+        customer, calendar, currency, store, product, ips = made
 
         known_currency = currency.where(F.col("currency_key") != -1)
         known_day = calendar.where(F.col("date_key") != F.lit(dims.UNKNOWN_DATE))
-        rates = self.increment(
-            "fact_exchange_rate", rates_to_base(landed_rates, known_currency, known_day),
-            ["date_key", "currency_key"], "date_key",
+        location, rates = self.together(
+            lambda: self.save("dim_location", dims.dim_location(ips)),
+            lambda: self.increment(
+                "fact_exchange_rate", rates_to_base(landed_rates, known_currency, known_day),
+                ["date_key", "currency_key"], "date_key",
+            ),
         )
-        fact = self.increment(
+        self.increment(
             "fact_sales_order_detail",
             sales.sales_fact(
                 sales.order_lines(events, ips), customer=customer, product=product, location=location,
@@ -94,8 +105,10 @@ class Warehouse:
             "time_stamp",
             lateness,
         )
-        for name, mart in self.mart_queries().items():
-            self.save(name, mart(), audit=False)
+        self.together(*[
+            lambda name=name, mart=mart: self.save(name, mart(), audit=False)
+            for name, mart in self.mart_queries().items()
+        ])
         return self
 
     def mart_queries(self) -> dict[str, Callable[[], DataFrame]]:

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -161,19 +163,21 @@ def rewrite_files(spark: SparkSession, source: str, destination: str, max_files:
     flagged = listed.join(done.withColumn("done", F.lit(True)), "name", "left").orderBy("path")
     files = (flagged.limit(max_files) if max_files is not None else flagged).collect()
 
-    groups: dict[str, list[str]] = {}
-    outcome: dict[str, tuple[str, str | None]] = {}
-    for row in files:
-        if row["done"]:
-            outcome[row["name"]] = ("skipped", None)
-            continue
+    def schema_of(path: str) -> tuple[str | None, str | None]:
         try:
-            schema = spark.read.parquet(row["path"]).schema.json()
-        except PySparkException as error:
-            outcome[row["name"]] = ("failed", f"{type(error).__name__}: {error}"[:2000])
-            continue
-        groups.setdefault(schema, []).append(row["path"])
-        outcome[row["name"]] = ("migrated", None)
+            return spark.read.parquet(path).schema.json(), None
+        except (PySparkException, Py4JJavaError) as error:
+            return None, f"{type(error).__name__}: {error}"[:2000]
+
+    pending = [row for row in files if not row["done"]]
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        footers = list(pool.map(schema_of, [row["path"] for row in pending]))
+    outcome: dict[str, tuple[str, str | None]] = {row["name"]: ("skipped", None) for row in files if row["done"]}
+    groups: dict[str, list[str]] = {}
+    for row, (schema, error) in zip(pending, footers):
+        outcome[row["name"]] = ("migrated", None) if error is None else ("failed", error)
+        if schema is not None:
+            groups.setdefault(schema, []).append(row["path"])
 
     for paths in groups.values():
         group = spark.read.parquet(*paths)
