@@ -108,6 +108,7 @@ def asof_lookup(
     key: str,
     start: str = "start_time",
     end: str = "end_time",
+    points: DataFrame | None = None,
     chunk_days: int = CHUNK_DAYS,
 ) -> DataFrame:
     """Left as-of join: add ``key`` of the version with ``start <= ts < end``, else NULL.
@@ -115,11 +116,12 @@ def asof_lookup(
     The versions of one entity must not overlap, as :func:`build_versions` guarantees.  Joining
     on the entity alone would compare every fact of a hot entity with all of its versions.
     Instead the distinct (entity, second) points are placed between the versions with bounded
-    windows, and the facts pick up the answer with a plain equality join.
+    windows, and the facts pick up the answer with a plain equality join.  ``points`` may name a
+    frame with all (entity, ts) pairs of the facts that is cheaper to read than the facts.
     """
     fact_entity, version_entity = on
-    needed = facts.where(F.col(fact_entity).isNotNull() & F.col(ts).isNotNull())
-    points = needed.select(
+    needed = facts if points is None else points
+    points = needed.where(F.col(fact_entity).isNotNull() & F.col(ts).isNotNull()).select(
         F.col(fact_entity).alias("entity"), F.col(ts).alias("at"), F.lit(1).alias("side")
     ).distinct()
     steps = versions.where(F.col(version_entity).isNotNull()).select(

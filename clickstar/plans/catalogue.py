@@ -20,7 +20,7 @@ from ..operators.lookup import lookup_key
 from ..session import configure, scratch_path
 from ..sources import files, harmonize, ledger, leaves, seeds
 from ..streaming import ingest, state_tables
-from . import adapter, dims, marts, sales
+from . import adapter, checks, dims, marts, sales
 from .adapter import table
 from .warehouse import Warehouse
 
@@ -61,11 +61,22 @@ def landed_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rates.pivot_rates(adapter.rate_quotes(spark, sf_dir), "seq")
 
 
+_LANDINGS: dict[tuple[str, str], DataFrame] = {}
+
+
+def landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The checkout documents as a landed table, written once per Spark application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LANDINGS:
+        path = scratch_path(spark, "raw_mongo")
+        files.write_documents(adapter.checkout_events(spark, sf_dir), path, per_file=1_000_000)
+        _LANDINGS[key] = files.read_documents(spark, path)
+    return _LANDINGS[key]
+
+
 def build_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    built = Warehouse(spark, scratch_path(spark, "warehouse"), TODAY)
-    # The landed documents feed five tables; they are written once, each job then prunes columns.
-    events = built.save("raw_mongo", adapter.checkout_events(spark, sf_dir), audit=False)
-    return built.build(
+    events = landing(spark, sf_dir)
+    return Warehouse(spark, scratch_path(spark, "warehouse"), TODAY).build(
         events,
         locate.ip_locations(events, adapter.ip_ranges(spark, sf_dir)),
         adapter.raw_products(spark, sf_dir),
@@ -133,7 +144,7 @@ def sales_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def order_lines_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = sales.order_lines(
-        adapter.checkout_events(spark, sf_dir), dims.located_ips(raw_locations(spark, sf_dir))
+        landing(spark, sf_dir), dims.located_ips(raw_locations(spark, sf_dir))
     )
     return lines.withColumns({"time_stamp": text_time("time_stamp"), "price": number("price")})
 
@@ -169,13 +180,16 @@ def scd2_asof_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def latest_value_before(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Previous error value of each user before every event."""
-    events = table(spark, sf_dir, "events").select(
-        "event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"),
-        F.when(F.col("event_type") == "error", F.col("value")).alias("error_value"),
-    ).withColumn("chunk", time_chunk(F.col("ts"), 1))
-    return carry_value(events, ["user_id"], ["chunk"], ["ts", "event_id"], "error_value", "last_error").select(
-        "event_id", "last_error"
+    """For each second in which a user did something: their last error value before it."""
+    seconds = (
+        table(spark, sf_dir, "events")
+        .select("event_id", "user_id", F.date_trunc("second", F.col("ts").cast("timestamp")).alias("at"), "event_type", "value")
+        .groupBy("user_id", "at")
+        .agg(F.max_by("value", F.when(F.col("event_type") == "error", F.col("event_id"))).alias("error_value"))
+        .withColumn("chunk", time_chunk(F.col("at"), 7))
+    )
+    return carry_value(seconds, ["user_id"], ["chunk"], ["at"], "error_value", "last_error").select(
+        "user_id", text_time("at").alias("at"), "last_error"
     )
 
 
@@ -203,7 +217,7 @@ def dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dim_currency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dims.dim_currency(adapter.checkout_events(spark, sf_dir), seeds.currency_mapping(spark))
+    return dims.dim_currency(landing(spark, sf_dir), seeds.currency_mapping(spark))
 
 
 # Exchange rates -----------------------------------------------------------------------------
@@ -225,11 +239,11 @@ def fx_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def fx_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = adapter.checkout_events(spark, sf_dir)
+    events = landing(spark, sf_dir)
     result = rates.rates_to_base(
         landed_rates(spark, sf_dir),
         dims.observed_currencies(events, seeds.currency_mapping(spark)),
-        dims.calendar(adapter.order_headers(spark, sf_dir), TODAY),
+        dims.calendar(events, TODAY),
     )
     return result.withColumn("date_key", F.col("date_key").cast("string"))
 
@@ -445,7 +459,7 @@ def attempt_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def value_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = dates.checkouts(adapter.checkout_events(spark, sf_dir))
+    events = dates.checkouts(landing(spark, sf_dir))
     currency = text_functions.blank_to_null(F.col("item.currency")).alias("raw_currency")
     return (
         events.select(F.explode("cart_products").alias("item"))
@@ -741,13 +755,13 @@ def batch_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _numbered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = adapter.browsing_events(spark, sf_dir).select("_id")
-    bucket = F.floor(F.col("_id").cast("bigint") / 1024)
-    return files.number_files(ids, "_id", bucket, 1500)
+    number = F.col("_id").cast("bigint")
+    return files.number_files(ids, "_id", [F.shiftright(number, 20), F.shiftright(number, 10)], 1500)
 
 
 @query
 def manifest_states(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The plan against a stored manifest that knows some batches, one of them differently."""
+    """The planned batches against a stored manifest that knows some, one of them differently."""
     plan = files.manifest(_numbered_events(spark, sf_dir), "_id")
     stored = plan.where(F.col("file_no") <= 3).withColumn(
         "document_count", F.col("document_count") + F.when(F.col("file_no") == 2, 1).otherwise(0)
@@ -910,6 +924,12 @@ def dq_table_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def dq_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rules of the star schema that some row breaks."""
+    return checks.check_warehouse(warehouse(spark, sf_dir)).where(F.col("violations") > 0)
+
+
 @query
 def masked_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = table(spark, sf_dir, "customer").select(

@@ -204,6 +204,15 @@ UNION ALL SELECT 'customer_key', 'not_null', count(*) FILTER (customer_key IS NU
 UNION ALL SELECT 'detail_key', 'unique', count(*) FROM (
   SELECT 1 FROM fact WHERE tm IS NOT NULL GROUP BY order_id, product_key, tm HAVING count(*) > 1)"""
 
+ORACLE["dq_warehouse"] = f"""{STAR},
+report AS (
+  SELECT 'detail_key' AS column_name, 'not_null' AS "check", count(*) FILTER (tm IS NULL) AS violations FROM fact
+  UNION ALL SELECT 'detail_key', 'unique', count(*) FROM (
+    SELECT 1 FROM fact WHERE tm IS NOT NULL GROUP BY order_id, product_key, tm HAVING count(*) > 1)
+  UNION ALL SELECT 'order_id, product_key, time_stamp', 'compound_unique', count(*) FROM (
+    SELECT 1 FROM fact GROUP BY order_id, product_key, tm HAVING count(*) > 1))
+SELECT 'fact_sales_order_detail' AS table_name, * FROM report WHERE violations > 0"""
+
 # Dimensions ---------------------------------------------------------------------------------
 EVENTS = f"""
 ev AS (
@@ -237,10 +246,13 @@ fact AS (SELECT event_id, user_id::VARCHAR AS device, tm + to_seconds((event_id
 SELECT event_id, coalesce(customer_key, -1) AS customer_key
 FROM fact LEFT JOIN version ON device = device_id AND moment >= tm AND (later IS NULL OR moment < later)"""
 
-ORACLE["latest_value_before"] = """
-SELECT event_id, last_value(CASE WHEN event_type = 'error' THEN value END IGNORE NULLS) OVER (
-  PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last_error
-FROM events"""
+ORACLE["latest_value_before"] = f"""
+WITH second AS (
+  SELECT user_id, date_trunc('second', ts) AS tm, max_by(value, event_id) FILTER (event_type = 'error') AS error_value
+  FROM events GROUP BY 1, 2)
+SELECT user_id, {stamp('tm')} AS "at", last_value(error_value IGNORE NULLS) OVER (
+  PARTITION BY user_id ORDER BY tm ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last_error
+FROM second"""
 
 ORACLE["dq_active_record"] = f"""WITH {EVENTS}, {VERSIONS},
 pair AS (SELECT count(DISTINCT device_id) AS total_unique_customers,

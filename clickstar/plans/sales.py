@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.ip import canonical_ip
 from ..functions.keys import UNKNOWN_KEY, surrogate_key
 from ..functions.price import NUMERIC, mean_numeric, parse_price
 from ..functions.text import blank_to_null, store_domain, trim_ws
@@ -48,22 +49,38 @@ def cart_lines(events: DataFrame, strict: bool = True) -> DataFrame:
     )
 
 
-def order_lines(events: DataFrame, raw_ips: DataFrame, strict: bool = True) -> DataFrame:
+def order_lines(
+    events: DataFrame, raw_ips: DataFrame, strict: bool = True, canonical: bool = False
+) -> DataFrame:
     """Cart items added up per order, product and currency, with the place of the ip.
 
     ``raw_ips`` is :func:`~.dims.located_ips`.  The cart is aggregated before the join, so the
-    join sees each line once.
+    join sees each line once.  Places are known by canonical addresses; ``canonical`` also finds
+    those of lines whose address is written differently.
     """
     lines = cart_lines(events, strict).groupBy(*ORDER_COLUMNS, "product_id", "raw_currency").agg(
         F.sum("amount").alias("amount"), mean_numeric(F.col("price")).alias("price")
     )
-    located = lines.join(raw_ips.select("ip", *PLACE_COLUMNS), "ip", "left")
+    ips = raw_ips.select(F.col("ip").alias("located_ip"), *PLACE_COLUMNS)
+    wanted = F.coalesce(canonical_ip(F.col("ip")), F.col("ip")) if canonical else F.col("ip")
+    located = lines.withColumn("wanted_ip", wanted).join(
+        ips, F.col("wanted_ip") == F.col("located_ip"), "left"
+    ).drop("wanted_ip", "located_ip")
     return located.withColumns({name: F.coalesce(name, F.lit(MISSING)) for name in PLACE_COLUMNS})
 
 
+def checkout_visits(events: DataFrame) -> DataFrame:
+    """Device and time of the checkouts: all that the customer lookup needs to know of them."""
+    return checkouts(events).select(
+        blank_to_null(F.col("device_id").cast("string")).alias("device"),
+        parse_epoch(F.col("time_stamp")).alias("time_stamp"),
+    )
+
+
 def sales_fact(
     lines: DataFrame,
     *,
+    visits: DataFrame,
     customer: DataFrame,
     product: DataFrame,
     location: DataFrame,
@@ -75,7 +92,8 @@ def sales_fact(
 ) -> DataFrame:
     """Order lines with dimension keys and the price in the base currency.
 
-    Lines are grouped while missing keys are still NULL, so all unknown products of an order
+    ``visits`` is :func:`checkout_visits` of the events that the lines come from.  Lines are
+    grouped while missing keys are still NULL, so all unknown products of an order
     form one line; prices are averaged without weights.
     """
     codes = mapping.select("raw_currency", "currency_code").join(
@@ -91,7 +109,7 @@ def sales_fact(
     keyed = lookup_key(keyed, calendar, {"day": "date_key"}, "date_key")
     versions = customer.where(F.col("customer_key") != UNKNOWN_KEY)
     keyed = asof_lookup(
-        keyed, versions, on=("device", "customer_device_id"), ts="time_stamp", key="customer_key"
+        keyed, versions, on=("device", "customer_device_id"), ts="time_stamp", key="customer_key", points=visits
     )
 
     keys = ["customer_key", "product_key", "location_key", "currency_key", "store_key"]

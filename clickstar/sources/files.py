@@ -40,31 +40,52 @@ def export_products(products: DataFrame, path: str, metadata: bool = True) -> No
     write_jsonl(products if metadata else products.drop("_crawl"), path, ["product_id"])
 
 
-def global_rank(df: DataFrame, order: str, bucket: Column, out: str = "rank") -> DataFrame:
+def _rows_before(sizes: DataFrame, levels: Sequence[str], size: str, out: str) -> DataFrame:
+    """Rows in earlier buckets: those of the same coarser bucket, plus those before that one."""
+    *coarse, fine = levels
+    earlier = Window.partitionBy(*coarse).orderBy(fine).rowsBetween(Window.unboundedPreceding, -1)
+    inside = sizes.withColumn(out, F.coalesce(F.sum(size).over(earlier), F.lit(0)))
+    if not coarse:
+        return inside
+    outer = sizes.groupBy(*coarse).agg(F.sum(size).alias(size))
+    before = _rows_before(outer, coarse, size, f"{out}_outer").drop(size)
+    return inside.join(before, coarse).withColumn(out, F.col(out) + F.col(f"{out}_outer")).drop(f"{out}_outer")
+
+
+def export_failures(ledger: DataFrame, path: str) -> None:
+    """The failure ledger as JSON lines ordered by product and URL."""
+    write_jsonl(ledger.withColumnRenamed("url", "failed_url"), path, ["product_id", "failed_url"])
+
+
+def global_rank(df: DataFrame, order: str, buckets: Sequence[Column], out: str = "rank") -> DataFrame:
     """1-based rank over the whole frame without a single-task sort.
 
-    ``bucket`` must rise with ``order`` and be of bounded size (for document ids: their leading
-    digits, which are a time).  Rows are numbered inside buckets and shifted by the number of
-    rows in earlier buckets.  It is a function of the data alone, so a retried task numbers alike.
+    ``buckets``, from coarse to fine, must rise with ``order``; the finest are of bounded size,
+    and so is the number of finer buckets in a coarser one (for document ids: more and more of
+    their leading digits, which are a time).  Rows are numbered inside the finest buckets and
+    shifted by the rows of earlier ones.  The rank is a function of the data alone, so a retried
+    task numbers alike.
     """
-    bucketed = df.withColumn("__bucket", bucket)
-    sizes = bucketed.groupBy("__bucket").agg(F.count("*").alias("__size"))
-    earlier = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = sizes.select("__bucket", F.coalesce(F.sum("__size").over(earlier), F.lit(0)).alias("__shift"))
-    inside = F.row_number().over(Window.partitionBy("__bucket").orderBy(order))
+    levels = [f"__bucket_{i}" for i in range(len(buckets))]
+    bucketed = df.withColumns(dict(zip(levels, buckets)))
+    sizes = bucketed.groupBy(*levels).agg(F.count("*").alias("__size"))
+    shifts = _rows_before(sizes, levels, "__size", "__shift").drop("__size")
+    inside = F.row_number().over(Window.partitionBy(*levels).orderBy(order))
     return (
         bucketed.withColumn("__inside", inside)
-        .join(shifts, "__bucket")
+        .join(shifts, levels)
         .withColumn(out, F.col("__inside") + F.col("__shift"))
-        .drop("__bucket", "__inside", "__shift")
+        .drop(*levels, "__inside", "__shift")
     )
 
 
-def number_files(df: DataFrame, order: str, bucket: Column, size: int = DOCUMENTS_PER_FILE, first: int = 1) -> DataFrame:
+def number_files(
+    df: DataFrame, order: str, buckets: Sequence[Column], size: int = DOCUMENTS_PER_FILE, first: int = 1
+) -> DataFrame:
     """Add ``file_no``: exact batches of ``size`` rows in order, the last one may be short."""
     if size < 1:
         raise ValueError("documents per file must be at least 1")
-    ranked = global_rank(df, order, bucket, "__rank")
+    ranked = global_rank(df, order, buckets, "__rank")
     return ranked.withColumn(
         "file_no", F.floor((F.col("__rank") - 1) / size).cast("bigint") + first
     ).drop("__rank")

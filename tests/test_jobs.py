@@ -324,6 +324,13 @@ def test_star_schema(spark, tmp_path):
     assert spark.table("dim_store").count() == 4
 
 
+def test_canonical_address_option(spark):
+    events = spark.createDataFrame([order("o1", str(T0), None, ip=" 1.1.1.1")], DOCUMENT)
+    ips = spark.createDataFrame([("1.1.1.1", "Berlin", "BE", "DE", "Germany")], f"ip string, {', '.join(c + ' string' for c in dims.PLACE_COLUMNS)}")
+    for canonical, city in ((False, "XNA"), (True, "Berlin")):
+        assert sales.order_lines(events, ips, canonical=canonical).first()["location_city_name"] == city
+
+
 def test_star_schema_increments(spark, tmp_path):
     root = str(tmp_path / "w")
     first = [order("o1", str(T0), [("p1", "€", "1", "10")])]
@@ -345,7 +352,7 @@ def test_fact_plan(spark):
     days = dims.dim_date(events)
     currency = dims.dim_currency(events, mapping)
     fact = sales.sales_fact(
-        sales.order_lines(events, ips), customer=dims.dim_customer(events), product=dims.dim_product(adapter.raw_products(spark, "/root/testdata/sf0.001")),
+        sales.order_lines(events, ips), visits=sales.checkout_visits(events), customer=dims.dim_customer(events), product=dims.dim_product(adapter.raw_products(spark, "/root/testdata/sf0.001")),
         location=dims.dim_location(ips), currency=currency, store=dims.dim_store(events), calendar=days, mapping=mapping,
         rates=rates.rates_to_base(catalogue.landed_rates(spark, "/root/testdata/sf0.001"), currency, days),
     )

@@ -91,8 +91,9 @@ def test_common_scalar(a, b, want):
 
 def test_exact_batches(spark):
     ids = spark.createDataFrame([(f"{i:024x}",) for i in (7, 3, 900, 12, 5)], "_id string")
-    bucket = F.conv(F.substring("_id", 20, 5), 16, 10).cast("bigint") / 16
-    numbered = files.number_files(ids, "_id", F.floor(bucket), 2)
+    number = F.conv(F.substring("_id", 10, 15), 16, 10).cast("bigint")
+    buckets = [F.shiftright(number, 8), F.shiftright(number, 2)]
+    numbered = files.number_files(ids, "_id", buckets, 2)
     planned = files.manifest(numbered, "_id")
     assert [r["document_count"] for r in planned.orderBy("file_no").collect()] == [2, 2, 1]
     state = files.load_state(planned, "data/").first()
@@ -102,7 +103,14 @@ def test_exact_batches(spark):
     states = files.compare_manifests(planned, changed.where("file_no > 1")).orderBy("file_no")
     assert [r["state"] for r in states.collect()] == ["new", "recovered", "conflict"]
     with pytest.raises(ValueError):
-        files.number_files(ids, "_id", F.floor(bucket), 0)
+        files.number_files(ids, "_id", buckets, 0)
+
+
+def test_rank_over_several_levels(spark):
+    ids = spark.range(0, 5000, 7).withColumn("id", (F.col("id") * 37) % 5003)
+    buckets = [F.shiftright("id", 9), F.shiftright("id", 6), F.shiftright("id", 3)]
+    got = [r["rank"] for r in files.global_rank(ids, "id", buckets).orderBy("id").collect()]
+    assert got == list(range(1, len(got) + 1))
 
 
 def test_remote_state_wins(spark):
