@@ -64,10 +64,9 @@ def new_products(events: DataFrame, known: DataFrame, order: str = "_id") -> Dat
 
 def discovery_counts(events: DataFrame, known: DataFrame, order: str = "_id") -> DataFrame:
     """One row: events scanned, products added."""
-    scanned = events.where(F.col("collection").isin(*PRODUCT_EVENTS)).agg(F.count("*").alias("scanned"))
-    added = new_products(events, known, order).agg(F.count("*").alias("added"))
-    one = F.lit(1).alias("__one")
-    return scanned.select("*", one).join(F.broadcast(added.select("*", one)), "__one").drop("__one")
+    added = new_products(events, known, order).agg(F.count("*")).scalar()
+    scanned = events.where(F.col("collection").isin(*PRODUCT_EVENTS))
+    return scanned.agg(F.count("*").alias("scanned")).select("scanned", added.alias("added"))
 
 
 def attempt_urls(products: DataFrame, candidates: DataFrame, template: str) -> DataFrame:

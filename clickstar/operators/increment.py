@@ -37,8 +37,7 @@ def newer_rows(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
     An empty target has no maximum and lets nothing through, as in SQL; the first load must not
     come here.
     """
-    mark = target.agg(F.max(key).alias("__mark"))
-    return source.join(F.broadcast(mark), F.col(key) > F.col("__mark"), "inner").drop("__mark")
+    return source.where(F.col(key) > target.agg(F.max(key)).scalar())
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -130,12 +130,8 @@ def ip_locations(events: DataFrame, ranges_v4: DataFrame, ranges_v6: DataFrame |
 
 def location_statistics(raw_ips: DataFrame, locations: DataFrame) -> DataFrame:
     """Scan counts plus rows written; a lookup here has no error outcome, so errors are 0."""
-    written = locations.agg(F.count("*").alias("written"))
-    scan = ip_scan_statistics(raw_ips)
-    # Two one-row frames, put side by side by an equal constant.
-    return (
-        scan.withColumn("__one", F.lit(1))
-        .join(F.broadcast(written.withColumn("__one", F.lit(1))), "__one")
-        .drop("__one")
-        .withColumn("lookup_errors", F.lit(0).cast("bigint"))
+    return ip_scan_statistics(raw_ips).select(
+        "*",
+        locations.agg(F.count("*")).scalar().alias("written"),
+        F.lit(0).cast("bigint").alias("lookup_errors"),
     )

@@ -73,18 +73,11 @@ def not_in(child: DataFrame, column: str, parent: DataFrame, field: str) -> Data
     empty.  Counting the parent first makes this a plain anti join, which can be shuffled, where
     a null-aware one must broadcast the parent.
     """
-    facts = parent.agg(
-        F.count("*").alias("__rows"), F.count_if(F.col(field).isNull()).alias("__nulls")
-    )
-    missing = child.join(
-        parent.select(F.col(field).alias(column)).distinct(), column, "left_anti"
-    ).select(*child.columns)
-    return (
-        missing.withColumn("__one", F.lit(1))
-        .join(F.broadcast(facts.withColumn("__one", F.lit(1))), "__one")
-        .where((F.col("__rows") == 0) | ((F.col("__nulls") == 0) & F.col(column).isNotNull()))
-        .drop("__one", "__rows", "__nulls")
-    )
+    known = parent.select(F.col(field).alias(column)).distinct()
+    size = parent.agg(F.count("*")).scalar()
+    nulls = parent.agg(F.count_if(F.col(field).isNull())).scalar()
+    missing = child.join(known, column, "left_anti").select(*child.columns)
+    return missing.where((size == 0) | ((nulls == 0) & F.col(column).isNotNull()))
 
 
 def masked_view(df: DataFrame, column: str, tag: str) -> DataFrame:
