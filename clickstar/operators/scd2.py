@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import surrogate_key
@@ -14,8 +14,9 @@ from .carry import carry_value, time_chunk
 FIRST_TIME = "1900-01-01 00:00:00"
 LAST_TIME = "9999-01-01 00:00:00"
 
-# Rows per (entity, chunk) stay below 28 days' worth of seconds after one row per second is left.
-CHUNK_DAYS = 28
+# With one row per second left, a (entity, chunk) group has at most 8 million rows, which one task
+# sorts with ease; most entities then have few chunks, hence few carry rows.
+CHUNK_DAYS = 91
 
 
 def _time(text: str) -> Column:
@@ -62,16 +63,23 @@ def build_versions(
     changes = carry_value(
         states, [entity], ["chunk"], ["start_time"], "state", "previous_state"
     ).where(~F.col("state").eqNullSafe(F.col("previous_state")))
-    starts = changes.select(entity, "chunk", "start_time", "state", F.col("start_time").alias("next"))
-    return carry_value(
-        starts, [entity], ["chunk"], ["start_time"], "next", "next_start", ahead=True
-    ).select(
-        surrogate_key(F.col(entity), iso_micros(F.col("start_time"))).alias(key),
-        entity,
-        *[F.col(f"state.{name}").alias(name) for name in attributes],
-        "start_time",
-        F.coalesce("next_start", _time(LAST_TIME)).alias("end_time"),
-        F.col("next_start").isNull().alias("is_current"),
+    # The changes are still grouped by (entity, chunk): the next one is found in place, and only
+    # the last one of a chunk needs the first change of the chunks behind it.
+    following = F.lead("start_time").over(Window.partitionBy(entity, "chunk").orderBy("start_time"))
+    heads = changes.groupBy(entity, "chunk").agg(F.min("start_time").alias("head"))
+    behind = carry_value(heads, [entity], [], ["chunk"], "head", "later", ahead=True).drop("head")
+    return (
+        changes.withColumn("following", following)
+        .join(behind, [entity, "chunk"], "left")
+        .withColumn("next_start", F.coalesce("following", "later"))
+        .select(
+            surrogate_key(F.col(entity), iso_micros(F.col("start_time"))).alias(key),
+            entity,
+            *[F.col(f"state.{name}").alias(name) for name in attributes],
+            "start_time",
+            F.coalesce("next_start", _time(LAST_TIME)).alias("end_time"),
+            F.col("next_start").isNull().alias("is_current"),
+        )
     )
 
 

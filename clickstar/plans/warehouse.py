@@ -57,7 +57,11 @@ class Warehouse:
         with_comments(full, COMMENTS).write.mode("overwrite").parquet(self.path(name))
         return self.table(name)
 
-    def increment(self, name: str, df: DataFrame, keys: list[str], mark: str, lateness: str = "drop") -> DataFrame:
+    def increment(
+        self, name: str, df: DataFrame, keys: list[str], mark: str, lateness: str = "drop", refresh: bool = False
+    ) -> DataFrame:
+        if refresh:
+            return self.save(name, df)
         return increment_table(
             self.spark, self.path(name), with_comments(with_audit(df, today=self.today), COMMENTS), keys, mark,
             lateness=lateness,
@@ -70,11 +74,12 @@ class Warehouse:
 
     def build(
         self, events: DataFrame, raw_location: DataFrame, raw_product: DataFrame, landed_rates: DataFrame,
-        mapping: DataFrame, lateness: str = "drop",
+        mapping: DataFrame, lateness: str = "drop", refresh: bool = False,
     ) -> "Warehouse":
         """Rebuild the dimensions, extend both facts, rebuild the marts.
 
-        ``lateness`` is the rule for order lines that are not newer than the fact.
+        ``lateness`` is the rule for order lines that are not newer than the fact; ``refresh``
+        builds the facts anew, as after a change of the mapping or of old rates.
         """
         made = self.together(
             lambda: self.save("dim_customer", dims.dim_customer(events)),
@@ -92,7 +97,7 @@ class Warehouse:
             lambda: self.save("dim_location", dims.dim_location(ips)),
             lambda: self.increment(
                 "fact_exchange_rate", rates_to_base(landed_rates, known_currency, known_day),
-                ["date_key", "currency_key"], "date_key",
+                ["date_key", "currency_key"], "date_key", refresh=refresh,
             ),
         )
         self.increment(
@@ -104,6 +109,7 @@ class Warehouse:
             ["order_id", "product_key", "time_stamp"],
             "time_stamp",
             lateness,
+            refresh,
         )
         self.together(*[
             lambda name=name, mart=mart: self.save(name, mart(), audit=False)

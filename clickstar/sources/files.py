@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -149,16 +150,23 @@ def load_report(df: DataFrame) -> DataFrame:
 
 
 def list_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """Files below a folder: path, name, size and modification time; contents are not read."""
+    """Files below a folder: path, relative name, size and modification time; no contents are read."""
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", pattern)
         .load(path)
-        .select("path", F.element_at(F.split("path", "/"), -1).alias("name"), "length", "modificationTime")
+        .select("path", name_below(path).alias("name"), "length", "modificationTime")
     )
 
 
+def name_below(folder: str) -> Column:
+    """Path of the file of each row relative to the folder that was read."""
+    tail = re.sub(r"^[A-Za-z][A-Za-z0-9+.\-]*:/*", "", folder).strip("/") + "/"
+    uri = F.col("_metadata.file_path")
+    return F.substring(uri, F.instr(uri, tail) + len(tail), F.length(uri))
+
+
 def check_rewrite_paths(source: str, destination: str) -> None:
     src, dst = source.rstrip("/"), destination.rstrip("/")
     if src == dst:
@@ -170,8 +178,8 @@ def check_rewrite_paths(source: str, destination: str) -> None:
 def rewrite_files(spark: SparkSession, source: str, destination: str, max_files: int | None = None) -> DataFrame:
     """Rewrite Parquet files with text leaves; returns source, status, rows, error per file.
 
-    Output keeps one folder per source file (``source_file=…``), which tells later runs what to
-    skip.  Files of equal schema are rewritten by one distributed job; a file whose footer cannot
+    Output keeps one folder per source file (``source_file=…``, its path below the source), which
+    tells later runs what to skip.  Files of equal schema are rewritten by one distributed job; a file whose footer cannot
     be read is reported as failed and does not stop the others.
     """
     check_rewrite_paths(source, destination)
@@ -202,9 +210,9 @@ def rewrite_files(spark: SparkSession, source: str, destination: str, max_files:
 
     for paths in groups.values():
         group = spark.read.parquet(*paths)
-        name = F.col("_metadata.file_name").alias("source_file")
-        texts = harmonize_frame(group).columns
-        rewritten = harmonize_frame(group.withColumn("source_file", name)).select(*texts, "source_file")
+        columns = harmonize_frame(group).columns
+        named = group.withColumn("source_file", name_below(source))
+        rewritten = harmonize_frame(named).select(*columns, "source_file")
         (
             rewritten.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")

@@ -279,14 +279,14 @@ def order(order_id, ts, cart, device="d1", store="1", url="https://x.de/c", ip="
     return (collection, order_id, device, "agent", None, None, store, url, ts, ip, cart)
 
 
-def star(spark, root, documents, lateness="drop"):
+def star(spark, root, documents, lateness="drop", refresh=False):
     events = spark.createDataFrame(documents, DOCUMENT)
     location = spark.createDataFrame([("1.1.1.1", "Berlin", "BE", "DE", "Germany", 1.0, 2.0), ("2.2.2.2", None, None, None, None, None, None)],
                                      "ip string, city_name string, region_name string, country_code string, country_name string, latitude double, longitude double")
     product = spark.createDataFrame([("p1", " Ring ", "s", None, "10", "5", None), ("p2", "Chain", None, "w", "1", "1", "1")],
                                     "product_id string, name string, sku string, gender string, price string, min_price string, max_price string")
     landed = spark.sql("SELECT '2020-06-04' AS date, 'USD' AS base, map('EUR', 0.5D) AS rates")
-    return Warehouse(spark, root, date(2021, 1, 1)).build(events, location, product, landed, seeds.currency_mapping(spark), lateness)
+    return Warehouse(spark, root, date(2021, 1, 1)).build(events, location, product, landed, seeds.currency_mapping(spark), lateness, refresh)
 
 
 T0 = 1591266086  # 2020-06-04 10:21:26
@@ -340,6 +340,7 @@ def test_star_schema_increments(spark, tmp_path):
     assert orders(star(spark, root, late_and_new)) == ["o1", "o2"]
     assert orders(star(spark, root, late_and_new)) == ["o1", "o2"]
     assert orders(star(spark, root, late_and_new, "merge")) == ["late", "o1", "o2"]
+    assert orders(star(spark, root, late_and_new[1:], refresh=True)) == ["late", "o2"]
 
 
 def test_fact_plan(spark):

@@ -128,11 +128,28 @@ def test_rewrite(spark, tmp_path):
     assert result == {"migrated": 2, "failed": 0}
     again = {r["status"] for r in files.rewrite_files(spark, str(source), str(target)).collect()}
     assert again == {"skipped", "failed"}
+    names = {r["source_file"].split("/")[0] for r in spark.read.parquet(str(target)).select("source_file").collect()}
+    assert names == {"x", "y"}
     for bad in (str(source), f"{source}/inner"):
         with pytest.raises(ValueError):
             files.rewrite_files(spark, str(source), bad)
 
 
+def test_rewrite_tells_equal_names_apart(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    for folder, rows in (("a b", 2), ("c", 3), ("c/d", 4)):
+        (tmp_path / "in" / folder).mkdir(parents=True)
+        pq.write_table(pa.table({"v": list(range(rows))}), tmp_path / "in" / folder / "1.parquet")
+    for source in (f"file://{tmp_path}/in/", str(tmp_path / "in")):
+        done = files.rewrite_files(spark, source, str(tmp_path / "out"))
+        assert sorted(r["rows"] for r in done.collect()) in ([2, 3, 4], [0, 0, 0])
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 9
+    first = files.rewrite_files(spark, str(tmp_path / "in"), str(tmp_path / "one"), max_files=1)
+    assert first.count() == 1
+
+
 def test_compliant_lists(spark, tmp_path):
     import pyarrow.parquet as pq
 
