@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import path_exists
+from ..session import cut_lineage, path_exists
 
 
 def after_mark(df: DataFrame, key: str, mark: object | None) -> DataFrame:
@@ -84,8 +84,11 @@ def increment_table(
         raise ValueError(f"source has repeated keys {list(keys)}")
 
     def write(df: DataFrame, mode: str) -> None:
-        writer = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
-        (writer.partitionBy(partition) if partition else writer).parquet(path)
+        if partition is None:
+            return df.write.mode(mode).parquet(path)
+        # Rows of one partition go to few tasks, a large partition to several.
+        writer = df.hint("rebalance", partition).write.mode(mode).partitionBy(partition)
+        writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 
     if not path_exists(spark, path):
         write(source, "overwrite")
@@ -99,7 +102,7 @@ def increment_table(
         if partition:
             touched = target.join(source.select(partition).distinct(), partition, "left_semi")
         # A reliable checkpoint: the files read here are the ones about to be replaced.
-        write(upsert(touched, source, keys).checkpoint(), "overwrite")
+        write(cut_lineage(upsert(touched, source, keys)), "overwrite")
     else:
         raise ValueError(f"unknown lateness {lateness!r}")
     return spark.read.parquet(path)

@@ -72,10 +72,9 @@ def rates_to_base(landed: DataFrame, currencies: DataFrame, dates: DataFrame, ba
         .join(dates.select("date_key"), "date_key")
         .select("date_key", "currency_key", F.try_divide(F.lit(1.0), F.col("rate_from_base")).alias("rate_to_usd"))
     )
-    own = (
-        dates.select("date_key", F.lit(base).alias("currency_code"))
-        .join(currencies.select("currency_code", "currency_key"), "currency_code")
-        .select("date_key", "currency_key", F.lit(1.0).alias("rate_to_usd"))
+    base_key = currencies.where(F.col("currency_code") == base).agg(F.max("currency_key")).scalar()
+    own = dates.select("date_key", base_key.alias("currency_key"), F.lit(1.0).alias("rate_to_usd")).where(
+        F.col("currency_key").isNotNull()
     )
     return (
         quoted.unionByName(own)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings every job relies on.  The number of shuffle partitions is left to the
 # cluster: AQE coalesces small ones, and a fixed number would be wrong at another scale.
@@ -43,18 +43,26 @@ def local_session(cpus: int = 8, app: str = "clickstar", **extra: str) -> SparkS
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that every executor can reach, taken from ``spark.checkpoint.dir``.
+    """Folder that every executor can reach: the one the cluster names for checkpoints.
 
-    Only a local session may fall back to a temporary folder of this machine.
+    Only a local session without one may fall back to a temporary folder of this machine.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="clickstar-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="clickstar-"))
+    return context.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """The frame computed once and kept in the shared folder, whatever happens to executors."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_dir(df.sparkSession))
+    return df.checkpoint()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
