@@ -52,10 +52,10 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
     and the merge is refused.
     """
     kept = target.join(source.select(*keys).distinct(), list(keys), "left_anti")
-    clashes = duplicate_keys(source, keys).join(target.select(*keys).distinct(), list(keys), "left_semi")
-    checked = source.join(
-        clashes.select(*keys, F.lit(True).alias("__clash")), list(keys), "left"
-    ).where(
+    # Few keys repeat, so they are the side to send to the target.
+    repeated = duplicate_keys(source, keys).select(*keys)
+    clashes = target.select(*keys).join(repeated, list(keys), "left_semi").distinct()
+    checked = source.join(clashes.withColumn("__clash", F.lit(True)), list(keys), "left").where(
         F.when(F.col("__clash"), F.raise_error(F.lit("two source rows match one target row")).cast("boolean"))
         .otherwise(True)
     ).select(*source.columns)
@@ -98,7 +98,8 @@ def increment_table(
     if lateness == "drop":
         write(after_mark(source, mark, high_water_mark(target, mark)), "append")
     elif lateness == "merge":
-        touched = target
+        # The merge reads the new rows several times; they are computed once.
+        source, touched = cut_lineage(source), target
         if partition:
             touched = target.join(source.select(partition).distinct(), partition, "left_semi")
         # A reliable checkpoint: the files read here are the ones about to be replaced.

@@ -50,7 +50,9 @@ def number(c: str | Column) -> Column:
 
 # Warehouse ----------------------------------------------------------------------------------
 
-_WAREHOUSES: dict[tuple[str, str], Warehouse] = {}
+# Roots of what was written, per (application, table folder); each session reads the files anew.
+_WAREHOUSES: dict[tuple[str, str], str] = {}
+_LANDINGS: dict[tuple[str, str], str] = {}
 
 
 def raw_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,17 +63,14 @@ def landed_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rates.pivot_rates(adapter.rate_quotes(spark, sf_dir), "seq")
 
 
-_LANDINGS: dict[tuple[str, str], DataFrame] = {}
-
-
 def landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The checkout documents as a landed table, written once per Spark application."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _LANDINGS:
         path = scratch_path(spark, "raw_mongo")
         files.write_documents(adapter.checkout_events(spark, sf_dir), path, per_file=1_000_000)
-        _LANDINGS[key] = files.read_documents(spark, path)
-    return _LANDINGS[key]
+        _LANDINGS[key] = path
+    return files.read_documents(spark, _LANDINGS[key])
 
 
 def build_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
@@ -89,8 +88,8 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     """The star schema of a table folder, built once per Spark application."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _WAREHOUSES:
-        _WAREHOUSES[key] = build_warehouse(spark, sf_dir)
-    return _WAREHOUSES[key]
+        _WAREHOUSES[key] = build_warehouse(spark, sf_dir).root
+    return Warehouse(spark, _WAREHOUSES[key], TODAY)
 
 
 @query
@@ -946,3 +945,39 @@ def key_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup_key(orders, customers, {"customer": "c_custkey"}, "c_mktsegment", "segment").select(
         "o_orderkey", F.coalesce("segment", F.lit("Unknown")).alias("segment")
     )
+
+
+@query
+def currency_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order totals, taken as amounts in several currencies, at the rate of the day."""
+    currencies = seeds.currency_mapping(spark).select(
+        "currency_code", surrogate_key(F.col("currency_code")).alias("currency_key")
+    ).distinct()
+    days = table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("date_key")).distinct()
+    daily = rates.rates_to_base(landed_rates(spark, sf_dir), currencies, days)
+    codes = adapter.SPARK.pick(["EUR", "USD", "SEK", "XXX"], "o_custkey % 4")
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.col("o_orderdate").cast("date").alias("date_key"),
+        surrogate_key(F.expr(codes)).alias("currency_key"),
+        F.col("o_totalprice").cast("decimal(18,2)").alias("price"),
+    )
+    return rates.convert(orders, daily, "price", "usd").select("o_orderkey", number("usd").alias("usd"))
+
+
+@query
+def candidate_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidate URLs per source event and priority."""
+    found = candidates.url_candidates(adapter.browsing_events(spark, sf_dir))
+    return found.groupBy("source", "priority").agg(F.count("*").alias("n_urls"))
+
+
+@query
+def dim_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A persisted dimension as an SQL view."""
+    built = warehouse(spark, sf_dir)
+    built.view("dim_customer")
+    return spark.sql(
+        "SELECT count(DISTINCT customer_device_id) AS customers, count(*) AS versions,"
+        " count_if(is_current) AS current_versions FROM dim_customer WHERE customer_key <> -1"
+    )

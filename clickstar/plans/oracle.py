@@ -541,3 +541,15 @@ ORACLE["masked_customer"] = "SELECT c_custkey, sha256(lower(c_name || '@example.
 ORACLE["key_lookup"] = """
 SELECT o_orderkey, coalesce(c_mktsegment, 'Unknown') AS segment FROM orders LEFT JOIN customer ON c_custkey = o_custkey - 100"""
 
+
+# Further jobs ------------------------------------------------------------------------------
+ORACLE["currency_convert"] = f"""WITH {MAPPING}, {CODES}, {QUOTES},
+priced AS (
+  SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, CAST(o_totalprice AS DECIMAL(18,2))::DOUBLE AS price,
+         {DUCK.pick(["EUR", "USD", "SEK", "XXX"], "o_custkey % 4")} AS currency_code FROM orders)
+SELECT o_orderkey, {cents2("price * CASE WHEN currency_code = 'USD' THEN 1 ELSE 1 / rate END")}::DOUBLE AS usd
+FROM priced LEFT JOIN quote USING (day, currency_code)"""
+ORACLE["candidate_sources"] = f"WITH {EVENTS}, {SIGHTINGS} SELECT source, priority, count(*) AS n_urls FROM candidate GROUP BY 1, 2"
+ORACLE["dim_views"] = f"""WITH {ORDERS}, {CUSTOMERS}
+SELECT count(DISTINCT device) AS customers, count(*) AS versions,
+       count(*) FILTER (until = TIMESTAMP '9999-01-01') AS current_versions FROM customer_version"""

@@ -236,6 +236,13 @@ def test_exports(spark, tmp_path):
     assert lines == [{"product_id": "1", "name": None}, {"product_id": "2", "name": "b"}]
 
 
+def test_failure_export(spark, tmp_path):
+    df = spark.sql("SELECT '1' AS product_id, 'u' AS url, 'e' AS last_error, 2L AS occurrences, '2020' AS last_failed_at, CAST(null AS STRING) AS recovered_via")
+    files.export_failures(df, str(tmp_path / "f"))
+    line = json.loads(next((tmp_path / "f").glob("part-*")).read_text())
+    assert line == {"product_id": "1", "failed_url": "u", "last_error": "e", "occurrences": 2, "last_failed_at": "2020", "recovered_via": None}
+
+
 def test_report(spark):
     df = spark.sql("SELECT 1 AS a, array(1) AS b")
     got = [tuple(r) for r in files.load_report(df).orderBy("position").collect()]

@@ -37,3 +37,22 @@ def test_same_rows(spark, database, name):
     columns = [d[0] for d in cursor.description]
     assert sorted(columns) == sorted(frame.columns)
     assert check.rows_of(frame.columns, frame.collect()) == check.rows_of(columns, cursor.fetchall())
+
+
+def test_python_helpers_travel_with_the_job(tmp_path):
+    """A driver started elsewhere, whose executors do not have the package."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parents[1]
+    script = tmp_path / "far.py"
+    script.write_text(
+        f"import sys; sys.path.insert(0, {str(root)!r})\n"
+        "from clickstar.session import local_session\n"
+        "import __spark_entry__ as entries\n"
+        "spark = local_session(2)\n"
+        "for name in ('json_object_find', 'harmonize_documents', 'ip_canonical', 'script_var_extract'):\n"
+        f"    assert entries.queries()[name](spark, {SF!r}).count()\n"
+    )
+    subprocess.run([sys.executable, str(script)], cwd=tmp_path, check=True, timeout=300)
