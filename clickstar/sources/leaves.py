@@ -9,10 +9,46 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def _shortest(c: Column) -> Column:
+    """Fewest digits that read back as the same double, where Java writes 17 or 18.
+
+    From 1e17 on Java may still write one digit more than needed.
+    """
+    text = c.cast("string")
+    digits = F.length(F.regexp_replace(F.regexp_replace(text, "E.*", ""), r"^-?0?\.?0*|\.|-", ""))
+    rounded = [F.upper(F.format_string(f"%.{places}e", c)) for places in (16, 15)]
+    cut = F.regexp_replace(rounded[0], "[0-9]E", "E")
+    chosen = text
+    for fewer in (rounded[0], cut, rounded[1]):
+        chosen = F.when((digits >= 17) & (fewer.try_cast("double") == c), fewer).otherwise(chosen)
+    return chosen
+
+
+def float_text(c: Column) -> Column:
+    """Double as ``10000000.0``, ``0.0001``, ``1e+16`` or ``1.5e-05``: an exponent only where the
+    number is below 1e-4 or from 1e16 on."""
+    text = _shortest(c)
+    size = F.abs(c)
+    plain = F.regexp_replace(text.try_cast("decimal(38,22)").cast("string"), r"(\.\d+?)0+$", "$1")
+    mantissa = F.regexp_replace(F.regexp_replace(text, "E.*", ""), r"\.?0+$", "")
+    exponent = F.regexp_extract(text, "E[+-]?([0-9]+)", 1)
+    sign = F.when(text.contains("E-"), "-").otherwise("+")
+    padded = F.when(F.length(exponent) < 2, F.lpad(exponent, 2, "0")).otherwise(exponent)
+    return (
+        F.when(F.isnan(c), "nan")
+        .when(size == float("inf"), F.when(c > 0, "inf").otherwise("-inf"))
+        .when(~text.contains("E"), text)
+        .when((size >= 1e-4) & (size < 1e16), plain)
+        .when(c.isNotNull(), F.concat(mantissa, F.lit("e"), sign, padded))
+    )
+
+
 def leaf_text(c: Column, data_type: T.DataType) -> Column:
     """Text of one scalar: ISO-8601 dates and times, base64 bytes, true/false, plain numbers."""
     if isinstance(data_type, T.StringType):
         return c
+    if isinstance(data_type, (T.FloatType, T.DoubleType)):
+        return float_text(c.cast("double"))
     if isinstance(data_type, T.BinaryType):
         # base64() breaks lines; the text form must not.
         return F.regexp_replace(F.base64(c), r"\s", "")

@@ -1,6 +1,7 @@
 """Text leaves, harmonised schemas, batches, rewrite, routing and ledgers."""
 
 import json
+import random
 from datetime import date, datetime, timezone
 from decimal import Decimal
 
@@ -30,6 +31,21 @@ def test_text_leaves(spark):
     assert got.schema["nothing"].dataType == T.StringType()
 
 
+def test_float_text(spark):
+    numbers = [0.0, 1.5, -2.0, 1e7, 123456789.125, 1e15, 1e16, -1.5e16, 1e22, 1e100, 0.001, 1e-4, 0.00012345, 1e-5, 1.5e-7, -3e-310,
+               float("inf"), float("-inf"), float("nan"), 0.1, 9999999999999998.0]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(numbers)] + [(99, None)], "i int, x double")
+    got = [r["x"] for r in leaves.with_text_leaves(df).orderBy(F.col("i").cast("int")).collect()]
+    assert got == [str(x) for x in numbers] + [None]
+    draw = random.Random(1)
+    many = [draw.choice([-1, 1]) * draw.random() * 10.0 ** draw.randrange(-12, 17) for _ in range(20000)]
+    many += [2.0**e for e in range(-60, 54)] + [draw.randrange(10**9) / 100 for _ in range(5000)]
+    frame = spark.createDataFrame([(x,) for x in many], "x double").select("x", leaves.float_text(F.col("x")).alias("t"))
+    assert [(r["x"], r["t"]) for r in frame.collect() if str(r["x"]) != r["t"]] == []
+    single = spark.sql("SELECT CAST(0.1 AS FLOAT) AS x")
+    assert leaves.with_text_leaves(single).first()["x"] == "0.10000000149011612"
+
+
 def test_binary_has_no_line_breaks(spark):
     df = spark.createDataFrame([(bytes(range(200)),)], "raw binary")
     assert "\n" not in leaves.with_text_leaves(df).first()["raw"]
