@@ -817,6 +817,25 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(target).select("event_id", "user_id", "event_type", "value")
 
 
+@query
+def stream_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as documents and customers as locations, put into a bucket and loaded by two runs."""
+    bucket, tables, marks = (scratch_path(spark, name) for name in ("bucket", "landing", "offsets"))
+    events = table(spark, sf_dir, "events").select("event_id", "event_type")
+    places = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    events.write.parquet(f"{bucket}/mongodb_data_string")
+    places.write.json(f"{bucket}/location_data")
+    schemas = {"raw_mongo": events.schema, "raw_location": places.schema}
+    # Spark itself writes JSON lines as .json.
+    routes = (ledger.ROUTES[0], ledger.Route("location_data/", ".json", "raw_location"))
+    for _ in range(2):
+        ingest.ingest_routes(spark, bucket, schemas, tables, marks, routes)
+    documents, locations = spark.read.parquet(f"{tables}/raw_mongo"), spark.read.parquet(f"{tables}/raw_location")
+    return documents.groupBy(F.col("event_type").alias("kind")).agg(F.count("*").alias("n")).unionByName(
+        locations.groupBy(F.col("c_mktsegment").alias("kind")).agg(F.count("*").alias("n"))
+    )
+
+
 @query
 def stream_first_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = _event_stream(spark, sf_dir)

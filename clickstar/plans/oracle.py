@@ -516,6 +516,8 @@ SELECT p_partkey::VARCHAR AS product_id, p_name AS name, CASE WHEN p_size > 5 TH
        'https://shop.example.com/p/' || p_partkey AS source_url FROM part"""
 
 ORACLE["stream_ingest"] = "SELECT event_id, user_id, event_type, value FROM events"
+ORACLE["stream_routes"] = """
+SELECT event_type AS kind, count(*) AS n FROM events GROUP BY 1 UNION ALL SELECT c_mktsegment, count(*) FROM customer GROUP BY 1"""
 ORACLE["stream_increments"] = "SELECT event_id, value FROM events"
 
 # Data quality -------------------------------------------------------------------------------

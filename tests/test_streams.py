@@ -18,6 +18,19 @@ def test_files_arrive_once(spark, tmp_path):
     assert sorted(r["id"] for r in spark.read.parquet(target).collect()) == list(range(7))
 
 
+def test_routes(spark, tmp_path):
+    bucket = tmp_path / "bucket"
+    for name, text in (("location_data/a.JSONL", '{"ip": "1"}'), ("location_data/b.txt", '{"ip": "2"}'), ("other/c.jsonl", '{"ip": "3"}')):
+        (bucket / name).parent.mkdir(parents=True, exist_ok=True)
+        (bucket / name).write_text(text)
+    schemas = {"raw_location": spark.createDataFrame([], "ip string").schema}
+    run = lambda: ingest.ingest_routes(spark, str(bucket), schemas, str(tmp_path / "t"), str(tmp_path / "m"))
+    assert run() == ["raw_location"]
+    (bucket / "location_data/d.jsonl").write_text('{"ip": "4"}')
+    run()
+    assert sorted(r["ip"] for r in spark.read.parquet(str(tmp_path / "t/raw_location")).collect()) == ["1", "4"]
+
+
 ATTEMPT = "product_id string, url string, error string, ts int, recovered_via string"
 
 
