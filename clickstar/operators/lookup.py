@@ -39,6 +39,16 @@ def default_nulls(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
     )
 
 
+def latest_rows(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """The last row of each key, for landing tables to which changed rows were appended again.
+
+    Without it every version of a repeated key stays, and a lookup repeats the fact.
+    """
+    others = [name for name in df.columns if name not in keys]
+    last = F.max_by(F.struct(*others), order).alias("last")
+    return df.groupBy(*keys).agg(last).select(*keys, *[F.col(f"last.{name}").alias(name) for name in others])
+
+
 def with_unknown_member(df: DataFrame, member: Mapping[str, object]) -> DataFrame:
     """Append the one row that facts without a match point at; ``member`` fills every column."""
     missing = set(df.columns) ^ set(member)

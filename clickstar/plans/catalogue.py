@@ -68,7 +68,8 @@ def landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _LANDINGS:
         path = scratch_path(spark, "raw_mongo")
-        files.write_documents(adapter.checkout_events(spark, sf_dir), path, per_file=1_000_000)
+        documents = adapter.checkout_events(spark, sf_dir)
+        files.write_documents(documents, path, per_file=1_000_000, partition=["collection"])
         _LANDINGS[key] = path
     return files.read_documents(spark, _LANDINGS[key])
 
@@ -761,6 +762,16 @@ def _numbered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.number_files(ids, "_id", [F.shiftright(number, 20), F.shiftright(number, 10)], 1500)
 
 
+@query
+def batch_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batches written by two runs, as they are read back."""
+    path = scratch_path(spark, "batches")
+    for _ in range(2):
+        files.commit_batches(spark, _numbered_events(spark, sf_dir), "_id", path)
+    written = spark.read.parquet(f"{path}/data")
+    return files.manifest(written.withColumn("file_no", F.col("file_no").cast("bigint")), "_id")
+
+
 @query
 def manifest_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The planned batches against a stored manifest that knows some, one of them differently."""
@@ -864,9 +875,11 @@ def stream_failure_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Micro-batches merged into a table by event; late files are merged too."""
     state = scratch_path(spark, "increments")
-    rows = _event_stream(spark, sf_dir).select("event_id", F.col("ts").cast("timestamp").alias("ts"), "value")
+    rows = _event_stream(spark, sf_dir).select(
+        "event_id", F.col("ts").cast("timestamp").alias("ts"), "value", F.date_format("ts", "yyyy-MM-dd").alias("date")
+    )
     state_tables.stream_increments(
-        rows, state, scratch_path(spark, "offsets"), ["event_id"], "ts", lateness="merge"
+        rows, state, scratch_path(spark, "offsets"), ["event_id", "ts"], "ts", lateness="merge", partition="date"
     )
     return spark.read.parquet(state).select("event_id", "value")
 

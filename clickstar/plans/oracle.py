@@ -501,6 +501,7 @@ batch AS (
   FROM (SELECT lpad(event_id::VARCHAR, 24, '0') AS _id, (row_number() OVER (ORDER BY event_id) - 1) // 1500 + 1 AS file_no FROM events)
   GROUP BY 1)"""
 ORACLE["batch_manifest"] = f"WITH {BATCHES} SELECT * FROM batch"
+ORACLE["batch_commit"] = ORACLE["batch_manifest"]
 ORACLE["manifest_states"] = f"""WITH {BATCHES}
 SELECT file_no, CASE WHEN file_no > 3 THEN 'new' WHEN file_no = 2 THEN 'conflict' ELSE 'recovered' END AS state FROM batch"""
 ORACLE["load_state"] = f"""WITH {BATCHES}

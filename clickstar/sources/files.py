@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import split_uri
-from ..session import path_exists
+from ..session import cut_lineage, path_exists
 from .harmonize import harmonize_frame
 
 DOCUMENTS_PER_FILE = 10_000
@@ -25,9 +25,15 @@ def read_documents(spark: SparkSession, path: str, schema: T.StructType | None =
     return reader.json(path) if path.endswith((".json", ".jsonl")) else reader.parquet(path)
 
 
-def write_documents(df: DataFrame, path: str, per_file: int = DOCUMENTS_PER_FILE, mode: str = "error") -> None:
-    """Snappy Parquet with at most ``per_file`` rows per file."""
-    df.write.mode(mode).option("compression", "snappy").option("maxRecordsPerFile", per_file).parquet(path)
+def write_documents(
+    df: DataFrame, path: str, per_file: int = DOCUMENTS_PER_FILE, mode: str = "error", partition: Sequence[str] = ()
+) -> None:
+    """Snappy Parquet with at most ``per_file`` rows per file.
+
+    ``partition`` by the event type lets every job that wants one type skip the others.
+    """
+    writer = df.write.mode(mode).option("compression", "snappy").option("maxRecordsPerFile", per_file)
+    (writer.partitionBy(*partition) if partition else writer).parquet(path)
 
 
 def write_jsonl(df: DataFrame, path: str, order: Sequence[str] = ()) -> None:
@@ -111,6 +117,35 @@ def compare_manifests(planned: DataFrame, stored: DataFrame) -> DataFrame:
     ).drop("stored")
 
 
+def commit_batches(spark: SparkSession, numbered: DataFrame, key: str, path: str) -> DataFrame:
+    """Write the numbered batches that ``path`` lacks, one folder each; returns all with ``state``.
+
+    The manifest is written after the data, and a batch overwrites its own folder, so a run that
+    broke in between is repeated without harm.  A stored batch with other contents is an error.
+    """
+    data, stored_path = f"{path}/data", f"{path}/manifest"
+    planned = manifest(numbered, key)
+    if path_exists(spark, stored_path):
+        stored = spark.read.parquet(stored_path)
+    else:
+        stored = spark.createDataFrame([], planned.schema)
+    # One row per batch, kept because the manifest it compares with is about to grow.
+    states = cut_lineage(compare_manifests(planned, stored))
+    if states.where(F.col("state") == "conflict").take(1):
+        raise ValueError(f"{path} holds other documents under the same batch number")
+    new = states.where(F.col("state") == "new").drop("state")
+    (
+        numbered.join(new.select("file_no"), "file_no", "left_semi")
+        .repartition("file_no")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("file_no")
+        .parquet(data)
+    )
+    new.write.mode("append").parquet(stored_path)
+    return states
+
+
 def load_state(loaded: DataFrame, prefix: str) -> DataFrame:
     """Progress of a load from its manifest: last id, next file, documents, last object."""
     last = F.max("file_no")

@@ -73,17 +73,20 @@ def current_failures(spark: SparkSession, table: str) -> DataFrame:
 
 
 def stream_increments(
-    stream: DataFrame, table: str, checkpoint: str, keys: list[str], mark: str, lateness: str = "drop"
+    stream: DataFrame, table: str, checkpoint: str, keys: list[str], mark: str, lateness: str = "drop",
+    partition: str | None = None,
 ) -> None:
     """Feed micro-batches through :func:`increment_table`; late rows follow its rule.
 
+    With ``partition``, merging a batch rewrites only the partitions it touches.
+
     A batch that failed after its write and runs again finds its rows not above the mark
     (``drop``) or replaces them by themselves (``merge``).
     """
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         if path_exists(batch.sparkSession, table) or batch.take(1):
-            increment_table(batch.sparkSession, table, batch, keys, mark, lateness=lateness)
+            increment_table(batch.sparkSession, table, batch, keys, mark, lateness=lateness, partition=partition)
 
     _run(stream, checkpoint, each_batch)
 

@@ -227,6 +227,12 @@ def test_lookup_and_unknown_member(spark):
         lookup.with_unknown_member(dim, {"key": -1})
 
 
+def test_latest_rows(spark):
+    df = spark.createDataFrame([("a", 1, "old"), ("a", 2, None), ("b", 1, "x")], "ip string, seq int, city string")
+    got = sorted(map(tuple, lookup.latest_rows(df, ["ip"], "seq").select("ip", "seq", "city").collect()))
+    assert got == [("a", 2, None), ("b", 1, "x")]
+
+
 def test_audit_and_comments(spark):
     df = lookup.with_comments(lookup.with_audit(spark.range(1), today=date(2020, 1, 2)), {"id": "the id"})
     row = df.first()

@@ -122,6 +122,21 @@ def test_exact_batches(spark):
         files.number_files(ids, "_id", buckets, 0)
 
 
+def test_batches_are_committed_once(spark, tmp_path):
+    def commit(rows):
+        ids = spark.createDataFrame([(f"{i:024d}", v) for i, v in rows], "_id string, v string")
+        numbered = files.number_files(ids, "_id", [F.floor(F.col("_id").cast("bigint") / 4)], 2)
+        states = files.commit_batches(spark, numbered, "_id", str(tmp_path / "b")).orderBy("file_no")
+        return [r["state"] for r in states.collect()]
+
+    rows = [(i, "a") for i in range(5)]
+    assert commit(rows[:4]) == ["new", "new"]
+    assert commit(rows) == ["recovered", "recovered", "new"]
+    assert spark.read.parquet(str(tmp_path / "b/data")).count() == 5
+    with pytest.raises(ValueError):
+        commit([(i + 10, "a") for i in range(2)])
+
+
 def test_rank_over_several_levels(spark):
     ids = spark.range(0, 5000, 7).withColumn("id", (F.col("id") * 37) % 5003)
     buckets = [F.shiftright("id", 9), F.shiftright("id", 6), F.shiftright("id", 3)]
