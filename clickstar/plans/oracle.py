@@ -465,8 +465,11 @@ ORACLE["string_leaf"] = """
 SELECT o_orderkey::VARCHAR AS o_orderkey, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS placed_at,
        strftime(o_orderdate, '%Y-%m-%d') AS day, CASE WHEN o_custkey % 2 = 0 THEN 'true' ELSE 'false' END AS even,
        o_custkey::VARCHAR AS item_id, base64(o_orderstatus::BLOB) AS item_raw, CAST(o_totalprice AS DECIMAL(12,2))::VARCHAR AS total,
-       CAST(o_orderkey * 10245000.0::DOUBLE AS VARCHAR) AS large, CAST(o_orderkey / 8589934592.0::DOUBLE AS VARCHAR) AS small
+       CAST(o_totalprice AS VARCHAR) AS price
 FROM orders"""
+ORACLE["string_leaf_floats"] = """
+SELECT o_orderkey::VARCHAR AS o_orderkey, CAST(o_orderkey * 10245000.0::DOUBLE AS VARCHAR) AS large,
+       CAST(o_orderkey / 8589934592.0::DOUBLE AS VARCHAR) AS small FROM orders"""
 ORACLE["string_leaf_vectors"] = """
 SELECT vec_id::VARCHAR AS vec_id, label::VARCHAR AS label, len(embedding) AS n, TRUE AS readable FROM embeddings"""
 ORACLE["harmonize_documents"] = """

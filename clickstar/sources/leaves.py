@@ -9,40 +9,62 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _shortest(c: Column) -> Column:
     """Fewest digits that read back as the same double, where Java writes 17 or 18.
 
     From 1e17 on Java may still write one digit more than needed.
     """
-    text = c.cast("string")
-    digits = F.length(F.regexp_replace(F.regexp_replace(text, "E.*", ""), r"^-?0?\.?0*|\.|-", ""))
-    rounded = [F.upper(F.format_string(f"%.{places}e", c)) for places in (16, 15)]
-    cut = F.regexp_replace(rounded[0], "[0-9]E", "E")
-    chosen = text
-    for fewer in (rounded[0], cut, rounded[1]):
-        chosen = F.when((digits >= 17) & (fewer.try_cast("double") == c), fewer).otherwise(chosen)
-    return chosen
 
+    def fewest(text: Column) -> Column:
+        digits = F.length(F.translate(_mantissa(text), "-.", ""))
+        rounded = [F.upper(F.format_string(f"%.{places}e", c)) for places in (15, 16)]
+        result = F.when(digits < 17, text)
+        for fewer in (rounded[0], F.regexp_replace(rounded[1], "[0-9]E", "E"), rounded[1]):
+            result = result.when(fewer.try_cast("double") == c, fewer)
+        return result.otherwise(text)
+
+    return _let(c.cast("string"), fewest)
+
+
+def _mantissa(text: Column) -> Column:
+    return F.substring_index(text, "E", 1)
+
+
+def _exponent_text(c: Column) -> Column:
+    def written(text: Column) -> Column:
+        exponent = F.substring_index(text, "E", -1).try_cast("int")
+        digits = F.lpad(F.abs(exponent).cast("string"), F.greatest(F.lit(2), F.length(F.abs(exponent).cast("string"))), F.lit("0"))
+        mantissa = F.regexp_replace(_mantissa(text), r"\.?0+$", "")
+        plain = F.rtrim(text.try_cast("decimal(38,22)").cast("string"), F.lit("0"))
+        return (
+            F.when(~text.contains("E"), text)
+            .when(exponent.between(-4, 15), F.when(F.endswith(plain, F.lit(".")), F.concat(plain, F.lit("0"))).otherwise(plain))
+            .otherwise(F.concat(mantissa, F.when(exponent < 0, "e-").otherwise("e+"), digits))
+        )
 
-def float_text(c: Column) -> Column:
-    """Double as ``10000000.0``, ``0.0001``, ``1e+16`` or ``1.5e-05``: an exponent only where the
-    number is below 1e-4 or from 1e16 on."""
-    text = _shortest(c)
-    size = F.abs(c)
-    plain = F.regexp_replace(text.try_cast("decimal(38,22)").cast("string"), r"(\.\d+?)0+$", "$1")
-    mantissa = F.regexp_replace(F.regexp_replace(text, "E.*", ""), r"\.?0+$", "")
-    exponent = F.regexp_extract(text, "E[+-]?([0-9]+)", 1)
-    sign = F.when(text.contains("E-"), "-").otherwise("+")
-    padded = F.when(F.length(exponent) < 2, F.lpad(exponent, 2, "0")).otherwise(exponent)
     return (
         F.when(F.isnan(c), "nan")
-        .when(size == float("inf"), F.when(c > 0, "inf").otherwise("-inf"))
-        .when(~text.contains("E"), text)
-        .when((size >= 1e-4) & (size < 1e16), plain)
-        .when(c.isNotNull(), F.concat(mantissa, F.lit("e"), sign, padded))
+        .when(F.abs(c) == float("inf"), F.when(c > 0, "inf").otherwise("-inf"))
+        .when(c.isNotNull(), _let(_shortest(c), written))
     )
 
 
+def float_text(c: Column) -> Column:
+    """Double as ``10000000.0``, ``0.0001``, ``1e+16`` or ``1.5e-05``: an exponent only where the
+    number is below 1e-4 or from 1e16 on.
+
+    Numbers of usual size and few digits are already written so and skip the rest.
+    """
+    text = c.cast("string")
+    usual = (F.length(text) < 17) & ~text.contains("E") & ~text.contains("N") & ~text.contains("I")
+    return F.when(usual, text).otherwise(_let(c, _exponent_text))
+
+
 def leaf_text(c: Column, data_type: T.DataType) -> Column:
     """Text of one scalar: ISO-8601 dates and times, base64 bytes, true/false, plain numbers."""
     if isinstance(data_type, T.StringType):
