@@ -459,16 +459,7 @@ def attempt_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def value_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = dates.checkouts(landing(spark, sf_dir))
-    currency = text_functions.blank_to_null(F.col("item.currency")).alias("raw_currency")
-    return (
-        events.select(F.explode("cart_products").alias("item"))
-        .select(currency)
-        .where(F.col("raw_currency").isNotNull())
-        .groupBy("raw_currency")
-        .agg(F.count("*").alias("occurrences"))
-        .orderBy(F.col("occurrences").desc())
-    )
+    return seeds.currency_frequency(dates.checkouts(landing(spark, sf_dir)))
 
 
 @query

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import trim_ws
+from ..functions.text import blank_to_null, trim_ws
 
 MAPPING_SCHEMA = "raw_currency string, currency_code string, currency_name string"
 
@@ -60,6 +60,22 @@ def read_seed(spark: SparkSession, path: str, schema: str = MAPPING_SCHEMA) -> D
     return spark.read.option("header", "true").schema(schema).csv(path)
 
 
+def currency_frequency(checkouts: DataFrame) -> DataFrame:
+    """Currency texts of all cart items, trimmed, with their number, most frequent first.
+
+    Only the currency field of the nested items is read.
+    """
+    text = blank_to_null(F.col("raw_currency"))
+    return (
+        checkouts.select(F.explode("cart_products.currency").alias("raw_currency"))
+        .select(text.alias("raw_currency"))
+        .where(F.col("raw_currency").isNotNull())
+        .groupBy("raw_currency")
+        .agg(F.count("*").alias("occurrences"))
+        .orderBy(F.col("occurrences").desc())
+    )
+
+
 def checked_mapping(mapping: DataFrame, observed: DataFrame) -> DataFrame:
     """Proposed mapping rows, cleaned, with ``problem`` NULL where a row may be used.
 
