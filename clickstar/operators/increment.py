@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, path_exists
+from ..session import cut_lineage, table_exists
 
 
 def after_mark(df: DataFrame, key: str, mark: object | None) -> DataFrame:
@@ -83,15 +83,16 @@ def increment_table(
     if strict and duplicate_keys(source, keys).take(1):
         raise ValueError(f"source has repeated keys {list(keys)}")
 
-    def write(df: DataFrame, mode: str) -> None:
+    def write(df: DataFrame, mode: str, partitions: str = "dynamic") -> None:
         if partition is None:
             return df.write.mode(mode).parquet(path)
         # Rows of one partition go to few tasks, a large partition to several.
         writer = df.hint("rebalance", partition).write.mode(mode).partitionBy(partition)
-        writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+        writer.option("partitionOverwriteMode", partitions).parquet(path)
 
-    if not path_exists(spark, path):
-        write(source, "overwrite")
+    if not table_exists(spark, path):
+        # Replacing everything leaves the mark of a finished write, which later writes keep.
+        write(source, "overwrite", "static")
         return spark.read.parquet(path)
 
     target = spark.read.parquet(path).select(*source.columns)

@@ -74,3 +74,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a write to this path ever finished; a broken first write leaves no mark."""
+    return path_exists(spark, f"{path}/_SUCCESS")

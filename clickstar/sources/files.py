@@ -126,7 +126,7 @@ def commit_batches(spark: SparkSession, numbered: DataFrame, key: str, path: str
     data, stored_path = f"{path}/data", f"{path}/manifest"
     planned = manifest(numbered, key)
     if path_exists(spark, stored_path):
-        stored = spark.read.parquet(stored_path)
+        stored = spark.read.schema(planned.schema).parquet(stored_path)
     else:
         stored = spark.createDataFrame([], planned.schema)
     # One row per batch, kept because the manifest it compares with is about to grow.
@@ -220,7 +220,7 @@ def rewrite_files(spark: SparkSession, source: str, destination: str, max_files:
     check_rewrite_paths(source, destination)
     listed = list_files(spark, source, "*.parquet").select("path", "name")
     if path_exists(spark, destination):
-        done = spark.read.parquet(destination).select(F.col("source_file").alias("name")).distinct()
+        done = spark.read.schema("source_file string").parquet(destination).distinct().toDF("name")
     else:
         done = spark.createDataFrame([], "name string")
     # Only file names come to the driver, as in any file scan.
@@ -261,7 +261,9 @@ def rewrite_files(spark: SparkSession, source: str, destination: str, max_files:
     )
     if not path_exists(spark, destination):
         return status.withColumn("rows", F.lit(0).cast("bigint"))
-    rows = spark.read.parquet(destination).groupBy(F.col("source_file").alias("source")).agg(F.count("*").alias("n"))
+    rows = spark.read.schema("source_file string").parquet(destination).groupBy(
+        F.col("source_file").alias("source")
+    ).agg(F.count("*").alias("n"))
     return status.join(rows, "source", "left").select(
         "source", "status",
         F.when(F.col("status") == "migrated", F.coalesce("n", F.lit(0))).otherwise(0).alias("rows"),

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.keys import load_id
-from ..session import path_exists
+from ..session import cut_lineage, path_exists
 
 
 @dataclass(frozen=True)
@@ -72,18 +72,18 @@ def append_once(spark: SparkSession, files: DataFrame, root: str, table: str, re
     ``reader(spark, uris)`` gives the rows of the files.
     """
     plans, data, marks = f"{root}/ledger/{table}", f"{root}/{table}", f"{root}/done/{table}"
-    columns = "load_id string, uri string"
-    planned = spark.read.parquet(plans) if path_exists(spark, plans) else spark.createDataFrame([], f"{columns}, batch string")
-    fresh = unloaded(files.where(F.col("destination") == table), planned).select("load_id", "uri")
+    plan_schema, mark_schema = "load_id string, uri string, batch string", "batch string"
+
+    def stored(path: str, schema: str) -> DataFrame:
+        return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], schema)
+
+    fresh = unloaded(files.where(F.col("destination") == table), stored(plans, plan_schema)).select("load_id", "uri")
     # No id is ever planned twice, so the smallest id of a batch names it.
     first = fresh.agg(F.min("load_id").alias("id")).first()["id"]
     if first is not None:
         fresh.write.mode("overwrite").parquet(f"{plans}/batch={first[-32:]}")
-    if not path_exists(spark, plans):
-        return spark.createDataFrame([], f"{columns}, batch string")
-    ledger = spark.read.parquet(plans)
-    done = spark.read.parquet(marks) if path_exists(spark, marks) else spark.createDataFrame([], "batch string")
-    open_files = ledger.join(done.select("batch").distinct(), "batch", "left_anti")
+    done = stored(marks, mark_schema).distinct()
+    open_files = cut_lineage(stored(plans, plan_schema).join(done, "batch", "left_anti"))
     for row in open_files.select("batch").distinct().collect():
         batch = row["batch"]
         uris = [r["uri"] for r in open_files.where(F.col("batch") == batch).select("uri").collect()]

@@ -15,7 +15,7 @@ from ..operators.candidates import MAX_URLS, product_sightings
 from ..operators.failures import ledger_delta, ledger_view, merge_ledger
 from ..operators.first_n import first_n
 from ..operators.increment import increment_table
-from ..session import path_exists
+from ..session import table_exists
 
 
 def _run(stream: DataFrame, checkpoint: str, each_batch: Callable[[DataFrame, int], None]) -> None:
@@ -85,7 +85,7 @@ def stream_increments(
     """
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        if path_exists(batch.sparkSession, table) or batch.take(1):
+        if table_exists(batch.sparkSession, table) or batch.take(1):
             increment_table(batch.sparkSession, table, batch, keys, mark, lateness=lateness, partition=partition)
 
     _run(stream, checkpoint, each_batch)

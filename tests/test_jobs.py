@@ -205,6 +205,11 @@ def test_increment_table(spark, tmp_path, partition):
         load("other", (9, 9, "x"))
 
 
+def test_broken_first_write_is_repeated(spark, tmp_path):
+    (tmp_path / "t" / "_temporary").mkdir(parents=True)
+    assert increment.increment_table(spark, str(tmp_path / "t"), keyed(spark, (1, 1, "a")), ["k"], "t").count() == 1
+
+
 def test_marks(spark):
     df = keyed(spark, (1, 1, "a"), (2, 2, "b"))
     assert increment.high_water_mark(df, "t") == 2

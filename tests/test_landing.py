@@ -234,6 +234,7 @@ def test_broken_append_is_finished(spark, tmp_path):
     def fail(session, uris):
         raise RuntimeError("lost")
 
+    (tmp_path / "landing" / "ledger" / "raw_location" / "batch=0" / "_temporary").mkdir(parents=True)
     with pytest.raises(RuntimeError):
         ledger.append_once(spark, files_df, root, "raw_location", fail)
     for _ in range(2):
