@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, table_exists
+from ..session import cut_lineage, replace_table, table_exists
 
 
 def after_mark(df: DataFrame, key: str, mark: object | None) -> DataFrame:
@@ -90,6 +90,7 @@ def increment_table(
         writer = df.hint("rebalance", partition).write.mode(mode).partitionBy(partition)
         writer.option("partitionOverwriteMode", partitions).parquet(path)
 
+    replace_table(spark, path)
     if not table_exists(spark, path):
         # Replacing everything leaves the mark of a finished write, which later writes keep.
         write(source, "overwrite", "static")
@@ -103,8 +104,12 @@ def increment_table(
         source, touched = cut_lineage(source), target
         if partition:
             touched = target.join(source.select(partition).distinct(), partition, "left_semi")
-        # A reliable checkpoint: the files read here are the ones about to be replaced.
-        write(cut_lineage(upsert(touched, source, keys)), "overwrite")
+        merged = upsert(touched, source, keys)
+        if partition:
+            # A reliable checkpoint: the files read here are the ones about to be replaced.
+            write(cut_lineage(merged), "overwrite")
+        else:
+            replace_table(spark, path, merged)
     else:
         raise ValueError(f"unknown lateness {lateness!r}")
     return spark.read.parquet(path)

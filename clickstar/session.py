@@ -79,3 +79,24 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def table_exists(spark: SparkSession, path: str) -> bool:
     """Whether a write to this path ever finished; a broken first write leaves no mark."""
     return path_exists(spark, f"{path}/_SUCCESS")
+
+
+def replace_table(spark: SparkSession, path: str, df: DataFrame | None = None) -> None:
+    """Put ``df`` in place of the table at ``path``, which it may read, without ever losing both.
+
+    The rows are written next to the table first.  Without ``df`` a replacement that was broken
+    after that is completed, if there is one.
+    """
+    successor = f"{path.rstrip('/')}__next"
+    if df is not None:
+        df.write.mode("overwrite").parquet(successor)
+    elif table_exists(spark, path) or not table_exists(spark, successor):
+        return
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    old, new = hadoop(path), hadoop(successor)
+    files = old.getFileSystem(spark._jsc.hadoopConfiguration())
+    # Without its mark the old table is known to be on its way out.
+    files.delete(hadoop(f"{path}/_SUCCESS"), False)
+    files.delete(old, True)
+    if not files.rename(new, old):
+        raise OSError(f"cannot move {successor} to {path}")

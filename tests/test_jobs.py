@@ -210,6 +210,15 @@ def test_broken_first_write_is_repeated(spark, tmp_path):
     assert increment.increment_table(spark, str(tmp_path / "t"), keyed(spark, (1, 1, "a")), ["k"], "t").count() == 1
 
 
+def test_broken_replacement_is_completed(spark, tmp_path):
+    path = str(tmp_path / "t")
+    increment.increment_table(spark, path, keyed(spark, (1, 1, "a")), ["k"], "t")
+    keyed(spark, (1, 1, "a"), (2, 2, "b")).write.parquet(f"{path}__next")
+    (tmp_path / "t" / "_SUCCESS").unlink()
+    got = increment.increment_table(spark, path, keyed(spark, (3, 3, "c")), ["k"], "t", lateness="merge")
+    assert rows_of(got) == [(1, 1, "a"), (2, 2, "b"), (3, 3, "c")]
+
+
 def test_marks(spark):
     df = keyed(spark, (1, 1, "a"), (2, 2, "b"))
     assert increment.high_water_mark(df, "t") == 2
