@@ -19,6 +19,7 @@ DATA_URL_VARIABLE = "react_data_url"
 MAX_NODES = 20_000
 NO_VARIABLE = "script variable not found"
 BAD_URL = "script variable holds no http(s) url"
+NO_JSON = "payload is no json"
 NO_PRODUCT = "no object with product_id in the json"
 WRONG_PRODUCT = "product_id differs"
 
@@ -83,12 +84,12 @@ def script_variable_url(pages: DataFrame, variable: str = DATA_URL_VARIABLE) ->
     ).drop("__value", "__url")
 
 
-def _product_in(payload: str | None) -> str | None:
-    """Breadth-first search for the product object of one payload, as JSON text."""
+def _product_in(payload: str | None) -> tuple[str | None, str | None]:
+    """Breadth-first search for the product object of one payload: its JSON text, or an error."""
     try:
-        level = deque([json.loads(payload)]) if payload else deque()
+        level = deque([json.loads(payload or "")])
     except ValueError:
-        return None
+        return None, NO_JSON
     bare = None
     for _ in range(MAX_NODES):
         if not level:
@@ -97,27 +98,28 @@ def _product_in(payload: str | None) -> str | None:
         if isinstance(node, dict):
             if "product_id" in node:
                 if node.keys() & {"sku", "name"}:
-                    return json.dumps(node, ensure_ascii=False)
+                    return json.dumps(node, ensure_ascii=False), None
                 bare = bare or node
             level.extend(node.values())
         elif isinstance(node, list):
             level.extend(node)
-    return json.dumps(bare, ensure_ascii=False) if bare else None
+    return (json.dumps(bare, ensure_ascii=False), None) if bare else (None, NO_PRODUCT)
 
 
-@F.pandas_udf(T.StringType())
-def product_object(payloads: pd.Series) -> pd.Series:
-    """The product object of each JSON payload, NULL if there is none.
+@F.pandas_udf(T.StructType([T.StructField("product", T.StringType()), T.StructField("error", T.StringType())]))
+def product_object(payloads: pd.Series) -> pd.DataFrame:
+    """The product object of each JSON payload, or why there is none.
 
     Its depth is unknown, so no fixed set of JSON paths finds it; rows stay where they are.
     """
-    return payloads.map(_product_in, na_action="ignore")
+    found = [_product_in(payload) for payload in payloads]
+    return pd.DataFrame(found, columns=["product", "error"], dtype=object)
 
 
 def find_products(df: DataFrame, payload: str = "payload") -> DataFrame:
     """Add ``product`` (JSON text) and, where none was found, ``error``."""
-    found = df.withColumn("product", product_object(payload))
-    return found.withColumn("error", F.when(F.col("product").isNull(), NO_PRODUCT))
+    found = df.withColumn("__found", product_object(payload))
+    return found.withColumns({"product": F.col("__found.product"), "error": F.col("__found.error")}).drop("__found")
 
 
 def product_fields(product: Column, fields: tuple[str, ...] = PRODUCT_FIELDS) -> list[Column]:
@@ -132,12 +134,15 @@ def judge_attempts(fetched: DataFrame) -> DataFrame:
     A row that failed to fetch keeps its error; else the payload must hold a product object with
     the requested id.
     """
-    found = fetched.withColumn("product", product_object(F.when(F.col("error").isNull(), F.col("payload"))))
+    found = (
+        fetched.withColumn("__found", product_object(F.when(F.col("error").isNull(), F.col("payload"))))
+        .withColumns({"product": F.col("__found.product"), "problem": F.col("__found.error")})
+    )
     actual = F.get_json_object("product", "$.product_id")
     same = normal_id(actual).eqNullSafe(normal_id(F.col("product_id")))
     error = (
         F.when(F.col("error").isNotNull(), F.col("error"))
-        .when(F.col("product").isNull(), F.lit(NO_PRODUCT))
+        .when(F.col("problem").isNotNull(), F.col("problem"))
         .when(~same, F.concat(F.lit(WRONG_PRODUCT + " (wanted "), F.col("product_id"),
                               F.lit(", found "), F.coalesce(actual, F.lit("null")), F.lit(")")))
     )

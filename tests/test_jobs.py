@@ -90,6 +90,12 @@ def test_product_object(spark, payload, want):
     assert row["id"] == want and (row["error"] is None) == (want is not None)
 
 
+def test_reasons_without_a_product(spark):
+    df = spark.createDataFrame([(1, "no json"), (2, "[]"), (3, None)], "i int, payload string")
+    got = [r["error"] for r in pages.find_products(df).orderBy("i").collect()]
+    assert got == [pages.NO_JSON, pages.NO_PRODUCT, pages.NO_JSON]
+
+
 def test_product_search_is_limited(spark):
     deep = '{"x": [' + ",".join(["1"] * pages.MAX_NODES) + ', {"product_id": 1, "sku": "a"}]}'
     assert pages.find_products(spark.createDataFrame([(deep,)], "payload string")).first()["product"] is None
