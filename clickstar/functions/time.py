@@ -48,7 +48,7 @@ def local_date(c: Column, data_type: T.DataType = T.StringType()) -> Column:
         .when(head.rlike(r"^\d{4}-\d{2}-\d{2}$"), head.try_cast("date"))
         .when(head.rlike(r"^\d{8}$"),
               F.regexp_replace(head, r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3").try_cast("date"))
-        .when(head.rlike(week_form) & valid_week, week_date)
+        .when(head.rlike(week_form) & valid_week & (F.year(week_date) <= 9999), week_date)
     )
 
 

@@ -46,7 +46,7 @@ def test_local_date(values):
     assert values(lambda c: time.local_date(c, T.LongType()), [20200604], "bigint") == [None]
 
 
-@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=15, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.from_regex(r"\A\d{4}-?W?\d{2}-?\d{1,2}\Z"), min_size=1, max_size=20))
 def test_local_date_agrees_with_iso(values, texts):
     def iso(value):
