@@ -78,7 +78,8 @@ def links(distinct: DataFrame, pair_group: int = PAIR_GROUP) -> DataFrame:
         ).alias("key"),
     )
     shared = written(signed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "signatures")
-    hits = written(signed.join(shared, "key"), "signature_rows")
+    # Keys grow with the corpus: shuffled at every size, so that AQE can split a hot one.
+    hits = written(signed.join(shared.hint("merge"), "key"), "signature_rows")
     few = hits.where(F.col("n") <= pair_group)
     one, two = few.select("key", F.col("fp").alias("a")), few.select("key", F.col("fp").alias("b"))
     low, slot = "((a ^ b) & 4294967295L)", "(key >> 32)"
