@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import sys
 import types
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,3 +62,26 @@ def keep_ids(docs: DataFrame, ids: DataFrame, column: str, how: str = "left_semi
     """Rows of ``docs`` whose ``doc_id`` is (or, with left_anti, is not) in a column of ``ids``."""
     names = ids.select(F.col(column).alias("__llm_key"))
     return docs.join(names, docs["doc_id"] == names["__llm_key"], how)
+
+
+class Recent:
+    """Values by key, worked out together for all new keys; about ``limit`` to twice as many stay.
+
+    When ``now`` is full it becomes ``before``, from which keys that are met again move over, so
+    frequent keys stay and memory is bounded.
+    """
+
+    def __init__(self, limit: int):
+        self.limit, self.now, self.before = limit, {}, {}
+
+    def learn(self, keys: set, work_out: Callable[[set], Iterable[tuple]]) -> Callable:
+        """Look-up that knows all of ``keys``."""
+        if len(self.now) > self.limit:
+            self.now, self.before = {}, self.now
+        new = {key for key in keys if key not in self.now}
+        if new and self.before:
+            met = {key: self.before[key] for key in new if key in self.before}
+            self.now.update(met)
+            new.difference_update(met)
+        self.now.update(work_out(new))
+        return self.now.__getitem__

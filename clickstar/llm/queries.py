@@ -2,18 +2,29 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from . import exact, simhash, toxicity
+from . import bpe, exact, html_text, lines, packing, simhash, toxicity
 from .common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+def tokenizer_path(name: str) -> str:
+    """Where a public vocabulary file lies on this box; the operators take any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def registered(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     REGISTRY[run.__name__] = run
     return run
@@ -26,6 +37,15 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@registered
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 2,048 tokens."""
+    pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 @registered
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal documents."""
@@ -41,6 +61,51 @@ FROM (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTU
 WINDOW same AS (PARTITION BY text_sha256)"""
 
 
+@registered
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the lines that occur on many sites."""
+    kept = lines.dedup_lines(table(spark, sf_dir, "documents"))
+    return kept.select(
+        "doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+    )
+
+
+ORACLE["op5_line_dedup"] = """
+WITH lines AS (
+  SELECT doc_id, source, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+  FROM documents),
+keyed AS (
+  SELECT *, trim(line, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) AS key FROM lines),
+spread AS (
+  SELECT key, min((doc_id, pos)) AS first FROM keyed
+  WHERE len(regexp_split_to_array(key, '[ \\t\\r\\x0b\\f]+')) >= 3
+  GROUP BY key HAVING count(DISTINCT source) >= 5),
+judged AS (
+  SELECT k.doc_id, k.line, k.pos, s.key IS NOT NULL AND (k.doc_id, k.pos) <> s.first AS gone
+  FROM keyed k LEFT JOIN spread s ON k.key = s.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id"""
+
+
+@registered
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded."""
+    path = tokenizer_path("byte_bpe_50k.json")
+    both = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    return both.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        decimal_sha256("ids").alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
+@F.pandas_udf(T.StringType())
+def decimal_sha256(ids: pd.Series) -> pd.Series:
+    """SHA-256 of the ids in decimal, joined by commas."""
+    return ids.map(lambda i: hashlib.sha256(",".join(map(str, np.frombuffer(i, "<u4").tolist())).encode()).hexdigest())
+
+
 @registered
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learnt from the labels that are not held out."""
@@ -50,3 +115,9 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", toxicity.is_held_out("doc_id").alias("held_out"), F.col("toxicity").alias("score"),
         F.when(F.col("toxicity") >= 0.5, 1).otherwise(0).alias("predicted"),
     )
+
+
+@registered
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract(table(spark, sf_dir, "pages"))
