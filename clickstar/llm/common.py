@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from clickstar.session import scratch_path
 
+# Setting that ends the life of shuffle files with their query; older releases lack it.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 # Bytes of one text that are cut into words at a time.
 BLOCK_BYTES = 1 << 21
 
@@ -23,11 +25,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """The frame written once below the shared folder and read again.
 
     Its rows survive lost executors, and joins of such tables start from plain shuffles, which AQE
-    can split where a key is hot.
+    can split where a key is hot.  Shuffle files of the job are given back as soon as it ends; the
+    frame itself is not used again.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path, before = scratch_path(spark, name), spark.conf.get(CLEANUP, None)
+    if before is not None:
+        spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if before is not None:
+            spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def text_bytes(column: str = "text"):

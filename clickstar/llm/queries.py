@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import bpe, exact, html_text, lines, packing, simhash, toxicity
+from . import bpe, exact, html_text, lines, packing, simhash, substring, toxicity
 from .common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,6 +117,18 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registered
+def op8_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that are left without repeated passages."""
+    parsed = substring.repeated_passages(table(spark, sf_dir, "documents"))
+    whole, nothing = F.lower(F.hex("words_sha256")), F.sha2(F.lit(""), 256)
+    return parsed.select(
+        "doc_id", "n_words", "n_removed",
+        F.when(F.col("n_removed") == 0, whole).when(F.col("n_removed") == F.col("n_words"), nothing)
+        .otherwise(F.sha2("kept", 256)).alias("kept_sha256"),
+    )
+
+
 @registered
 def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
