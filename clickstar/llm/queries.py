@@ -5,26 +5,20 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 
+import corpus_pipeline
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import bpe, exact, html_text, lines, packing, simhash, substring, toxicity
-from .common import table
+from . import bpe, embedding, exact, html_text, lines, packing, pii, simhash, substring, toxicity
+from .common import table, tokenizer_path
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
-def tokenizer_path(name: str) -> str:
-    """Where a public vocabulary file lies on this box; the operators take any path."""
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 def registered(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     REGISTRY[run.__name__] = run
     return run
@@ -46,6 +40,12 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registered
+def op3_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and groups of all vectors by cosine."""
+    return embedding.embedding_groups(table(spark, sf_dir, "embeddings"))
+
+
 @registered
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal documents."""
@@ -133,3 +133,21 @@ def op8_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@registered
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.fit(docs))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+    return found.select(
+        "doc_id", *map(count, pii.KINDS), F.sha2(pii.span_text("base"), 256).alias("base_sha256"),
+        pii.span_text("spans").alias("spans"),
+    )
+
+
+@registered
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the corpus pipeline, one after the other."""
+    return corpus_pipeline.run(spark, sf_dir)
