@@ -37,12 +37,22 @@ def _v6_hex(texts: pd.Series) -> pd.Series:
 def canonical_ip(c: Column) -> Column:
     """Canonical text of an IPv4 or IPv6 address, NULL if it is neither.
 
-    IPv4 text is canonical as soon as it is valid; only text with a colon goes to Python.
+    Spark calls a Python function in a condition for every row; jobs over many rows split them by
+    :func:`canonical_v4` and :func:`canonical_v6`.
     """
     text = trim_ws(c)
-    return F.when(text.rlike(IPV4), text).otherwise(
-        _canonical_v6(F.when(text.contains(":"), text))
-    )
+    return F.when(text.rlike(IPV4), text).otherwise(canonical_v6(c))
+
+
+def canonical_v4(c: Column) -> Column:
+    """Valid IPv4 text, NULL for any other; inside the JVM."""
+    text = trim_ws(c)
+    return F.when(text.rlike(IPV4), text)
+
+
+def canonical_v6(c: Column) -> Column:
+    text = trim_ws(c)
+    return _canonical_v6(F.when(text.contains(":"), text))
 
 
 def ipv4_number(c: Column) -> Column:

@@ -5,20 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-UNKNOWN_KEY = -1
+# No digest looks like this.
+UNKNOWN_KEY = "-1"
 
 
 def surrogate_key(*parts: Column) -> Column:
-    """60-bit key of the parts' text joined by pipes; NULL if any part is NULL.
+    """Key of the parts' text joined by pipes: the whole MD5 as hex text; NULL if any part is NULL.
 
-    The first 15 hex digits of an MD5 fit a BIGINT, are never negative (so they cannot meet the
-    unknown key -1) and are the same in every SQL engine.
+    A shorter digest would let keys of large dimensions meet: with 60 bits some 40 pairs of 10**10.
     """
     texts = [part.cast("string") for part in parts]
     joined = texts[0]
     for text in texts[1:]:
         joined = F.concat(joined, F.lit("|"), text)
-    return F.conv(F.substring(F.md5(joined), 1, 15), 16, 10).cast("bigint")
+    return F.md5(joined)
 
 
 def load_id(bucket: Column, name: Column, generation: Column) -> Column:

@@ -65,8 +65,9 @@ def url_quote(c: Column) -> Column:
     return encoded
 
 
-def last_chars(c: Column, n: int = 2000) -> Column:
-    return F.right(c, F.lit(n))
+def last_chars(c: Column, n: int | None = None) -> Column:
+    """The last ``n`` characters; the whole text without ``n``."""
+    return c if n is None else F.right(c, F.lit(n))
 
 
 def mask_email(c: Column) -> Column:

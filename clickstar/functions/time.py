@@ -14,6 +14,11 @@ from .text import blank_to_null, trim_ws
 FIRST_SECOND = -62135596800
 LAST_SECOND = 253402300799
 WAREHOUSE_ZONE = "Asia/Saigon"
+# A day and, if there is one, a time with or without an offset.
+DAY_AND_TIME = (
+    r"^([0-9][0-9W-]{6,9})(?:[T ][0-9]{2}(?::?[0-9]{2}(?::?[0-9]{2}(?:[.,][0-9]+)?)?)?"
+    r" ?(?:Z|[+-][0-9]{2}(?::?[0-9]{2})?)?)?$"
+)
 
 
 def parse_epoch(c: Column) -> Column:
@@ -23,7 +28,7 @@ def parse_epoch(c: Column) -> Column:
 
 
 def local_date(c: Column, data_type: T.DataType = T.StringType()) -> Column:
-    """Calendar day of a local time; text counts if its first ten characters are an ISO day.
+    """Calendar day of a local time; text counts if it is an ISO day, alone or with an ISO time.
 
     ISO days may also be compact (``20200604``) or week dates (``2020-W23-4``).
     """
@@ -31,7 +36,7 @@ def local_date(c: Column, data_type: T.DataType = T.StringType()) -> Column:
         return c.cast("date")
     if not isinstance(data_type, T.StringType):
         return F.lit(None).cast("date")
-    head = F.substring(trim_ws(c), 1, 10)
+    head = F.regexp_extract(trim_ws(c), DAY_AND_TIME, 1)
     week_form = r"^(\d{4})(?:-W(\d\d)(?:-([1-7]))?|W(\d\d)([1-7])?)$"
     year = F.regexp_extract(head, week_form, 1).try_cast("int")
     week = F.concat(F.regexp_extract(head, week_form, 2), F.regexp_extract(head, week_form, 4)).try_cast("int")

@@ -9,18 +9,19 @@ from pyspark.sql import functions as F
 
 from ..functions.text import last_chars
 
-ERROR_CHARS = 2000
 # The states of a product in the collection job.
 STATUSES = ("pending", "in_progress", "done", "failed")
 
 
-def ledger_delta(attempts: DataFrame) -> DataFrame:
+def ledger_delta(attempts: DataFrame, error_chars: int | None = None) -> DataFrame:
     """Partial ledger of attempts (product_id, url, error, ts, recovered_via).
 
+    Errors are kept whole unless ``error_chars`` asks for their end only.
+
     The latest attempt is one struct, so that partial ledgers merge by ``max`` and ``sum``.  A
     product that was not recovered by its latest attempt has a NULL there, which must win.
     """
-    latest = F.struct("ts", last_chars(F.col("error"), ERROR_CHARS).alias("error"), "recovered_via")
+    latest = F.struct("ts", last_chars(F.col("error"), error_chars).alias("error"), "recovered_via")
     return attempts.groupBy("product_id", "url").agg(
         F.max(latest).alias("latest"), F.count("*").alias("occurrences")
     )
@@ -43,9 +44,9 @@ def ledger_view(ledger: DataFrame) -> DataFrame:
     )
 
 
-def failure_ledger(attempts: DataFrame) -> DataFrame:
+def failure_ledger(attempts: DataFrame, error_chars: int | None = None) -> DataFrame:
     """Per (product, url): last error, number of failures, last time, how it was recovered."""
-    return ledger_view(ledger_delta(attempts))
+    return ledger_view(ledger_delta(attempts, error_chars))
 
 
 def status_counts(df: DataFrame, status: str = "status", statuses: Sequence[str] = STATUSES) -> DataFrame:

@@ -98,7 +98,11 @@ def increment_table(
 
     target = spark.read.parquet(path).select(*source.columns)
     if lateness == "drop":
-        write(after_mark(source, mark, high_water_mark(target, mark)), "append")
+        stored = high_water_mark(target, mark)
+        # Rows without any mark are no mark: as in SQL nothing lies beyond it.  An empty table has
+        # no rows to repeat and takes all.
+        if stored is not None or target.isEmpty():
+            write(after_mark(source, mark, stored), "append")
     elif lateness == "merge":
         # The merge reads the new rows several times; they are computed once.
         source, touched = cut_lineage(source), target

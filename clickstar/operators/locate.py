@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ip import canonical_ip, ip_order_key, ipv4_number
+from ..functions.ip import canonical_v4, canonical_v6, ip_order_key, ipv4_number
 from ..functions.text import trim_ws
+from ..session import cut_lineage
 from .carry import carry_value
 
 PLACE = ("city_name", "region_name", "country_code", "country_name", "latitude", "longitude")
@@ -42,9 +43,16 @@ def distinct_ips(events: DataFrame, column: str = "ip") -> DataFrame:
     return events.select(F.col(column).alias("ip")).distinct()
 
 
+def _by_version(raw_ips: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Texts without a colon, which stay inside the JVM, and those with one."""
+    colon = F.coalesce(F.col("ip").contains(":"), F.lit(False))
+    return raw_ips.where(~colon), raw_ips.where(colon)
+
+
 def ip_scan_statistics(raw_ips: DataFrame) -> DataFrame:
     """Counts over distinct raw values: valid, invalid, and values that became equal."""
-    normal = raw_ips.select(canonical_ip(F.col("ip")).alias("normal"))
+    v4, v6 = _by_version(raw_ips)
+    normal = v4.select(canonical_v4(F.col("ip")).alias("normal")).unionByName(v6.select(canonical_v6(F.col("ip")).alias("normal")))
     # One row per normal form first, so that the final aggregate has no distinct to expand.
     forms = normal.groupBy("normal").agg(F.count("*").alias("values"))
     valid = F.col("normal").isNotNull()
@@ -75,57 +83,56 @@ def _range_lookup(
     )
 
 
+def _cleaned(ranges: DataFrame) -> DataFrame:
+    return ranges.select("ip_from", "ip_to", *[
+        value.alias(name) for name, value in clean_place({n: F.col(n) for n in PLACE}).items()
+    ])
+
+
+def locate_v4(ips: DataFrame, ranges: DataFrame) -> DataFrame:
+    """Place of each distinct IPv4 address; a window holds the addresses of one /16 at most."""
+    return _range_lookup(
+        ips, _cleaned(ranges), ipv4_number(F.col("ip")), F.col("ip_from").cast("bigint"), F.col("ip_to").cast("bigint"),
+        [F.shiftright(F.col("at"), 16)],
+    )
+
+
+def locate_v6(ips: DataFrame, ranges: DataFrame | None, like: DataFrame) -> DataFrame:
+    """Place of each distinct canonical IPv6 address, with the columns of ``like``; a window holds
+    the addresses of one /112 at most."""
+    if ranges is None:
+        return ips.select("ip", *[F.lit(None).cast(like.schema[n].dataType).alias(n) for n in PLACE])
+    return _range_lookup(
+        ips, _cleaned(ranges), ip_order_key(F.col("ip")), ip_order_key(canonical_v6(F.col("ip_from"))),
+        ip_order_key(canonical_v6(F.col("ip_to"))), [F.substring(F.col("at"), 1, digits) for digits in range(4, 32, 4)],
+    )
+
+
 def locate_ips(ips: DataFrame, ranges_v4: DataFrame, ranges_v6: DataFrame | None = None) -> DataFrame:
     """Place of each distinct canonical ip; addresses outside all ranges keep NULL fields.
 
     Ranges are ``ip_from .. ip_to`` (inclusive, not overlapping) with raw place fields: numbers
     for IPv4, address text for IPv6.  A range join would pair every address with every range of
-    its bin; here both are laid on one line and each address takes the last range start.  A
-    window never holds more than the addresses of one /16 (IPv4) or /112 (IPv6).
+    its bin; here both are laid on one line and each address takes the last range start.
     """
-
-    def cleaned(ranges: DataFrame) -> DataFrame:
-        return ranges.select("ip_from", "ip_to", *[
-            value.alias(name) for name, value in clean_place({n: F.col(n) for n in PLACE}).items()
-        ])
-
-    is_v6 = F.col("ip").contains(":")
-    at = F.col("at")
-    located = _range_lookup(
-        ips.where(~is_v6),
-        cleaned(ranges_v4),
-        ipv4_number(F.col("ip")),
-        F.col("ip_from").cast("bigint"),
-        F.col("ip_to").cast("bigint"),
-        [F.shiftright(at, 16)],
-    )
-    if ranges_v6 is None:
-        return located.unionByName(
-            ips.where(is_v6).select("ip", *[F.lit(None).cast(located.schema[n].dataType).alias(n) for n in PLACE])
-        )
-    prefixes = [F.substring(at, 1, digits) for digits in range(4, 32, 4)]
-    return located.unionByName(
-        _range_lookup(
-            ips.where(is_v6),
-            cleaned(ranges_v6),
-            ip_order_key(F.col("ip")),
-            ip_order_key(canonical_ip(F.col("ip_from"))),
-            ip_order_key(canonical_ip(F.col("ip_to"))),
-            prefixes,
-        )
-    )
+    v4, v6 = _by_version(ips)
+    located = locate_v4(v4, ranges_v4)
+    return located.unionByName(locate_v6(v6, ranges_v6, located))
 
 
 def ip_locations(events: DataFrame, ranges_v4: DataFrame, ranges_v6: DataFrame | None = None,
                  column: str = "ip") -> DataFrame:
-    """Location rows for the distinct valid addresses of an event table."""
-    ips = (
-        distinct_ips(events, column)
-        .select(canonical_ip(F.col("ip")).alias("ip"))
-        .where(F.col("ip").isNotNull())
-        .distinct()
-    )
-    return locate_ips(ips, ranges_v4, ranges_v6)
+    """Location rows for the distinct valid addresses of an event table.
+
+    The events are read once, for their distinct texts; only those with a colon meet Python.
+    """
+    v4, v6 = _by_version(cut_lineage(distinct_ips(events, column)))
+
+    def valid(texts: DataFrame, canonical: Column) -> DataFrame:
+        return texts.select(canonical.alias("ip")).where(F.col("ip").isNotNull()).distinct()
+
+    located = locate_v4(valid(v4, canonical_v4(F.col("ip"))), ranges_v4)
+    return located.unionByName(locate_v6(valid(v6, canonical_v6(F.col("ip"))), ranges_v6, located))
 
 
 def location_statistics(raw_ips: DataFrame, locations: DataFrame) -> DataFrame:

@@ -5,28 +5,29 @@ from __future__ import annotations
 import html
 import json
 import re
-from collections import deque
+from collections.abc import Iterable
+from itertools import chain
 from urllib.parse import urljoin
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import HTTP_URL, last_chars, normal_id
 
 DATA_URL_VARIABLE = "react_data_url"
-MAX_NODES = 20_000
 NO_VARIABLE = "script variable not found"
 BAD_URL = "script variable holds no http(s) url"
 NO_JSON = "payload is no json"
+TOO_DEEP = "payload is nested too deep"
 NO_PRODUCT = "no object with product_id in the json"
 WRONG_PRODUCT = "product_id differs"
 
-# Escapes of script strings, undone in this order after \uXXXX.
-ESCAPES = (
-    (r"\/", "/"), (r"\\", "\\"), (r"\'", "'"), (r"\"", '"'), (r"\n", "\n"), (r"\r", "\r"), (r"\t", "\t"),
-)
+# One-letter escapes of script strings; a hex escape is \uXXXX.
+ESCAPES = {"/": "/", "\\": "\\", "'": "'", '"': '"', "n": "\n", "r": "\r", "t": "\t"}
+_ESCAPE = re.compile(r"\\(?:u([0-9a-fA-F]{4})|(.))", re.S)
+_SURROGATE = re.compile("[\ud800-\udfff]")
 
 # The product fields kept; fields a payload lacks become NULL.
 PRODUCT_FIELDS = (
@@ -46,20 +47,29 @@ def _variable_pattern(name: str) -> str:
     return rf"(?is)\b{re.escape(name)}\s*=\s*(?:{quoted})"
 
 
+def plain_text(text: str) -> str:
+    """Text that can be stored as UTF-8: halves of a pair are joined, lone ones become U+FFFD."""
+    if not _SURROGATE.search(text):
+        return text
+    return text.encode("utf-16-le", "surrogatepass").decode("utf-16-le", "replace")
+
+
+def unescaped(text: str) -> str:
+    """The value of a script string, by one scan from left to right; unknown escapes stay."""
+    return plain_text(
+        _ESCAPE.sub(lambda found: chr(int(found[1], 16)) if found[1] else ESCAPES.get(found[2], found[0]), text)
+    )
+
+
 @F.pandas_udf(T.StringType())
 def _resolve(base: pd.Series, value: pd.Series) -> pd.Series:
-    def one(page: str | None, text: str | None) -> str | None:
-        if text is None:
-            return None
-        text = re.sub(r"\\u([0-9a-fA-F]{4})", lambda found: chr(int(found.group(1), 16)), text)
-        for escaped, plain in ESCAPES:
-            text = text.replace(escaped, plain)
+    def against(page: str | None, text: str | None) -> str | None:
         try:
-            return urljoin(page or "", html.unescape(text))
+            return None if text is None else plain_text(urljoin(page or "", html.unescape(unescaped(text))))
         except ValueError:
             return None
 
-    return pd.Series([one(page, text) for page, text in zip(base, value)], dtype=object)
+    return base.combine(value, against).astype(object)
 
 
 def script_variable_url(pages: DataFrame, variable: str = DATA_URL_VARIABLE) -> DataFrame:
@@ -84,33 +94,41 @@ def script_variable_url(pages: DataFrame, variable: str = DATA_URL_VARIABLE) ->
     ).drop("__value", "__url")
 
 
+def _children(value: object) -> Iterable[object]:
+    return value.values() if isinstance(value, dict) else value if isinstance(value, list) else ()
+
+
 def _product_in(payload: str | None) -> tuple[str | None, str | None]:
-    """Breadth-first search for the product object of one payload: its JSON text, or an error."""
+    """JSON text of the product object of one payload, or an error.
+
+    The levels of the document are looked through from the top.  A full product has a product_id
+    and a sku or a name; the first one of the topmost level that has any wins.  Without one the
+    first object with a product_id counts.
+    """
     try:
-        level = deque([json.loads(payload or "")])
+        level = [json.loads(payload or "")]
+        known = []
+        while level:
+            named = [value for value in level if isinstance(value, dict) and "product_id" in value]
+            full = next((value for value in named if "sku" in value or "name" in value), None)
+            if full is not None:
+                known = [full]
+                break
+            known += named[:1]
+            level = list(chain.from_iterable(map(_children, level)))
+        return (plain_text(json.dumps(known[0], ensure_ascii=False)), None) if known else (None, NO_PRODUCT)
+    except RecursionError:
+        return None, TOO_DEEP
     except ValueError:
         return None, NO_JSON
-    bare = None
-    for _ in range(MAX_NODES):
-        if not level:
-            break
-        node = level.popleft()
-        if isinstance(node, dict):
-            if "product_id" in node:
-                if node.keys() & {"sku", "name"}:
-                    return json.dumps(node, ensure_ascii=False), None
-                bare = bare or node
-            level.extend(node.values())
-        elif isinstance(node, list):
-            level.extend(node)
-    return (json.dumps(bare, ensure_ascii=False), None) if bare else (None, NO_PRODUCT)
 
 
 @F.pandas_udf(T.StructType([T.StructField("product", T.StringType()), T.StructField("error", T.StringType())]))
 def product_object(payloads: pd.Series) -> pd.DataFrame:
     """The product object of each JSON payload, or why there is none.
 
-    Its depth is unknown, so no fixed set of JSON paths finds it; rows stay where they are.
+    Its depth is unknown, so no fixed set of JSON paths finds it, and a variant keeps the fields of
+    an object by name, not in their order, which decides here; rows stay where they are.
     """
     found = [_product_in(payload) for payload in payloads]
     return pd.DataFrame(found, columns=["product", "error"], dtype=object)
@@ -175,20 +193,15 @@ def fetch_failures(judged: DataFrame) -> DataFrame:
     )
 
 
-def lost_products(judged: DataFrame, chars: int = 2000) -> DataFrame:
-    """Products without any good URL and the end of their joined error text.
+def lost_products(judged: DataFrame, chars: int | None = None) -> DataFrame:
+    """Products without any good URL and the joined error text of their URLs, in order of priority.
 
-    Each piece brings at least the five characters of ``: `` and `` | ``, so the last ``chars``
-    characters cannot reach further back than a fifth as many pieces; only those are collected,
-    however many URLs were tried.
+    ``chars`` keeps the end of the text only.  A URL that is missing is empty in the text.
     """
-    lost = fetch_failures(judged).where(F.col("recovered_via").isNull())
-    recent = Window.partitionBy("product_id").orderBy(F.col("priority").desc())
-    piece = F.concat(F.col("url"), F.lit(": "), last_chars(F.col("error"), chars)).alias("piece")
+    lost = judged.join(judged.where(F.col("error").isNull()).select("product_id").distinct(), "product_id", "left_anti")
+    piece = F.concat(F.coalesce("url", F.lit("")), F.lit(": "), F.col("error")).alias("piece")
     return (
-        lost.withColumn("rank", F.row_number().over(recent))
-        .where(F.col("rank") <= chars // 5 + 1)
-        .groupBy("product_id")
+        lost.groupBy("product_id")
         .agg(F.array_sort(F.collect_list(F.struct("priority", piece))).alias("pieces"))
         .select("product_id", last_chars(F.array_join(F.col("pieces.piece"), " | "), chars).alias("last_error"))
     )

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.keys import UNKNOWN_KEY
 from ..functions.text import mask_email
 
 
@@ -55,7 +56,7 @@ def relationship(child: DataFrame, column: str, parent: DataFrame, field: str) -
 def without_active_version(dim: DataFrame, entity: str, key: str, current: str = "is_current") -> DataFrame:
     """One row with both counts if some entity has no current version, else no row."""
     return (
-        dim.where(F.col(key) != -1)
+        dim.where(F.col(key) != UNKNOWN_KEY)
         .groupBy(entity)
         .agg(F.bool_or(F.coalesce(current, F.lit(False))).alias("active"))
         .agg(

@@ -23,24 +23,23 @@ def rejected_quotes(quotes: DataFrame) -> DataFrame:
     return quotes.where(~valid_quote(quotes))
 
 
-def pivot_rates(quotes: DataFrame, order: str, base: str = BASE) -> DataFrame:
+def pivot_rates(quotes: DataFrame, order: str, base: str = BASE, strict: bool = True) -> DataFrame:
     """(date, base, rates) with ``rates`` sorted by currency; the last of repeated quotes wins.
 
     After the first aggregate a day holds one row per currency, so the collected map is small
-    whatever the number of quotes.  A day with any rejected quote is left out as a whole.
+    whatever the number of quotes.  A rejected quote fails the job and its day is named; without
+    ``strict`` only the rejected quotes are left out (:func:`rejected_quotes` has them).
     """
     valid = valid_quote(quotes)
-    last = quotes.groupBy("date", "quote").agg(
-        F.max_by("rate", order).cast("double").alias("rate"),
-        F.bool_and(valid).alias("clean"),
-    )
+    if strict:
+        problem = F.concat(F.lit("rejected exchange rate on "), F.coalesce(F.col("date").cast("string"), F.lit("no day")))
+        quotes = quotes.withColumn("quote", F.when(valid, F.col("quote")).otherwise(F.raise_error(problem).cast("string")))
+    else:
+        quotes = quotes.where(valid)
+    last = quotes.groupBy("date", "quote").agg(F.max_by("rate", order).cast("double").alias("rate"))
     return (
         last.groupBy("date")
-        .agg(
-            F.bool_and("clean").alias("clean"),
-            F.array_sort(F.collect_list(F.when(F.col("clean"), F.struct("quote", "rate")))).alias("pairs"),
-        )
-        .where("clean")
+        .agg(F.array_sort(F.collect_list(F.struct("quote", "rate"))).alias("pairs"))
         .select("date", F.lit(base).alias("base"), F.map_from_entries("pairs").alias("rates"))
     )
 

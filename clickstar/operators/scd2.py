@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.keys import surrogate_key
+from ..functions.keys import UNKNOWN_KEY, surrogate_key
 from ..functions.time import iso_micros
 from .carry import carry_value, time_chunk
 
@@ -99,7 +99,7 @@ def version_dimension(
 
 def unknown_version(key: str, text_columns: Sequence[str]) -> Mapping[str, Column]:
     return {
-        key: F.lit(-1),
+        key: F.lit(UNKNOWN_KEY),
         **{name: F.lit("Unknown") for name in text_columns},
         "start_time": _time(FIRST_TIME),
         "end_time": _time(LAST_TIME),

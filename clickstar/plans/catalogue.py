@@ -12,7 +12,7 @@ from ..functions import ip as ip_functions
 from ..functions import price as price_functions
 from ..functions import text as text_functions
 from ..functions import time as time_functions
-from ..functions.keys import surrogate_key
+from ..functions.keys import UNKNOWN_KEY, surrogate_key
 from ..operators import candidates, dates, failures, locate, pages, quality, rates, scd2
 from ..operators.carry import carry_value, time_chunk
 from ..operators.increment import after_mark, increment_table, newer_rows, upsert
@@ -27,8 +27,10 @@ from .warehouse import Warehouse
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
-# "Today" of all registered runs, so that results do not depend on the clock.
-TODAY = date(2001, 6, 30)
+# "Today" of all registered runs, so that results do not depend on the clock; after the last order.
+TODAY = date(2001, 12, 31)
+# A day within the orders, for the query that shows what a calendar leaves out.
+EARLY_DAY = date(2001, 6, 30)
 
 
 def query(run: Query) -> Query:
@@ -175,7 +177,7 @@ def scd2_asof_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scd2.asof_lookup(
         shifted, dims.customer_versions(events), on=("device", "customer_device_id"), ts="at", key="customer_key"
     )
-    return found.select("event_id", F.coalesce("customer_key", F.lit(-1).cast("bigint")).alias("customer_key"))
+    return found.select("event_id", F.coalesce("customer_key", F.lit(UNKNOWN_KEY)).alias("customer_key"))
 
 
 @query
@@ -195,7 +197,7 @@ def latest_value_before(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dim_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    days = dims.dim_date(adapter.order_headers(spark, sf_dir), TODAY)
+    days = dims.dim_date(adapter.order_headers(spark, sf_dir), EARLY_DAY)
     return days.withColumn("date_key", F.col("date_key").cast("string"))
 
 
@@ -486,9 +488,13 @@ def ip_location(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _failed_attempts(table(spark, sf_dir, "events"))
+
+
+def _failed_attempts(events: DataFrame) -> DataFrame:
     """Every event as a failed attempt at one of the user's URLs."""
     user = F.col("user_id").cast("string")
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         user.alias("product_id"),
         F.concat(F.lit("https://shop.example.com/p/"), user, F.lit("?v="), F.col("event_id") % 3).alias("url"),
         F.concat("event_type", F.lit(" "), F.repeat(F.lit("."), 2000), F.col("event_id")).alias("error"),
@@ -605,6 +611,30 @@ def lost_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.lost_products(pages.judge_attempts(_payloads(spark, sf_dir)))
 
 
+@query
+def lost_without_url(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lost products of which every other try has no URL; no error gets lost."""
+    tries = _payloads(spark, sf_dir).withColumn("url", F.when(F.col("priority") % 2 == 1, F.col("url")))
+    return pages.lost_products(pages.judge_attempts(tries))
+
+
+@query
+def json_object_hard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products behind 25,000 values, half a surrogate pair, broken and very deep JSON."""
+    key = F.col("p_partkey").cast("string")
+    product = F.concat(F.lit('{"product_id": "'), key, F.lit('", "sku": "s", "name": "a\\ud83d"}'))
+    kind = F.col("p_partkey") % 40
+    payload = (
+        F.when(kind == 0, F.concat(F.lit('{"x": ['), F.repeat(F.lit("1,"), 25_000), product, F.lit("]}")))
+        .when(kind == 1, F.lit('{"a":'))
+        .when(kind == 2, F.concat(F.repeat(F.lit("["), 100_000), product))
+        .otherwise(product)
+    )
+    found = pages.find_products(table(spark, sf_dir, "part").select("p_partkey", payload.alias("payload")))
+    inner = pages.product_fields(F.col("product"), ("product_id", "name"))
+    return found.select("p_partkey", *[c.alias(n) for c, n in zip(inner, ("found_id", "name"))], "error")
+
+
 # Landing ------------------------------------------------------------------------------------
 
 
@@ -745,10 +775,29 @@ def ledger_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     routed = ledger.route_files(arrived, "landing")
     for _ in range(2):
         ledger.append_once(spark, routed, root, "raw_mongo", lambda s, uris: s.read.parquet(*uris))
-    landed = spark.read.parquet(f"{root}/raw_mongo")
+    landed = ledger.landed(spark, root, "raw_mongo")
     return landed.groupBy("event_type").agg(F.count("*").alias("n"), F.max("event_id").alias("last_event"))
 
 
+@query
+def ledger_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads of which the second brings a new column; rows of the first read NULL there."""
+    root = scratch_path(spark, "landing")
+    for columns in (["event_id", "event_type"], ["event_id", "event_type", "value"]):
+        source = scratch_path(spark, "arrived")
+        files.write_documents(table(spark, sf_dir, "events").select(*columns), source)
+        arrived = files.list_files(spark, source, "*.parquet").select(
+            F.lit("landing").alias("bucket"), F.concat(F.lit("mongodb_data_string/"), "name").alias("name"),
+            F.lit(len(columns)).alias("generation"), F.col("path").alias("uri"),
+        )
+        ledger.append_once(
+            spark, ledger.route_files(arrived, "landing"), root, "raw_mongo", lambda s, uris: s.read.parquet(*uris)
+        )
+    return ledger.landed(spark, root, "raw_mongo").groupBy("event_type").agg(
+        F.count("*").alias("n"), F.count("value").alias("n_values")
+    )
+
+
 @query
 def batch_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events in exact batches of 1,500 with first id, last id and size."""
@@ -857,19 +906,33 @@ def stream_first_n(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_failure_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    user = F.col("user_id").cast("string")
-    attempts = _event_stream(spark, sf_dir).select(
-        user.alias("product_id"),
-        F.concat(F.lit("https://shop.example.com/p/"), user, F.lit("?v="), F.col("event_id") % 3).alias("url"),
-        F.concat("event_type", F.lit(" "), F.repeat(F.lit("."), 2000), F.col("event_id")).alias("error"),
-        F.col("ts").cast("timestamp").alias("ts"),
-        F.when(F.col("event_type") == "view", F.concat(F.lit("via "), F.col("event_id"))).alias("recovered_via"),
-    )
     state = scratch_path(spark, "failures")
-    state_tables.stream_failures(attempts, state, scratch_path(spark, "offsets"))
+    state_tables.stream_failures(_failed_attempts(_event_stream(spark, sf_dir)), state, scratch_path(spark, "offsets"))
+    return _ledger_output(state_tables.current_failures(spark, state))
+
+
+@query
+def stream_new_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two queries, each with its own checkpoint, that feed one failure ledger."""
+    state = scratch_path(spark, "failures")
+    for half in (0, 1):
+        attempts = _failed_attempts(_event_stream(spark, sf_dir).where(F.col("event_id") % 2 == half))
+        state_tables.stream_failures(attempts, state, scratch_path(spark, "offsets"))
     return _ledger_output(state_tables.current_failures(spark, state))
 
 
+@query
+def increment_null_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table whose marks are all NULL: a second run adds nothing."""
+    path = scratch_path(spark, "unmarked")
+    rows = table(spark, sf_dir, "events").select(
+        "event_id", "event_type", F.lit(None).cast("timestamp").alias("ts")
+    )
+    for _ in range(2):
+        loaded = increment_table(spark, path, rows, ["event_id"], "ts")
+    return loaded.groupBy("event_type").agg(F.count("*").alias("n"))
+
+
 @query
 def stream_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Micro-batches merged into a table by event; late files are merged too."""
@@ -1013,5 +1076,5 @@ def dim_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     built.view("dim_customer")
     return spark.sql(
         "SELECT count(DISTINCT customer_device_id) AS customers, count(*) AS versions,"
-        " count_if(is_current) AS current_versions FROM dim_customer WHERE customer_key <> -1"
+        " count_if(is_current) AS current_versions FROM dim_customer WHERE customer_key <> '-1'"
     )

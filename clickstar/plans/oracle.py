@@ -11,7 +11,8 @@ from ..sources.seeds import CURRENCY_MAPPING
 from . import adapter
 from .adapter import DUCK
 
-TODAY = "DATE '2001-06-30'"
+TODAY = "DATE '2001-12-31'"
+EARLY_DAY = "DATE '2001-06-30'"
 ORACLE: dict[str, str] = {}
 
 
@@ -20,7 +21,7 @@ def _select(fields: dict[str, str]) -> str:
 
 
 def key(text: str) -> str:
-    return f"CAST('0x' || substr(md5({text}), 1, 15) AS BIGINT)"
+    return f"md5({text})"
 
 
 def stamp(x: str) -> str:
@@ -140,8 +141,8 @@ grouped AS (
          sum(amount)::BIGINT AS sales_amount, {half_up('sum(nano::HUGEINT)', 'count(nano)')} AS nano
   FROM keyed GROUP BY ALL),
 fact AS (
-  SELECT coalesce(customer_key, -1) AS customer_key, coalesce(product_key, -1) AS product_key, location_key,
-         coalesce(g.currency_key, -1) AS currency_key, coalesce(store_key, -1) AS store_key,
+  SELECT coalesce(customer_key, '-1') AS customer_key, coalesce(product_key, '-1') AS product_key, location_key,
+         coalesce(g.currency_key, '-1') AS currency_key, coalesce(store_key, '-1') AS store_key,
          coalesce(date_key, DATE '1970-01-01') AS date_key, order_id, tm, ip, sales_amount,
          nano::DOUBLE / 1e9 AS sales_local_price, {cents2('nano::DOUBLE / 1e9 * to_usd')} AS usd
   FROM grouped g LEFT JOIN rate r ON r.currency_key = g.currency_key AND r.day = g.date_key)"""
@@ -159,7 +160,7 @@ dim_location AS (
   FROM (SELECT coalesce(city, 'XNA') AS location_city_name, coalesce(region, 'XNA') AS location_region_name,
                coalesce(country, 'XNA') AS location_country_name, coalesce(code, 'XNA') AS location_country_code
         FROM ord LEFT JOIN place ON octet = n_nationkey)
-  UNION ALL SELECT -1, 'Unknown', 'Unknown', 'Unknown', 'Unknown')"""
+  UNION ALL SELECT '-1', 'Unknown', 'Unknown', 'Unknown', 'Unknown')"""
 
 ORACLE["revenue_by_country"] = f"""{STAR}, {LOCATION}
 SELECT location_country_name, location_country_code, sum(usd)::DOUBLE AS Revenue
@@ -239,11 +240,11 @@ SELECT customer_key, device_id AS customer_device_id, coalesce(user_agent, 'XNA'
        coalesce(user_id_db, 'XNA') AS customer_user_id_db, coalesce(email_address, 'XNA') AS customer_email_address,
        {stamp('tm')} AS start_time, coalesce({stamp('later')}, '9999-01-01 00:00:00') AS end_time, later IS NULL AS is_current
 FROM version
-UNION ALL SELECT -1, 'Unknown', 'Unknown', 'Unknown', 'Unknown', '1900-01-01 00:00:00', '9999-01-01 00:00:00', FALSE"""
+UNION ALL SELECT '-1', 'Unknown', 'Unknown', 'Unknown', 'Unknown', '1900-01-01 00:00:00', '9999-01-01 00:00:00', FALSE"""
 
 ORACLE["scd2_asof_lookup"] = f"""WITH {EVENTS}, {VERSIONS},
 fact AS (SELECT event_id, user_id::VARCHAR AS device, tm + to_seconds((event_id % 7 - 3) * 3600) AS moment FROM ev)
-SELECT event_id, coalesce(customer_key, -1) AS customer_key
+SELECT event_id, coalesce(customer_key, '-1') AS customer_key
 FROM fact LEFT JOIN version ON device = device_id AND moment >= tm AND (later IS NULL OR moment < later)"""
 
 ORACLE["latest_value_before"] = f"""
@@ -263,7 +264,7 @@ CALENDAR = """{day}, dayofweek({d}) + 1 AS day_of_week, dayname({d}) AS day_name
   dayofyear({d}) AS day_of_year, weekofyear({d}) AS week_of_year, month({d}) AS month_number, monthname({d}) AS month_name,
   quarter({d}) AS quarter_number, year({d}) AS year_number, dayofweek({d}) IN (0, 6) AS is_weekend"""
 
-ORACLE["dim_calendar"] = f"""WITH {ORDERS}, {DAYS}
+ORACLE["dim_calendar"] = f"""WITH {ORDERS}, {DAYS.replace(TODAY, EARLY_DAY)}
 SELECT {CALENDAR.format(day='CAST(day AS VARCHAR) AS date_key', d='day')} FROM day_known
 UNION ALL SELECT '1970-01-01', 0, 'Unknown', 0, 0, 0, 0, 'Unknown', 0, 0, FALSE"""
 
@@ -273,7 +274,7 @@ FROM (SELECT DISTINCT CAST(l_shipdate AS DATE) AS d FROM lineitem)"""
 
 ORACLE["dim_store"] = f"""WITH {ORDERS},
 store AS (SELECT DISTINCT coalesce(store_id, 'XNA') AS store_id, coalesce(store_domain, 'XNA') AS store_domain FROM ord)
-SELECT {key("store_id || '|' || store_domain")} AS store_key, * FROM store UNION ALL SELECT -1, 'Unknown', 'Unknown'"""
+SELECT {key("store_id || '|' || store_domain")} AS store_key, * FROM store UNION ALL SELECT '-1', 'Unknown', 'Unknown'"""
 
 ORACLE["dim_location"] = f"WITH {ORDERS}, {PLACES}, {LOCATION} SELECT * FROM dim_location"
 
@@ -284,10 +285,10 @@ SELECT {key('p_partkey::VARCHAR')} AS product_key, p_partkey::VARCHAR AS product
        CAST(p_retailprice AS DECIMAL(12,2))::DOUBLE AS product_base_price,
        (CAST(p_retailprice AS DECIMAL(12,2)) - 1)::DOUBLE AS product_min_price,
        CASE WHEN p_size < 40 THEN (CAST(p_retailprice AS DECIMAL(12,2)) + p_size)::DOUBLE ELSE 0 END AS product_max_price
-FROM part UNION ALL SELECT -1, 'Unknown', 'Unknown', 'Unknown', 'Unknown', 0, 0, 0"""
+FROM part UNION ALL SELECT '-1', 'Unknown', 'Unknown', 'Unknown', 'Unknown', 0, 0, 0"""
 
 ORACLE["dim_currency"] = f"""WITH {MAPPING}, {ORDERS}, {CURRENCIES}
-SELECT * FROM currency UNION ALL SELECT -1, 'Unknown', 'Unknown'"""
+SELECT * FROM currency UNION ALL SELECT '-1', 'Unknown', 'Unknown'"""
 
 # Exchange rates -----------------------------------------------------------------------------
 ORACLE["fx_pivot"] = f"""WITH {MAPPING}, {CODES}, {QUOTES}
@@ -414,12 +415,15 @@ FROM events WHERE event_type = 'purchase'"""
 
 ORACLE["failure_ledger"] = f"""
 SELECT user_id::VARCHAR AS product_id, 'https://shop.example.com/p/' || user_id || '?v=' || (event_id % 3) AS url,
-       right('..........' || max_by(event_id, ts), 10) AS last_error, 2000 AS error_length, count(*) AS occurrences,
+       right('..........' || max_by(event_id, ts), 10) AS last_error, length(max_by(event_type, ts)) + 2001 + length(max_by(event_id, ts)::VARCHAR) AS error_length, count(*) AS occurrences,
        {stamp('max(ts)')} AS last_failed_at,
        max_by(CASE WHEN event_type = 'view' THEN 'via ' || event_id ELSE '' END, ts) AS via
 FROM events GROUP BY user_id, event_id % 3"""
 ORACLE["failure_ledger"] = f"SELECT * EXCLUDE (via), nullif(via, '') AS recovered_via FROM ({ORACLE['failure_ledger']})"
 ORACLE["stream_failure_ledger"] = ORACLE["failure_ledger"]
+ORACLE["stream_new_checkpoint"] = ORACLE["failure_ledger"]
+ORACLE["increment_null_marks"] = "SELECT event_type, count(*) AS n FROM events GROUP BY event_type"
+ORACLE["ledger_drift"] = "SELECT event_type, 2 * count(*) AS n, count(value) AS n_values FROM events GROUP BY event_type"
 
 ORACLE["status_counts"] = f"""WITH {EVENTS}, {SIGHTINGS}
 SELECT count(*) FILTER (o_orderstatus = 'O') AS pending, 0 AS in_progress, count(*) FILTER (o_orderstatus = 'F') AS done,
@@ -460,6 +464,15 @@ ORACLE["lost_products"] = f"""WITH {PAYLOADS}
 SELECT id AS product_id, string_agg(url || ': ' || error, ' | ' ORDER BY priority) AS last_error
 FROM judged WHERE won IS NULL GROUP BY id"""
 
+ORACLE["lost_without_url"] = f"""WITH {PAYLOADS}
+SELECT id AS product_id, string_agg(CASE WHEN priority % 2 = 1 THEN url ELSE '' END || ': ' || error, ' | ' ORDER BY priority) AS last_error
+FROM judged WHERE won IS NULL GROUP BY id"""
+ORACLE["json_object_hard"] = """
+SELECT p_partkey, CASE WHEN p_partkey % 40 NOT IN (1, 2) THEN p_partkey::VARCHAR END AS found_id,
+       CASE WHEN p_partkey % 40 NOT IN (1, 2) THEN 'a' || chr(65533) END AS name,
+       CASE p_partkey % 40 WHEN 1 THEN 'payload is no json' WHEN 2 THEN 'payload is nested too deep' END AS error
+FROM part"""
+
 # Landing ------------------------------------------------------------------------------------
 ORACLE["string_leaf"] = """
 SELECT o_orderkey::VARCHAR AS o_orderkey, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS placed_at,

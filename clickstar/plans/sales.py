@@ -119,7 +119,7 @@ def sales_fact(
     )
     priced = convert(grouped, rates, "sales_local_price", "sales_usd_price")
     filled = priced.select(
-        *[F.coalesce(name, F.lit(UNKNOWN_KEY).cast("bigint")).alias(name) for name in keys],
+        *[F.coalesce(name, F.lit(UNKNOWN_KEY)).alias(name) for name in keys],
         F.coalesce("date_key", F.lit(UNKNOWN_DATE)).alias("date_key"),
         "order_id",
         "time_stamp",

@@ -9,6 +9,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.keys import UNKNOWN_KEY
 from ..operators.increment import increment_table
 from ..operators.lookup import with_audit, with_comments
 from ..operators.rates import rates_to_base
@@ -91,7 +92,7 @@ class Warehouse:
         )
         customer, calendar, currency, store, product, ips = made
 
-        known_currency = currency.where(F.col("currency_key") != -1)
+        known_currency = currency.where(F.col("currency_key") != UNKNOWN_KEY)
         known_day = calendar.where(F.col("date_key") != F.lit(dims.UNKNOWN_DATE))
         location, rates = self.together(
             lambda: self.save("dim_location", dims.dim_location(ips)),

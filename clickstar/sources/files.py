@@ -213,8 +213,8 @@ def check_rewrite_paths(source: str, destination: str) -> None:
 def rewrite_files(spark: SparkSession, source: str, destination: str, max_files: int | None = None) -> DataFrame:
     """Rewrite Parquet files with text leaves; returns source, status, rows, error per file.
 
-    Output keeps one folder per source file (``source_file=…``, its path below the source), which
-    tells later runs what to skip.  Files of equal schema are rewritten by one distributed job; a file whose footer cannot
+    Output keeps one folder per source file (``source_file=…``, its path below the source); these
+    and, for files without rows, a list beside the output tell later runs what to skip.  Files of equal schema are rewritten by one distributed job; a file whose footer cannot
     be read is reported as failed and does not stop the others.
     """
     check_rewrite_paths(source, destination)
@@ -223,6 +223,9 @@ def rewrite_files(spark: SparkSession, source: str, destination: str, max_files:
         done = spark.read.schema("source_file string").parquet(destination).distinct().toDF("name")
     else:
         done = spark.createDataFrame([], "name string")
+    empty_list = f"{destination.rstrip('/')}__empty"
+    if path_exists(spark, empty_list):
+        done = done.union(spark.read.schema("name string").parquet(empty_list)).distinct()
     # Only file names come to the driver, as in any file scan.
     flagged = listed.join(done.withColumn("done", F.lit(True)), "name", "left").orderBy("path")
     files = (flagged.limit(max_files) if max_files is not None else flagged).collect()
@@ -231,7 +234,7 @@ def rewrite_files(spark: SparkSession, source: str, destination: str, max_files:
         try:
             return spark.read.parquet(path).schema.json(), None
         except (PySparkException, Py4JJavaError) as error:
-            return None, f"{type(error).__name__}: {error}"[:2000]
+            return None, f"{type(error).__name__}: {error}"
 
     pending = [row for row in files if not row["done"]]
     with ThreadPoolExecutor(max_workers=16) as pool:
@@ -255,6 +258,15 @@ def rewrite_files(spark: SparkSession, source: str, destination: str, max_files:
             .partitionBy("source_file")
             .parquet(destination)
         )
+    migrated = [(name,) for name, (state, _) in outcome.items() if state == "migrated"]
+    if migrated:
+        new = spark.createDataFrame(migrated, "name string")
+        if path_exists(spark, destination):
+            written = spark.read.schema("source_file string").parquet(destination).select(F.col("source_file").alias("name"))
+            new = new.join(written.distinct(), "name", "left_anti")
+        # Partitioned output of no rows leaves no folder.
+        if not new.isEmpty():
+            new.write.mode("append").parquet(empty_list)
     status = spark.createDataFrame(
         [(name, state, error) for name, (state, error) in outcome.items()],
         "source string, status string, error string",

@@ -63,13 +63,19 @@ def unloaded(files: DataFrame, ledger: DataFrame) -> DataFrame:
     )
 
 
+def landed(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """The rows of a landing table; a column that only some batches have is NULL in the others."""
+    return spark.read.option("mergeSchema", "true").parquet(f"{root}/{table}")
+
+
 def append_once(spark: SparkSession, files: DataFrame, root: str, table: str, reader) -> DataFrame:
     """Append the not yet loaded files(…, uri) of one landing table; returns what this run did.
 
     Three steps make a crash harmless.  The batch is first written to the ledger as planned; its
     rows then go to a folder named after the batch, overwriting what a broken run left there;
     last the batch is marked as done.  A run finishes planned batches before it plans a new one.
-    ``reader(spark, uris)`` gives the rows of the files.
+    ``reader(spark, uris)`` gives the rows of the files; batches may differ in their columns, see
+    :func:`landed`.
     """
     plans, data, marks = f"{root}/ledger/{table}", f"{root}/{table}", f"{root}/done/{table}"
     plan_schema, mark_schema = "load_id string, uri string, batch string", "batch string"

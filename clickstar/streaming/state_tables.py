@@ -1,8 +1,9 @@
 """State that lives in tables instead of operator memory.
 
 Every micro-batch is reduced to a small delta that merges associatively, and written to a folder
-named after the batch.  A replayed batch overwrites its own folder, so it counts once.  Readers
-merge the deltas; state never has to be rewritten as a whole.
+named after the query and the batch.  A replayed batch overwrites its own folder, so it counts
+once; a new checkpoint is a new query and adds to what others left.  Readers merge the deltas; state
+never has to be rewritten as a whole.
 """
 
 from __future__ import annotations
@@ -30,14 +31,20 @@ def _run(stream: DataFrame, checkpoint: str, each_batch: Callable[[DataFrame, in
 
 def stream_deltas(stream: DataFrame, table: str, checkpoint: str, reduce: Callable[[DataFrame], DataFrame]) -> None:
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        reduce(batch).write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
+        query = query_id(batch.sparkSession, checkpoint)
+        reduce(batch).write.mode("overwrite").parquet(f"{table}/query_id={query}/batch_id={batch_id}")
 
     _run(stream, checkpoint, each_batch)
 
 
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """Id of the query that owns a checkpoint; Spark notes it there when the query first starts."""
+    return spark.read.schema("id string").json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
+
+
 def compact_deltas(spark: SparkSession, table: str, merge: Callable[[DataFrame], DataFrame], target: str) -> None:
     """Write the merged state as the first delta of a new table."""
-    merge(spark.read.parquet(table).drop("batch_id")).write.parquet(f"{target}/batch_id=-1")
+    merge(spark.read.parquet(table).drop("query_id", "batch_id")).write.parquet(f"{target}/query_id=compacted/batch_id=-1")
 
 
 # First N URLs per product across runs -------------------------------------------------------

@@ -1,5 +1,6 @@
 """Enrichment, increments, lookups, rates, quality checks and plans."""
 
+import json
 from datetime import date
 from decimal import Decimal
 
@@ -96,9 +97,21 @@ def test_reasons_without_a_product(spark):
     assert got == [pages.NO_JSON, pages.NO_PRODUCT, pages.NO_JSON]
 
 
-def test_product_search_is_limited(spark):
-    deep = '{"x": [' + ",".join(["1"] * pages.MAX_NODES) + ', {"product_id": 1, "sku": "a"}]}'
-    assert pages.find_products(spark.createDataFrame([(deep,)], "payload string")).first()["product"] is None
+def test_product_search_has_no_limit(spark):
+    wide = '{"x": [' + ",".join(["1"] * 30_000) + ', {"product_id": 1, "sku": "a"}]}'
+    below = '{"a": {"product_id": 1}, "b": [{"product_id": 2, "name": "n"}], "c": {"product_id": 3, "sku": "s"}}'
+    rows = [(0, wide), (1, below), (2, '{"product_id": 1, "name": "\\ud83d \\ud83d\\ude00"}'), (3, "[" * 200_000), (4, '{"a":')]
+    found = {r["i"]: r for r in pages.find_products(spark.createDataFrame(rows, "i int, payload string")).collect()}
+    assert [json.loads(found[i]["product"])["product_id"] for i in (0, 1, 2)] == [1, 3, 1]
+    assert json.loads(found[2]["product"])["name"] == "\ufffd \U0001f600"
+    assert [found[i]["error"] for i in (3, 4)] == [pages.TOO_DEEP, pages.NO_JSON]
+
+
+def test_script_values(spark):
+    assert pages.unescaped(r"a\/b\\u0041 A\ud83d\ude00 \ud83d \x \'") == "a/b\\u0041 A\U0001f600 \ufffd \\x '"
+    page = [("http://h/x", r"<script>react_data_url = '/p\ud83d\ude00'</script>"), ("http://h/x", r"<script>react_data_url='/p\ud83d'</script>")]
+    got = pages.script_variable_url(spark.createDataFrame(page, "url string, html string")).collect()
+    assert [r["data_url"] for r in got] == ["http://h/p\U0001f600", "http://h/p\ufffd"]
 
 
 def test_attempt_outcomes(spark):
@@ -110,7 +123,7 @@ def test_attempt_outcomes(spark):
     failed = {(r["product_id"], r["url"]): r["recovered_via"] for r in pages.fetch_failures(judged).collect()}
     assert failed == {("7", "u0"): "u1", ("8", "u0"): None, ("8", "u1"): None}
     lost = pages.lost_products(judged).first()
-    assert lost["product_id"] == "8" and lost["last_error"] == "x" * 2000
+    assert lost["product_id"] == "8" and lost["last_error"] == "u0: product_id differs (wanted 8, found 7.0) | u1: " + "x" * 3000
 
 
 def test_lost_products_with_many_urls(spark):
@@ -118,7 +131,15 @@ def test_lost_products_with_many_urls(spark):
         F.lit("1").alias("product_id"), F.col("id").cast("int").alias("priority"), F.concat(F.lit("u"), "id").alias("url"),
         F.lit(None).cast("string").alias("payload"), F.lit("e").alias("error"))
     whole = " | ".join(f"u{i}: e" for i in range(3000))
-    assert pages.lost_products(pages.judge_attempts(df)).first()["last_error"] == whole[-2000:]
+    judged = pages.judge_attempts(df)
+    assert pages.lost_products(judged).first()["last_error"] == whole
+    assert pages.lost_products(judged, chars=2000).first()["last_error"] == whole[-2000:]
+
+
+def test_lost_product_without_urls(spark):
+    rows = [("8", 0, None, None, "boom"), ("8", 1, "u", None, "x"), ("9", 0, None, None, "gone")]
+    judged = pages.judge_attempts(spark.createDataFrame(rows, "product_id string, priority int, url string, payload string, error string"))
+    assert {r["product_id"]: r["last_error"] for r in pages.lost_products(judged).collect()} == {"8": ": boom | u: x", "9": ": gone"}
 
 
 # Dates, rates -------------------------------------------------------------------------------
@@ -138,7 +159,11 @@ def test_rates(spark):
         [("2020-06-04", "EUR", 0.5, 1), ("2020-06-04", "AUD", 1.44, 1), ("2020-06-04", "EUR", 0.89, 2), ("2020-06-05", "", 1.0, 1), ("2020-06-05", "EUR", 1.0, 1)],
         "date string, quote string, rate double, seq int",
     )
-    landed = rates.pivot_rates(quotes, "seq")
+    with pytest.raises(Exception, match="rejected exchange rate on 2020-06-05"):
+        rates.pivot_rates(quotes, "seq").collect()
+    lenient = {r["date"]: r["rates"] for r in rates.pivot_rates(quotes, "seq", strict=False).collect()}
+    assert lenient == {"2020-06-04": {"AUD": 1.44, "EUR": 0.89}, "2020-06-05": {"EUR": 1.0}}
+    landed = rates.pivot_rates(quotes.where("date = '2020-06-04'"), "seq")
     assert [(r["date"], r["base"], r["rates"]) for r in landed.collect()] == [("2020-06-04", "USD", {"AUD": 1.44, "EUR": 0.89})]
     assert rates.rejected_quotes(quotes).count() == 1
     assert rates.rejected_quotes(quotes.withColumn("rate", F.lit(True))).count() == 5
@@ -165,7 +190,8 @@ def test_failure_ledger(spark):
     df = spark.createDataFrame(rows, "product_id string, url string, error string, ts int, recovered_via string")
     got = {r["url"]: r for r in failures.failure_ledger(df).collect()}
     assert got["u"]["occurrences"] == 2 and got["u"]["recovered_via"] is None
-    assert len(got["u"]["last_error"]) == 2000 and got["u"]["last_error"].endswith("end")
+    assert len(got["u"]["last_error"]) == 2503 and got["u"]["last_error"].endswith("end")
+    assert {len(r["last_error"]) for r in failures.failure_ledger(df, 2000).where("url = 'u'").collect()} == {2000}
     assert got["w"]["recovered_via"] == "v"
 
 
@@ -333,11 +359,11 @@ def test_star_schema(spark, tmp_path):
     line = fact[("o1", "p1")]
     assert (line["sales_amount"], line["sales_local_price"], line["sales_usd_price"]) == (3, Decimal(15), Decimal(30))
     unknown = fact[("o1", "Unknown")]
-    assert (unknown["sales_amount"], unknown["sales_local_price"], unknown["product_key"]) == (4, Decimal(2), -1)
-    assert fact[("o2", "p2")]["sales_usd_price"] == Decimal(1094) and fact[("o2", "p2")]["store_key"] == -1
+    assert (unknown["sales_amount"], unknown["sales_local_price"], unknown["product_key"]) == (4, Decimal(2), "-1")
+    assert fact[("o2", "p2")]["sales_usd_price"] == Decimal(1094) and fact[("o2", "p2")]["store_key"] == "-1"
     broken = fact[("o3", "p2")]
-    assert (broken["date_key"], broken["detail_key"], broken["customer_key"], broken["sales_usd_price"]) == (date(1970, 1, 1), None, -1, None)
-    assert broken["location_key"] != -1 and fact[("o4", "Unknown")]["location_key"] == broken["location_key"]
+    assert (broken["date_key"], broken["detail_key"], broken["customer_key"], broken["sales_usd_price"]) == (date(1970, 1, 1), None, "-1", None)
+    assert broken["location_key"] != "-1" and fact[("o4", "Unknown")]["location_key"] == broken["location_key"]
     assert fact[("o4", "Unknown")]["sales_amount"] is None
     codes = {r["currency_code"] for r in built.table("dim_currency").collect()}
     assert codes == {"EUR", "USD", "SEK", "GBP", "Unknown"}
