@@ -674,9 +674,7 @@ def string_leaf_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Arrays of numbers become arrays of text."""
     texts = leaves.with_text_leaves(table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding"))
     return texts.select(
-        "vec_id", "label", F.size("embedding").alias("n"),
-        F.aggregate("embedding", F.lit(0.0), lambda a, x: a + F.abs(x.cast("float").cast("double")))
-        .between(0, 1e9).alias("readable"),
+        "vec_id", "label", F.size("embedding").alias("n"), F.array_join("embedding", ",").alias("texts")
     )
 
 
@@ -705,6 +703,20 @@ def harmonize_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def harmonize_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as JSON of which some is broken or no object: harmonised rows and rejected ones."""
+    kind = F.col("event_id") % 10
+    documents = table(spark, sf_dir, "events").select(
+        "event_id",
+        F.when(kind == 0, F.lit('{"a":')).when(kind == 1, F.lit("[1]"))
+        .otherwise(F.concat(F.lit('{"id": '), "event_id", F.lit("}"))).alias("document"),
+    )
+    good = harmonize.harmonize_json(documents, "document", ["event_id"]).select("event_id", "id", F.lit(False).alias("rejected"))
+    bad = harmonize.rejected_documents(documents, "document")
+    return good.unionByName(bad.select("event_id", F.lit(None).cast("string").alias("id"), F.lit(True).alias("rejected")))
+
+
 @query
 def harmonize_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers and suppliers, of different column types, as one frame."""

@@ -484,7 +484,10 @@ ORACLE["string_leaf_floats"] = """
 SELECT o_orderkey::VARCHAR AS o_orderkey, CAST(o_orderkey * 10245000.0::DOUBLE AS VARCHAR) AS large,
        CAST(o_orderkey / 8589934592.0::DOUBLE AS VARCHAR) AS small FROM orders"""
 ORACLE["string_leaf_vectors"] = """
-SELECT vec_id::VARCHAR AS vec_id, label::VARCHAR AS label, len(embedding) AS n, TRUE AS readable FROM embeddings"""
+SELECT vec_id::VARCHAR AS vec_id, label::VARCHAR AS label, len(embedding) AS n,
+       array_to_string(list_transform(embedding, lambda x: CAST(CAST(x AS DOUBLE) AS VARCHAR)), ',') AS texts FROM embeddings"""
+ORACLE["harmonize_rejects"] = """
+SELECT event_id, CASE WHEN event_id % 10 > 1 THEN event_id::VARCHAR END AS id, event_id % 10 <= 1 AS rejected FROM events"""
 ORACLE["harmonize_documents"] = """
 SELECT conv_id::VARCHAR AS id, turn::VARCHAR AS turn, role, CASE WHEN turn % 4 < 3 THEN 1 END AS n_tags,
        CASE WHEN turn % 4 = 2 THEN 'legacy' END AS tag_value,

@@ -191,9 +191,15 @@ def _seen_paths(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         seen: set = set()
         for text in batch["document"]:
-            document = json.loads(text)
-            if isinstance(document, dict):
-                _paths(document, (), seen)
+            found: set = set()
+            try:
+                document = json.loads(text)
+                if isinstance(document, dict):
+                    _paths(document, (), found)
+            except (ValueError, RecursionError):
+                # Unreadable: a row of rejected_documents().
+                continue
+            seen |= found
         yield pd.DataFrame([(json.dumps(p), kind) for p, kind in seen], columns=["path", "kind"])
 
 
@@ -262,16 +268,28 @@ def _project(c: Column, shape: _Shape) -> Column:
     return c
 
 
+def _readable(column: str) -> Column:
+    """Whether a text is a JSON object; false for NULL and broken text."""
+    text = F.col(column)
+    return F.coalesce(F.ltrim(text).startswith("{") & F.try_parse_json(text).isNotNull(), F.lit(False))
+
+
+def rejected_documents(documents: DataFrame, column: str) -> DataFrame:
+    """Rows that :func:`harmonize_json` leaves out: no JSON object, broken or NULL."""
+    return documents.where(~_readable(column))
+
+
 def harmonize_json(documents: DataFrame, column: str, keep: Iterable[str] = ()) -> DataFrame:
     """JSON documents as one common struct schema with text leaves.
 
-    Rows that are not objects are dropped; ``keep`` names other columns to carry along.  The
+    Rows that are no readable object are left out (:func:`rejected_documents` has them); ``keep``
+    names other columns to carry along.  The
     first pass finds the shape, the second parses with it: only places of mixed shape go
     through variants, all others are parsed straight into their type.
     """
     shape = document_shape(documents, column)
     root = _Shape(shape.kinds & {_OBJECT}, None, shape.keys)
-    parsed = documents.where(F.ltrim(F.col(column)).startswith("{")).select(
+    parsed = documents.where(_readable(column)).select(
         *keep, F.from_json(column, root.parsed(), {"primitivesAsString": "true"}).alias("__document")
     )
     return parsed.select(
