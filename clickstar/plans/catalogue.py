@@ -16,7 +16,7 @@ from ..functions.keys import UNKNOWN_KEY, surrogate_key
 from ..operators import candidates, dates, failures, locate, pages, quality, rates, scd2
 from ..operators.carry import carry_value, time_chunk
 from ..operators.increment import after_mark, increment_table, newer_rows, upsert
-from ..operators.lookup import lookup_key
+from ..operators.lookup import lookup_key, with_audit
 from ..session import configure, scratch_path
 from ..sources import files, harmonize, ledger, leaves, seeds
 from ..streaming import ingest, state_tables
@@ -611,6 +611,32 @@ def lost_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.lost_products(pages.judge_attempts(_payloads(spark, sf_dir)))
 
 
+@query
+def dim_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stores with the four audit columns."""
+    stores = with_audit(dims.dim_store(adapter.order_headers(spark, sf_dir)), today=TODAY)
+    return stores.select("store_id", "store_domain", *[
+        F.col(name).cast("string").alias(name) for name in ("inserted_date", "inserted_by", "updated_date", "updated_by")
+    ])
+
+
+@query
+def seed_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The currency seed, read from CSV, with the number of cart items that use each row."""
+    path = scratch_path(spark, "seed")
+    seeds.currency_mapping(spark).write.option("header", "true").csv(path)
+    used = seeds.currency_frequency(landing(spark, sf_dir))
+    return seeds.read_seed(spark, path).join(used, "raw_currency").select("raw_currency", "currency_code", "occurrences")
+
+
+@query
+def dq_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rules of the seed on the currency texts of all cart items, of which some have no row."""
+    used = seeds.currency_frequency(landing(spark, sf_dir)).select("raw_currency")
+    seed = used.join(seeds.currency_mapping(spark), "raw_currency", "left")
+    return checks.check_seed(seed.select("raw_currency", "currency_code", "currency_name"))
+
+
 @query
 def lost_without_url(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lost products of which every other try has no URL; no error gets lost."""
@@ -822,6 +848,16 @@ def _numbered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.number_files(ids, "_id", [F.shiftright(number, 20), F.shiftright(number, 10)], 1500)
 
 
+@query
+def batch_object_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches of 1,500 events whose ids are 24 hex digits, of which eight are a time."""
+    digits = lambda c, n: F.lower(F.lpad(F.hex(c), n, "0"))
+    ids = table(spark, sf_dir, "events").select(
+        F.concat(digits(F.unix_timestamp("ts"), 8), digits(F.col("event_id"), 16)).alias("_id")
+    )
+    return files.manifest(files.number_files(ids, "_id", files.object_id_buckets("_id"), 1500), "_id")
+
+
 @query
 def batch_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The batches written by two runs, as they are read back."""

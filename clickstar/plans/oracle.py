@@ -464,6 +464,19 @@ ORACLE["lost_products"] = f"""WITH {PAYLOADS}
 SELECT id AS product_id, string_agg(url || ': ' || error, ' | ' ORDER BY priority) AS last_error
 FROM judged WHERE won IS NULL GROUP BY id"""
 
+ORACLE["dim_audit"] = f"""WITH {ORDERS},
+store AS (SELECT DISTINCT coalesce(store_id, 'XNA') AS store_id, coalesce(store_domain, 'XNA') AS store_domain FROM ord
+          UNION ALL SELECT 'Unknown', 'Unknown')
+SELECT *, '2001-12-31' AS inserted_date, 'dbt' AS inserted_by, '2001-12-31' AS updated_date, 'dbt' AS updated_by FROM store"""
+USED = f"used AS (SELECT raw_currency, count(*) AS occurrences FROM item WHERE raw_currency IS NOT NULL GROUP BY 1)"
+ORACLE["seed_usage"] = f"""WITH {MAPPING}, {ORDERS}, {LINES}, {USED}
+SELECT raw_currency, currency_code, occurrences FROM used JOIN mapping USING (raw_currency)"""
+ORACLE["dq_seed"] = f"""WITH {MAPPING}, {ORDERS}, {PLACES}, {LINES}, {USED},
+seed AS (SELECT * FROM used LEFT JOIN mapping USING (raw_currency))
+SELECT 'raw_currency' AS column_name, 'not_null' AS "check", count(*) FILTER (raw_currency IS NULL) AS violations FROM seed
+UNION ALL SELECT 'raw_currency', 'unique', count(*) FROM (SELECT raw_currency FROM seed GROUP BY 1 HAVING count(*) > 1)
+UNION ALL SELECT 'currency_code', 'not_null', count(*) FILTER (currency_code IS NULL) FROM seed
+UNION ALL SELECT 'currency_name', 'not_null', count(*) FILTER (currency_name IS NULL) FROM seed"""
 ORACLE["lost_without_url"] = f"""WITH {PAYLOADS}
 SELECT id AS product_id, string_agg(CASE WHEN priority % 2 = 1 THEN url ELSE '' END || ': ' || error, ' | ' ORDER BY priority) AS last_error
 FROM judged WHERE won IS NULL GROUP BY id"""
@@ -520,6 +533,11 @@ batch AS (
   FROM (SELECT lpad(event_id::VARCHAR, 24, '0') AS _id, (row_number() OVER (ORDER BY event_id) - 1) // 1500 + 1 AS file_no FROM events)
   GROUP BY 1)"""
 ORACLE["batch_manifest"] = f"WITH {BATCHES} SELECT * FROM batch"
+ORACLE["batch_object_ids"] = """
+SELECT (n - 1) // 1500 + 1 AS file_no, min(_id) AS first_id, max(_id) AS last_id, count(*) AS document_count
+FROM (SELECT _id, row_number() OVER (ORDER BY _id) AS n FROM (
+  SELECT printf('%08x', epoch(ts)::BIGINT) || printf('%016x', event_id) AS _id FROM events))
+GROUP BY 1"""
 ORACLE["batch_commit"] = ORACLE["batch_manifest"]
 ORACLE["manifest_states"] = f"""WITH {BATCHES}
 SELECT file_no, CASE WHEN file_no > 3 THEN 'new' WHEN file_no = 2 THEN 'conflict' ELSE 'recovered' END AS state FROM batch"""

@@ -86,6 +86,14 @@ def global_rank(df: DataFrame, order: str, buckets: Sequence[Column], out: str =
     )
 
 
+def object_id_buckets(column: str) -> list[Column]:
+    """Buckets for :func:`global_rank` from coarse to fine for ids of 24 hex digits.
+
+    Their first eight digits are the second of creation, so a bucket holds what one second brought.
+    """
+    return [F.substring(column, 1, digits) for digits in (4, 6, 8)]
+
+
 def number_files(
     df: DataFrame, order: str, buckets: Sequence[Column], size: int = DOCUMENTS_PER_FILE, first: int = 1
 ) -> DataFrame:
