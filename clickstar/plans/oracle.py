@@ -536,7 +536,7 @@ ORACLE["batch_manifest"] = f"WITH {BATCHES} SELECT * FROM batch"
 ORACLE["batch_object_ids"] = """
 SELECT (n - 1) // 1500 + 1 AS file_no, min(_id) AS first_id, max(_id) AS last_id, count(*) AS document_count
 FROM (SELECT _id, row_number() OVER (ORDER BY _id) AS n FROM (
-  SELECT printf('%08x', epoch(ts)::BIGINT) || printf('%016x', event_id) AS _id FROM events))
+  SELECT printf('%08x', floor(epoch(ts))::BIGINT) || printf('%016x', event_id) AS _id FROM events))
 GROUP BY 1"""
 ORACLE["batch_commit"] = ORACLE["batch_manifest"]
 ORACLE["manifest_states"] = f"""WITH {BATCHES}

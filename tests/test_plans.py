@@ -4,6 +4,7 @@ import re
 
 import pytest
 
+from clickstar.operators import locate
 from clickstar.plans import catalogue
 from conftest import SF
 
@@ -46,3 +47,14 @@ def test_mark_reaches_the_files(spark, tmp_path):
 def test_no_pairwise_joins(spark, name):
     text = formatted(catalogue.REGISTRY[name](spark, SF))
     assert not [operator for operator in FORBIDDEN if operator in text]
+
+
+def test_only_text_with_a_colon_meets_python(spark):
+    events = spark.createDataFrame([("8.8.8.8",), ("2001:db8::1",)], "ip string")
+    fields = "city_name string, region_name string, country_code string, country_name string, latitude string, longitude string"
+    ranges = spark.createDataFrame([], f"ip_from bigint, ip_to bigint, {fields}")
+    tree = formatted(locate.ip_locations(events, ranges)).split("\n\n")[0]
+    # Lines of the first branch of the union, that of addresses without a colon, go on with a colon.
+    lines = tree.split("Union", 1)[1].splitlines()
+    first, second = [x for x in lines if x.startswith("   :")], [x for x in lines if not x.startswith("   :")]
+    assert first and not any("Python" in x for x in first) and any("ArrowEvalPython" in x for x in second)
