@@ -123,6 +123,11 @@ class Net:
     a: np.ndarray
 
 
+def _parts(net: Net) -> tuple[np.ndarray, ...]:
+    """What is sent to the executors, as a broadcast names classes by module."""
+    return net.x, net.u, net.v, net.e, net.a
+
+
 def new_net(rng: np.random.Generator, hidden: int = HIDDEN) -> Net:
     x = rng.normal(0, 0.3, (2, 4 * hidden, CLASSES))
     x[:, : 3 * hidden] = x[:, : 3 * hidden] * 0.25 + 0.5
@@ -484,7 +489,7 @@ def find(docs: DataFrame, net: Net) -> DataFrame:
     empty texts have none.  Repeated rows and rows without doc_id are treated alike.  Other columns
     are ignored.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(net)
+    sent = docs.sparkSession.sparkContext.broadcast(_parts(net))
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
     as_rows = lambda spans: [dict(zip(("kind", "start", "end"), s, strict=True)) for s in spans]
 
@@ -494,7 +499,7 @@ def find(docs: DataFrame, net: Net) -> DataFrame:
                 part = batch.slice(i, 500)
                 texts = part.column(1).to_pylist()
                 base = [base_spans(t) for t in texts]
-                spans = [all_spans(*x) for x in zip(texts, base, model_spans(sent.value, texts), strict=True)]
+                spans = [all_spans(*x) for x in zip(texts, base, model_spans(Net(*sent.value), texts), strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(map(as_rows, base), kind), pa.array(map(as_rows, spans), kind)],
                     names=["doc_id", "base", "spans"],
@@ -520,14 +525,14 @@ def redact(docs: DataFrame, net: Net) -> DataFrame:
     All rows and columns stay; ``n_chars`` follows the text where the column exists.  Null texts
     stay null.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(net)
+    sent = docs.sparkSession.sparkContext.broadcast(_parts(net))
 
     @F.pandas_udf(T.StringType())
     def clean(texts: pd.Series) -> pd.Series:
         out: list[str] = []
         for i in range(0, len(texts), 500):
             part = texts.iloc[i : i + 500].tolist()
-            for text, model in zip(part, model_spans(sent.value, part), strict=True):
+            for text, model in zip(part, model_spans(Net(*sent.value), part), strict=True):
                 out.append(redacted(text, all_spans(text, base_spans(text), model)))
         return pd.Series(out, index=texts.index)
 

@@ -161,27 +161,27 @@ def is_held_out(column: str):
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def _scorer(docs: DataFrame, model: Model):
+    """The score as a column function.  Its parts are sent, as a broadcast names classes by module."""
+    sent = docs.sparkSession.sparkContext.broadcast((model.place, model.weight, model.bias))
+
+    @F.pandas_udf("double")
+    def score(texts):
+        received = Model(*sent.value)
+        return texts.map(lambda text: received.score(text or ""))
+
+    return score
+
+
 def toxicity(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with a last column ``toxicity``: the score of each whole text, 0 to 1.
 
     Null counts as empty; an empty text scores by its blanks and the bias.  Repeated rows score the
     same.  All other columns stay; one that is called ``toxicity`` already is replaced.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-
-    @F.pandas_udf("double")
-    def score(texts):
-        return texts.map(lambda text: sent.value.score(text or ""))
-
-    return docs.withColumn("toxicity", score(F.coalesce("text", F.lit(""))))
+    return docs.withColumn("toxicity", _scorer(docs, model)(F.coalesce("text", F.lit(""))))
 
 
 def drop_toxic(docs: DataFrame, model: Model, limit: float = 0.5) -> DataFrame:
     """Rows of ``docs`` that score below ``limit``, with the same columns."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-
-    @F.pandas_udf("double")
-    def score(texts):
-        return texts.map(lambda text: sent.value.score(text or ""))
-
-    return docs.where(score(F.coalesce("text", F.lit(""))) < limit)
+    return docs.where(_scorer(docs, model)(F.coalesce("text", F.lit(""))) < limit)
