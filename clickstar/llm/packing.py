@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
-from itertools import chain
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -13,29 +12,50 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import byte_letters
-from .common import Recent, text_bytes, word_blocks, worker_store, written
+from .common import text_bytes, word_blocks, worker_store, written
 
 WINDOW = 2048
 END_ID = 1
-# Pieces and words whose ids a worker remembers, and characters that are cut at a time.
+# Pieces and words whose ids a worker remembers.
 REMEMBERED = 250_000
-BLOCK_CHARS = 1 << 20
 
 # Byte → the letter that stands for it in the file.
 BYTE_LETTERS = {byte: letter for letter, byte in byte_letters().items()}
 
-# Text of these characters is cut into pieces here: Unicode normalisation leaves them alone, and
+# Words of these characters are cut into pieces here: Unicode normalisation leaves them alone, and
 # their classes can be listed.  The pattern is that of the vocabulary.
 _LETTERS = "a-zªµºß-öø-ÿ"
-_OTHER = re.compile(r"[^\t-\r -~ªµºÀ-ÖØ-öø-ÿ]|<\|")
-_PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^\t-\r 0-9{_LETTERS}]+")
+_PLAIN = re.compile(r"[!-~ªµºÀ-ÖØ-öø-ÿ]+")
+_PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^0-9{_LETTERS}]+")
+
+
+class Known(dict):
+    """Packed ids of words, worked out when first met; about REMEMBERED to twice as many stay.
+
+    When it is full, what it holds becomes ``before``, from which words that are met again move back.
+    """
+
+    def __init__(self, work_out: Callable):
+        super().__init__()
+        self.work_out, self.before = work_out, {}
+
+    def __missing__(self, word):
+        ids = self.before.get(word)
+        if ids is None:
+            ids = self.work_out(word)
+        if len(self) >= REMEMBERED:
+            self.before = dict(self)
+            self.clear()
+        self[word] = ids
+        return ids
 
 
 class TextIds:
-    """Ids of texts for tokenizers that drop white space, so that a text's ids are those of its words.
+    """Ids of texts, packed in 16 or 32 bits, for tokenizers that drop white space, so that a text's
+    ids are those of its words.
 
-    Ids of pieces are remembered; text with characters beyond Latin-1 letters goes to the library
-    word by word.
+    Ids of words are remembered, and ids of their pieces; words with characters beyond Latin-1
+    letters go to the library whole.
     """
 
     def __init__(self, path: str):
@@ -44,49 +64,35 @@ class TextIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.kind = np.uint32 if self.tokenizer.get_vocab_size() > 1 << 16 else np.uint16
-        self.pieces, self.words = Recent(REMEMBERED), Recent(REMEMBERED // 10)
+        self.model = self.tokenizer.model
+        self.kind = np.dtype("<u4" if self.tokenizer.get_vocab_size() > 1 << 16 else "<u2")
+        self.pieces, self.words = Known(self._piece), Known(self._word)
         # Whether the pattern above is that of the file.
+        self.known = True
         self.known = all(
-            np.array_equal(self.block(text), self._library([text])[0]) for text in
-            ("it's we'll 'Tis", "Ärger12!? (x<y>&z)", "l'été--42 _a_ don't\t\n no")
+            self._word(word.encode()) == self._library(word) for word in ("it's", "We'll", "Ärger12!?", "(x<y>&z)", "l'été--42_a_")
         )
 
-    def _library(self, texts: list[str]) -> list[tuple[int, ...]]:
-        return [tuple(e.ids) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def _new(self, texts: set[str]) -> Iterator[tuple[str, tuple[int, ...]]]:
-        texts = list(texts)
-        return zip(texts, self._library(texts), strict=True)
-
-    def _new_pieces(self, pieces: set[str]) -> Iterator[tuple[str, tuple[int, ...]]]:
-        model, letters = self.tokenizer.model, BYTE_LETTERS
-        for piece in pieces:
-            yield piece, tuple([t.id for t in model.tokenize(piece.encode().decode("latin-1").translate(letters))])
+    def _packed(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.kind).tobytes()
 
-    def block(self, text: str) -> np.ndarray:
-        pieces = _PIECES.findall(text.lower())
-        return np.fromiter(chain.from_iterable(map(self.pieces.learn(set(pieces), self._new_pieces), pieces)), self.kind)
+    def _library(self, text: str) -> bytes:
+        return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def of_text(self, text: bytes, end: int) -> np.ndarray:
-        parts = []
-        for block in text_blocks(text):
-            if self.known and not _OTHER.search(block):
-                parts.append(self.block(block))
-            else:
-                words = re.findall(r"[^\t-\r ]+", block)
-                ids_of = self.words.learn(set(words), self._new)
-                parts.append(np.fromiter(chain.from_iterable(map(ids_of, words)), self.kind))
-        return np.concatenate([*parts, np.array([end], self.kind)])
+    def _piece(self, piece: str) -> bytes:
+        letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(BYTE_LETTERS)
+        return self._packed([token.id for token in self.model.tokenize(letters)])
 
+    def _word(self, word: bytes) -> bytes:
+        text = word.decode()
+        if self.known and "<|" not in text and _PLAIN.fullmatch(text):
+            pieces = _PIECES.findall(text.lower())
+            return self.pieces[pieces[0]] if len(pieces) == 1 else b"".join(map(self.pieces.__getitem__, pieces))
+        return self._library(text)
 
-def text_blocks(text: bytes) -> Iterator[str]:
-    """The text, cut between words into blocks of bounded size."""
-    if len(text) <= BLOCK_CHARS:
-        yield text.decode()
-        return
-    for words in word_blocks(text):
-        yield b" ".join(words).decode()
+    def of_text(self, text: bytes, end: int) -> bytes:
+        ids_of = self.words.__getitem__
+        return b"".join([*(b"".join(map(ids_of, words)) for words in word_blocks(text)), self._packed([end])])
 
 
 def text_ids(path: str) -> TextIds:
@@ -107,13 +113,14 @@ def tokens(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
         part, at, known = TaskContext.get().partitionId(), 0, text_ids(path)
         for batch in batches:
             made = [known.of_text(t.as_py(), end_id) for t in batch.column(1)]
-            sizes = np.array([len(m) for m in made], np.int64)
+            width = known.kind.itemsize
+            sizes = np.array([len(m) // width for m in made], np.int64)
             starts = at + np.cumsum(sizes) - sizes
             at += int(sizes.sum())
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.full(len(made), part, np.int32)), pa.array(starts), batch.column(0), pa.array(sizes),
-                    pa.array([m.itemsize for m in made], pa.int32()), pa.array([m.tobytes() for m in made], pa.binary()),
+                    pa.array(np.full(len(made), width, np.int32)), pa.array(made, pa.binary()),
                 ],
                 names=["part", "at", "doc_id", "n", "width", "ids"],
             )
@@ -147,7 +154,7 @@ def pack(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END_ID)
         for batch in batches:
             rows, ids = [], []
             for doc, first, n, width, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                made = np.frombuffer(data, np.uint16 if width == 2 else np.uint32).astype("<u4")
+                made = np.frombuffer(data, f"<u{width}").astype("<u4")
                 done = 0
                 while done < n:
                     sequence, offset = divmod(first + done, window)
