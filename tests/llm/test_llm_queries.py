@@ -2,8 +2,13 @@
 
 import corpus_pipeline
 import duckdb
+import numpy as np
 import pytest
-from clickstar.llm import queries, toxicity
+from clickstar.llm import pii, queries, toxicity
+from clickstar.llm.common import tokenizer_path
+from tokenizers import Tokenizer
+
+from .test_dedup import brute_fingerprint, brute_groups, brute_lines
 
 SF = "/root/testdata/sf0.001"
 
@@ -54,3 +59,31 @@ def test_toxicity_on_held_out_rows(spark):
     model = toxicity.fit(toxicity.labelled_rows(read("documents"), read("labels")))
     rows = toxicity.toxicity(toxicity.labelled_rows(read("documents"), read("labels"), held_out=True), model).collect()
     assert sum((r.toxicity >= 0.5) == bool(r.toxic) for r in rows) >= 0.95 * len(rows)
+
+
+def test_pipeline_against_brute_force(spark):
+    """Every stage again, row by row in plain Python, on what the one before left."""
+    library = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = toxicity.fit(toxicity.labelled_rows(docs, spark.read.parquet(f"{SF}/labels.parquet")))
+    rows = [tuple(r) for r in docs.collect() if model.score(r.text or "") < 0.5]
+    lines = {i: text for i, _, _, text in brute_lines(rows, 5, 3)}
+    rows = [(r[0], lines[r[0]], *r[2:]) for r in rows]
+    groups = brute_groups([brute_fingerprint(r[1]) for r in rows])
+    least = {}
+    for row, group in zip(rows, groups, strict=True):
+        least[group] = min(least.get(group, row[0]), row[0])
+    rows = sorted(r for r in rows if r[0] in set(least.values()))
+    net = pii.fit(spark.createDataFrame([(r[0], r[1]) for r in rows], "doc_id bigint, text string"))
+    want = {}
+    for (i, text, *_), model_spans in zip(rows, pii.model_spans(net, [r[1] for r in rows]), strict=True):
+        clean = pii.redacted(text, pii.all_spans(text, pii.base_spans(text), model_spans))
+        want[i] = [*library.encode(clean, add_special_tokens=False).ids, 1]
+    got, places = {}, []
+    for r in sorted(corpus_pipeline.run(spark, SF).collect(), key=lambda r: (r.doc_id, r.start)):
+        ids = got.setdefault(r.doc_id, [])
+        assert r.start == len(ids) and r.doc_tokens == len(want[r.doc_id])
+        ids += np.frombuffer(r.ids, "<u4").tolist()
+        places += range(r.sequence_id * 2048 + r.offset, r.sequence_id * 2048 + r.offset + r.length)
+    assert got == want
+    assert sorted(places) == list(range(sum(map(len, want.values()))))
