@@ -5,6 +5,7 @@ import pytest
 
 import __spark_entry__ as entries
 import check
+from clickstar.plans.catalogue import REGISTRY
 from conftest import SF
 
 SAMPLE = [
@@ -23,7 +24,9 @@ def database():
 
 
 def test_every_query_has_sql():
-    assert entries.queries().keys() == entries.oracle_sql().keys()
+    """Those of the optional package, whose classifiers and tokenizers SQL lacks, are tested there."""
+    assert REGISTRY.keys() <= entries.queries().keys() and REGISTRY.keys() <= entries.oracle_sql().keys()
+    assert entries.oracle_sql().keys() <= entries.queries().keys()
 
 
 def test_entry(spark):
