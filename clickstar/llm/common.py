@@ -76,8 +76,11 @@ def worker_store() -> dict:
 
 
 def keep_ids(docs: DataFrame, ids: DataFrame, column: str, how: str = "left_semi") -> DataFrame:
-    """Rows of ``docs`` whose ``doc_id`` is (or, with left_anti, is not) in a column of ``ids``."""
-    names = ids.select(F.col(column).alias("__llm_key"))
+    """Rows of ``docs`` whose ``doc_id`` is (or, with left_anti, is not) in a column of ``ids``.
+
+    Ids grow with the corpus, so both sides are shuffled at every size.
+    """
+    names = ids.select(F.col(column).alias("__llm_key")).hint("merge")
     return docs.join(names, docs["doc_id"] == names["__llm_key"], how)
 
 
