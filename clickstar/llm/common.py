@@ -37,7 +37,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     finally:
         if before is not None:
             spark.conf.set(CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.scratch_path = path
+    return table
+
+
+def freed(*tables: DataFrame) -> None:
+    """Delete tables of :func:`written` that nothing reads any more."""
+    for read in tables:
+        spark = read.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(read.scratch_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def tokenizer_path(name: str) -> str:

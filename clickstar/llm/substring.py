@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_bytes, word_blocks, written
+from .common import freed, text_bytes, word_blocks, written
 
 # Words of a window, and words of the grams of which each window names its smallest.
 WINDOW = 20
@@ -156,21 +156,16 @@ def _windows(held: DataFrame, window: int, gram: int) -> DataFrame:
     )
 
 
-def parse(starts: np.ndarray, sources: list) -> list[tuple[int, int, int, int]]:
-    """Greedy factors (start, windows, source id, source start) of a document.
+def parse(starts: np.ndarray, sources: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Greedy factors of a document: which windows begin one, and how many windows each has.
 
-    ``starts`` are the windows, in order, that the reference holds, ``sources`` their places there.
-    A factor goes on while the next window follows in the document and in its source; where it ends
-    the next window, also one across the boundary, begins a factor of its own.
+    ``starts`` are the windows that the reference holds, in order; ``sources`` (id, text_key, start)
+    their places there.  A factor goes on while the next window follows in the document and in its
+    source; where it ends the next window, also one across the boundary, begins a factor of its own.
     """
-    factors: list[list] = []
-    for start, (source, text_key, place) in zip(starts.tolist(), sources, strict=True):
-        last = factors[-1] if factors else None
-        if last and last[0] + last[1] == start and last[2:4] == [source, text_key] and last[4] + last[1] == place:
-            last[1] += 1
-        else:
-            factors.append([start, 1, source, text_key, place])
-    return [(f[0], f[1], f[2], f[4]) for f in factors]
+    follows = (np.diff(starts) == 1) & (np.diff(sources[:2]) == 0).all(axis=0) & (np.diff(sources[2]) == 1)
+    begins = np.flatnonzero(np.concatenate(([True], ~follows)))
+    return begins, np.diff(np.append(begins, len(starts)))
 
 
 def words_left(text: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int]:
@@ -209,7 +204,7 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -
     hash of the text; rows without doc_id come before all others.  Other columns are ignored.
     """
     known = written(summaries(docs, window, gram), "summaries")
-    light = known.select("id", "text_key", "doc_id", "n_words", "words_sha256")
+    light = written(known.select("id", "text_key", "doc_id", "n_words", "words_sha256"), "documents")
     first = written(
         light.where(F.col("n_words") >= window).groupBy("words_sha256").agg(
             F.min(F.struct("id", "text_key")).alias("first"), F.count(F.lit(1)).alias("n")
@@ -219,13 +214,14 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -
         light.join(first, "words_sha256").where(F.struct("id", "text_key") != F.col("first")).select("id", "text_key").distinct(),
         "copies",
     )
-    anchors = written(_unpacked(known.join(copies, ["id", "text_key"], "left_anti")), "anchors")
+    anchors = _unpacked(known.join(copies, ["id", "text_key"], "left_anti"))
     shared = written(anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"), "shared")
     of_doc = written(
         # The index grows with the corpus: shuffled at every size, so that AQE can split hot anchors.
         anchors.join(shared.hint("merge"), "anchor").groupBy("id", "text_key").agg(F.collect_set("anchor").alias("anchors")),
         "anchors_of_documents",
     )
+    freed(known, shared)
     texts = docs.select(
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("id"), F.xxhash64("text").alias("text_key"),
         text_bytes().alias("t"),
@@ -242,6 +238,8 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -
         .groupBy("id", "text_key").agg(F.collect_set(F.struct("start", "source")).alias("hits")), "found",
     )
 
+    freed(windows, reference)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["id", "text_key", "gone", "left", "factors"]
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct(
@@ -249,12 +247,22 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -
         ))]
         for batch in batches:
             rows = []
-            for doc, text_key, text, hits in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                hits = sorted((h["start"], tuple(h["source"].values())) for h in hits)
-                factors = parse(np.array([h[0] for h in hits]), [h[1] for h in hits])
-                left, gone = words_left(text, [(f[0], f[0] + f[1] + window - 1) for f in factors])
+            flat = batch.column(3).flatten()
+            source = flat.field("source")
+            all_starts = flat.field("start").to_numpy()
+            all_sources = np.array([source.field(n).to_numpy() for n in ("id", "text_key", "start")])
+            ends = np.cumsum(batch.column(3).value_lengths().to_numpy())
+            for i, (doc, text_key, text) in enumerate(zip(*(c.to_pylist() for c in batch.columns[:3]), strict=True)):
+                part = slice(ends[i - 1] if i else 0, ends[i])
+                order = np.argsort(all_starts[part])
+                starts, sources = all_starts[part][order], all_sources[:, part][:, order]
+                begins, sizes = parse(starts, sources)
+                firsts = starts[begins].tolist()
+                left, gone = words_left(text, [(f, f + n + window - 1) for f, n in zip(firsts, sizes.tolist(), strict=True)])
+                columns = (firsts, sizes.tolist(), sources[0, begins].tolist(), sources[2, begins].tolist())
                 rows.append((doc, text_key, gone, left.decode(), [
-                    dict(zip(("start", "n_windows", "source_id", "source_start"), f, strict=True)) for f in factors
+                    dict(zip(("start", "n_windows", "source_id", "source_start"), f, strict=True))
+                    for f in zip(*columns, strict=True)
                 ]))
             columns = list(zip(*rows, strict=True)) if rows else [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
