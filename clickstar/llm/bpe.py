@@ -6,6 +6,7 @@ import json
 import re
 from collections.abc import Iterable, Iterator
 from itertools import chain
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +18,9 @@ from .common import Recent, worker_store
 
 # Characters that are cut into words at a time, and words whose ids a worker remembers.
 BLOCK_CHARS = 1 << 20
-REMEMBERED = 250_000
+# Rows whose ids a worker holds at a time.
+BATCH_ROWS = 1_000
+REMEMBERED = 120_000
 
 # How a text falls into words: the fixed pattern of this vocabulary, and the same for texts of ASCII
 # and Latin-1 letters only, where the classes can be listed.
@@ -41,6 +44,26 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+class Strings:
+    """Byte strings by number, joined without a step per string."""
+
+    def __init__(self, by_number: dict[int, bytes]):
+        count = max(by_number, default=-1) + 1
+        parts = [by_number.get(i, b"") for i in range(count)]
+        self.sizes = np.fromiter(map(len, parts), np.int64, count)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.flat = np.frombuffer(b"".join(parts), np.uint8)
+
+    def join(self, numbers: np.ndarray) -> bytes:
+        out = []
+        for i in range(0, len(numbers), 1 << 18):
+            part = numbers[i : i + (1 << 18)]
+            sizes = self.sizes[part]
+            shift = self.starts[part] - (np.cumsum(sizes) - sizes)
+            out.append(self.flat[np.repeat(shift, sizes) + np.arange(int(sizes.sum()))].tobytes())
+        return b"".join(out)
+
+
 class Vocabulary:
     """Tokens and merges of a byte-level BPE file."""
 
@@ -61,7 +84,7 @@ class Vocabulary:
             self.rank[left, right] = rank
             self.parts.setdefault(ids[self.bytes_of[left] + self.bytes_of[right]], (left, right))
         self.special = {t["content"]: t["id"] for t in data.get("added_tokens", ())}
-        self.text_of = self.bytes_of | {i: text.encode() for text, i in self.special.items()}
+        self.text_of = Strings(self.bytes_of | {i: text.encode() for text, i in self.special.items()})
         self.split_special = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) or r"(?!)")
         # The tokens read from their last byte on, as a trie: (node, byte) → node, node → token.
         self.back: dict[int, int] = {}
@@ -128,44 +151,16 @@ class Vocabulary:
         fits = self._meet[left << 32 | right] = self.whole(right) and self.apart(left, right)
         return fits
 
-    def last_token(self, word: bytes, depth: int, last: list[int]) -> int:
-        """Last token of the first ``depth`` bytes, from those of all shorter prefixes.
-
-        The tokens before the last one are the encoding of the bytes before it, so exactly one token
-        that ends here stays apart from the last token of what precedes it.
-        """
-        back, ends, node, found = self.back.get, self.ends, 0, []
-        for at in range(depth - 1, -1, -1):
-            node = back(node << 8 | word[at])
-            if node is None:
-                break
-            if ends[node] >= 0:
-                found.append(at)
-                found.append(ends[node])
-        # The longest first.
-        known = self._meet
-        while found:
-            token, at = found.pop(), found.pop()
-            if not at:
-                if self.whole(token):
-                    return token
-                continue
-            left = last[at]
-            fits = known.get(left << 32 | token)
-            if fits is None:
-                fits = self.follows(left, token)
-            if fits:
-                return token
-        raise ValueError("the vocabulary lacks a byte")
-
-    def encode_words(self, words: Iterable[bytes]) -> Iterator[tuple[bytes, tuple[int, ...]]]:
+    def encode_words(self, words: Iterable[bytes]) -> Iterator[tuple[bytes, list[int]]]:
         """Ids of distinct words.
 
         Sorted words are the trie in depth-first order: the stack holds the last token of each
         prefix on the way to the current word, and words with a common prefix share its states.
+        The tokens before the last one are the encoding of the bytes before it, so the last token of
+        a prefix is the one that ends there and stays apart from the last token of what precedes it.
         """
         path, last = b"", [-1]
-        size_of = self.size_of
+        size_of, back, ends, meet = self.size_of, self.back.get, self.ends, self._meet.get
         for word in sorted(words):
             shared = 0
             for x, y in zip(path, word, strict=False):
@@ -175,13 +170,35 @@ class Vocabulary:
             # The words are distinct and sorted, so this word goes on beyond what it shares.
             del last[shared + 1 :]
             for depth in range(shared + 1, len(word) + 1):
-                last.append(self.last_token(word, depth, last))
+                # The tokens that end here, and where they begin, the shortest first.
+                found, node, at = [], 0, depth
+                while at:
+                    at -= 1
+                    node = back(node << 8 | word[at])
+                    if node is None:
+                        break
+                    if ends[node] >= 0:
+                        found.append((ends[node], at))
+                while True:
+                    token, at = found.pop()
+                    if at:
+                        left = last[at]
+                        fits = meet(left << 32 | token)
+                        if fits is None:
+                            fits = self.follows(left, token)
+                    else:
+                        fits = self.whole(token)
+                    if fits:
+                        last.append(token)
+                        break
             made, depth = [], len(word)
             while depth:
-                made.append(last[depth])
-                depth -= size_of[last[depth]]
+                token = last[depth]
+                made.append(token)
+                depth -= size_of[token]
             path = word
-            yield word, tuple(made[::-1])
+            made.reverse()
+            yield word, made
 
 
 class Encoder:
@@ -191,11 +208,11 @@ class Encoder:
         self.vocabulary = Vocabulary(path)
         self.words = Recent(REMEMBERED)
 
-    def _work_out(self, words: set[str]) -> Iterator[tuple[str, tuple[int, ...]]]:
-        """The words that are new go through the trie together."""
+    def _work_out(self, words: set[str]) -> Iterator[tuple[str, bytes]]:
+        """Packed ids of words; those that are new go through the trie together."""
         text_of = {w.encode("utf-8", "replace"): w for w in words}
         for word, ids in self.vocabulary.encode_words(text_of):
-            yield text_of[word], ids
+            yield text_of[word], pack("<%dI" % len(ids), *ids)
 
     def blocks(self, text: str) -> Iterator[list[str] | int]:
         """The words of a text, a bounded number at a time, and the ids of special tokens."""
@@ -214,16 +231,15 @@ class Encoder:
             start = cut.start()
         yield words.findall(text[start:] if start else text)
 
-    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
-        """Ids of each text, in order."""
+    def encode(self, texts: list[str]) -> Iterator[bytes]:
+        """Ids of each text, in order, as 32-bit little-endian."""
         waiting: list[list] = []
         size = 0
         for text in texts:
             if len(text) > BLOCK_CHARS:
                 yield from self._finish(waiting)
                 waiting, size = [], 0
-                parts = [next(self._finish([[block]])) for block in self.blocks(text)]
-                yield np.concatenate(parts)
+                yield b"".join(next(self._finish([[block]])) for block in self.blocks(text))
                 continue
             waiting.append(list(self.blocks(text)))
             size += len(text)
@@ -232,22 +248,24 @@ class Encoder:
                 waiting, size = [], 0
         yield from self._finish(waiting)
 
-    def _finish(self, texts: list[list]) -> Iterator[np.ndarray]:
+    def _finish(self, texts: list[list]) -> Iterator[bytes]:
         met: set[str] = set()
         for block in chain.from_iterable(texts):
             if not isinstance(block, int):
                 met.update(block)
         ids_of = self.words.learn(met, self._work_out)
         for blocks in texts:
-            parts = [
-                np.array([block], np.uint32) if isinstance(block, int)
-                else np.fromiter(chain.from_iterable(map(ids_of, block)), np.uint32)
-                for block in blocks
-            ]
-            yield parts[0] if len(parts) == 1 else np.concatenate(parts)
+            yield b"".join(
+                pack("<I", block) if isinstance(block, int) else b"".join(map(ids_of, block)) for block in blocks
+            )
+
+    def decode(self, ids: bytes) -> str:
+        return self.vocabulary.text_of.join(np.frombuffer(ids, "<u4")).decode("utf-8", "replace")
 
-    def decode(self, ids: np.ndarray) -> str:
-        return b"".join(map(self.vocabulary.text_of.__getitem__, ids.tolist())).decode("utf-8", "replace")
+
+def decimals(count: int) -> Strings:
+    """The numbers below ``count`` in decimal, each with a comma."""
+    return Strings({i: f"{i},".encode() for i in range(count)})
 
 
 def encoder(path: str) -> Encoder:
@@ -257,9 +275,11 @@ def encoder(path: str) -> Encoder:
     return store["bpe"]
 
 
-def encode(docs: DataFrame, path: str) -> DataFrame:
+def encode(docs: DataFrame, path: str, and_decode: bool = False) -> DataFrame:
     """(doc_id, ids) of each row of ``docs`` (doc_id, text); ids are 32-bit little-endian.
 
+    ``and_decode`` adds ``text`` as :func:`decode` does, by the same Python workers.
+
     ``path`` names a tokenizer file with a byte-level BPE.  Strings of its special tokens in a text
     become these tokens; nothing is added, cut off or filled up.  Null and empty texts have no ids.
     Repeated rows are encoded alike; other columns are ignored.
@@ -267,13 +287,18 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = encoder(path)
-        for batch in batches:
-            made = [ids.astype("<u4").tobytes() for ids in known.encode(batch.column(1).to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=["doc_id", "ids"])
+        for whole in batches:
+            for i in range(0, whole.num_rows, BATCH_ROWS):
+                batch = whole.slice(i, BATCH_ROWS)
+                ids = list(known.encode(batch.column(1).to_pylist()))
+                columns = [batch.column(0), pa.array(ids, pa.binary())]
+                if and_decode:
+                    columns.append(pa.array(map(known.decode, ids), pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "text"][: len(columns)])
 
     return docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("t")
-    ).mapInArrow(run, "doc_id bigint, ids binary")
+    ).mapInArrow(run, "doc_id bigint, ids binary" + (", text string" if and_decode else ""))
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -285,7 +310,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = encoder(path)
         for batch in batches:
-            made = [None if i is None else known.decode(np.frombuffer(i, "<u4")) for i in batch.column(1).to_pylist()]
+            made = [None if i is None else known.decode(i) for i in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.string())], names=["doc_id", "ids", "text"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, ids binary, text string")

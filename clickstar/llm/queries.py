@@ -93,7 +93,7 @@ FROM judged GROUP BY doc_id"""
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded."""
     path = tokenizer_path("byte_bpe_50k.json")
-    both = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    both = bpe.encode(table(spark, sf_dir, "documents"), path, and_decode=True)
     return both.select(
         "doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
         decimal_sha256("ids").alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"),
@@ -103,7 +103,9 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @F.pandas_udf(T.StringType())
 def decimal_sha256(ids: pd.Series) -> pd.Series:
     """SHA-256 of the ids in decimal, joined by commas."""
-    return ids.map(lambda i: hashlib.sha256(",".join(map(str, np.frombuffer(i, "<u4").tolist())).encode()).hexdigest())
+    numbers = [np.frombuffer(i, "<u4") for i in ids]
+    texts = bpe.decimals(1 + max((int(n.max()) for n in numbers if len(n)), default=-1))
+    return pd.Series([hashlib.sha256(texts.join(n)[:-1]).hexdigest() for n in numbers])
 
 
 @registered

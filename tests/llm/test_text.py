@@ -31,12 +31,12 @@ def test_bpe_is_that_of_the_library():
     texts = ODD_TEXTS + random_texts()
     for text, ids in zip(texts, mine.encode(texts), strict=True):
         want = library.encode(text, add_special_tokens=False).ids
-        assert ids.tolist() == want
+        assert np.frombuffer(ids, "<u4").tolist() == want
         assert mine.decode(ids) == library.decode(want, skip_special_tokens=False)
     rng = random.Random(5)
     for _ in range(100):
         ids = [rng.randrange(50257) for _ in range(8)]
-        assert mine.decode(np.array(ids)) == library.decode(ids, skip_special_tokens=False)
+        assert mine.decode(np.array(ids, "<u4").tobytes()) == library.decode(ids, skip_special_tokens=False)
 
 
 def test_bpe_of_blocks_and_small_memory(monkeypatch):
@@ -46,12 +46,19 @@ def test_bpe_of_blocks_and_small_memory(monkeypatch):
     library, mine = Tokenizer.from_file(path), bpe.Encoder(path)
     texts = ODD_TEXTS + [words(i, 60) for i in range(20)]
     for text, ids in zip(texts, mine.encode(texts), strict=True):
-        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_decimals():
+    assert bpe.decimals(120).join(np.array([0, 7, 119, 0, 10])) == b"0,7,119,0,10,"
+    assert bpe.decimals(0).join(np.array([], np.uint32)) == b""
 
 
 def test_bpe_frames(odd_docs, no_docs, odd_rows):
     path = tokenizer_path("byte_bpe_50k.json")
     both = bpe.decode(bpe.encode(odd_docs, path), path)
+    at_once = bpe.encode(odd_docs, path, and_decode=True)
+    assert Counter(map(str, at_once.collect())) == Counter(map(str, both.collect()))
     assert Counter((r.doc_id, r.text) for r in both.collect()) == Counter((r[0], r[1] or "") for r in odd_rows)
     assert bpe.decode(bpe.encode(no_docs, path), path).count() == 0
 
