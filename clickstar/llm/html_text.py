@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 from html import unescape
 
 import pyarrow as pa
@@ -28,11 +29,13 @@ ENDS_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 "
     "h4 h5 h6 header hgroup hr main menu nav ol p pre section summary table ul".split()
 )
-# Never part of the main text: by element, by role, and by a word of class or id.
+# Never part of the main text: by element.
 DROPPED = frozenset(
-    "nav header footer aside form script style noscript template iframe object embed svg canvas button select option "
-    "input textarea dialog menu head title audio video map".split()
+    "script style noscript template iframe object embed svg canvas button select option input textarea head title audio "
+    "video map".split()
 )
+# Not part of the main text unless they hold it: by element, by role, and by a name in class or id.
+ASIDE = frozenset("nav header footer aside dialog menu".split())
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search menu menubar dialog alert form".split())
 DROPPED_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense adbox banner sponsor sponsored promo promotion nav navbar "
@@ -40,6 +43,11 @@ DROPPED_WORDS = frozenset(
     "reply replies cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription signup "
     "login share sharing social related recommended toolbar pagination pager skip hidden copyright legal widget form".split()
 )
+# Names of text by readers and lawyers, of which a page may have more than of its own.
+LONG_WORDS = frozenset("comment comments disqus respond reply replies cookie cookies consent gdpr legal".split())
+# Words that leave a name what it is: "cookie-banner", "site-header" and "related-posts" name such blocks,
+# "overflow-hidden", "has-sidebar" and "widget-area" do not.
+PLAIN_WORDS = frozenset("site page main top bottom left right global bar box block list item items links posts buttons slot unit".split())
 _NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
@@ -56,31 +64,51 @@ SCORED = frozenset("p td pre blockquote li dd div section article main body figc
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "dropped", "score", "chars", "link_chars", "order")
+    __slots__ = ("tag", "parent", "children", "dropped", "doubt", "score", "chars", "link_chars", "order")
 
-    def __init__(self, tag: str, parent: Node | None, dropped: bool):
-        self.tag, self.parent, self.dropped = tag, parent, dropped
+    def __init__(self, tag: str, parent: Node | None, dropped: bool, doubt: int = 0):
+        self.tag, self.parent, self.dropped, self.doubt = tag, parent, dropped, doubt
         # Text as str, elements as Node.
         self.children: list[Node | str] = []
         self.score, self.chars, self.link_chars, self.order = 0.0, 0, 0, 0
 
 
-def _drops(tag: str, attributes: str) -> bool:
-    if tag in DROPPED:
-        return True
+# How an element that may not be main text is known: by name or as a form, by the name of a long
+# text, or by its element, its role or as hidden.
+_NAMED, _LONG, _MARKED = 1, 2, 3
+
+
+def _named(names: str) -> int:
+    """``_NAMED`` or ``_LONG`` if a whole name of a class or id is one of a block beside the text."""
+    doubt = 0
+    for name in names.split():
+        words = [w.lower() for w in _NAME_WORD.findall(name)]
+        if "".join(words) not in DROPPED_WORDS:
+            hits = sum(w in DROPPED_WORDS for w in words)
+            if not hits or any(w not in DROPPED_WORDS and w not in PLAIN_WORDS for w in words):
+                continue
+        doubt = _LONG if doubt == _LONG or any(w in LONG_WORDS for w in words) else _NAMED
+    return doubt
+
+
+def _doubt(tag: str, attributes: str) -> int:
+    """Whether an element may be no main text, and by what; 0 if nothing speaks against it."""
+    if tag in ASIDE:
+        return _MARKED
+    doubt = _NAMED if tag == "form" else 0
     if not attributes.strip() or tag in ("html", "body", "article", "main"):
-        return False
+        return doubt
     for found in _ATTRIBUTE.finditer(attributes):
         name, value = found[1].lower(), unescape((found[2] or "").strip("\"'"))
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
+            return _MARKED
         if name == "role" and value.lower() in DROPPED_ROLES:
-            return True
+            return _MARKED
         if name == "style" and _HIDDEN.search(value):
-            return True
-        if name in ("class", "id") and any(w.lower() in DROPPED_WORDS for w in _NAME_WORD.findall(value)):
-            return True
-    return False
+            return _MARKED
+        if name in ("class", "id"):
+            doubt = max(doubt, _named(value))
+    return doubt
 
 
 def parse(html: str) -> Node:
@@ -131,7 +159,7 @@ def parse(html: str) -> Node:
                 up = up.parent
             if last is not None:
                 node = last.parent
-        child = Node(tag, node, node.dropped or _drops(tag, attributes or ""))
+        child = Node(tag, node, tag in DROPPED, _doubt(tag, attributes or ""))
         node.children.append(child)
         if tag in RAW:
             stop = re.compile(rf"</{tag}\s*>", re.I).search(html, at)
@@ -152,6 +180,95 @@ def _walk(root: Node) -> Iterator[tuple[Node, bool]]:
             stack.extend((c, True) for c in reversed(node.children) if not isinstance(c, str) and not c.dropped)
 
 
+@dataclass
+class _Held:
+    """What an element holds besides links; ``clean``, ``clean_article`` and ``clean_line`` without
+    what is in doubt in it.  ``article``: the longest article or main element."""
+
+    text: int = 0
+    article: int = 0
+    articles: int = 0
+    main: bool = False
+    title: bool = False
+    clean: int = 0
+    clean_article: int = 0
+    clean_line: bool = False
+
+    def add(self, other: _Held, clean: bool) -> None:
+        self.text += other.text
+        self.article = max(self.article, other.article)
+        self.articles += other.articles
+        self.main |= other.main
+        self.title |= other.title
+        if clean:
+            self.add_clean(other)
+
+    def add_clean(self, other: _Held) -> None:
+        self.clean += other.clean
+        self.clean_article = max(self.clean_article, other.clean_article)
+        self.clean_line |= other.clean_line
+
+
+def _settle(root: Node) -> None:
+    """Drops the elements in doubt that do not hold the main text.
+
+    Judged from outside inwards against the text that is not in doubt.  The main text is in an
+    element with the main element, with the longest article, or with most of the text.  A text that
+    readers or lawyers wrote may be longer than all else, so an element with such a name must have
+    the title too, unless nothing else has a line of text; one that is marked as no main text by
+    its element must have a main element or an article with most of the text.
+    """
+    held: dict[Node, _Held] = {}
+    links = 0
+    for node, begins in _walk(root):
+        links += (1 if begins else -1) if node.tag == "a" else 0
+        if begins:
+            held[node] = _Held()
+            continue
+        own = held[node]
+        if not links and node.tag != "a":
+            lengths = [len(c.strip()) for c in node.children if isinstance(c, str)]
+            own.text += sum(lengths)
+            own.clean += sum(lengths)
+            own.clean_line |= max(lengths, default=0) >= LEAST_CHARS
+        own.title |= node.tag == "h1"
+        if node.tag in ("article", "main") and own.text:
+            own.article, own.clean_article, own.articles = own.text, own.clean, own.articles + 1
+            own.main |= node.tag == "main"
+        if node.parent is not None:
+            held[node.parent].add(own, not node.doubt)
+    page = held[root]
+    total, articles = page.text, page.articles
+
+    def holds(node: Node) -> bool:
+        own = held[node]
+        longest = own.article > page.clean_article
+        most = longest and 2 * own.article > page.clean
+        if node.doubt == _MARKED:
+            return own.main or most
+        found = (
+            own.main or most or longest and own.articles == articles == 1
+            or 2 * own.text > total and 10 * page.clean_article < own.text
+        )
+        return found and (node.doubt == _NAMED or own.main or own.title or not page.clean_line)
+
+    # By rounds of depth, the longest first, so that what one of them holds counts for the others.
+    stack = [root]
+    while stack:
+        waiting: list[Node] = []
+        while stack:
+            node = stack.pop()
+            inner = [c for c in node.children if not isinstance(c, str) and not c.dropped]
+            waiting.extend(c for c in inner if c.doubt)
+            stack.extend(c for c in inner if not c.doubt)
+        for node in sorted(waiting, key=lambda n: -held[n].text):
+            if holds(node):
+                page.add_clean(held[node])
+                stack.append(node)
+            else:
+                node.dropped = True
+
+
 def _measure(root: Node) -> list[Node]:
     """Fills in the characters of all elements and the points; gives the elements in page order."""
     nodes: list[Node] = []
@@ -212,6 +329,7 @@ def _text(node: Node, out: list[str]) -> None:
 def main_text(html: str) -> str:
     """The article of a page as one line of text, empty if there is none."""
     root = parse(html)
+    _settle(root)
     nodes = _measure(root)
     best = max(nodes, key=lambda n: (n.score * (1 - _density(n)), -n.order), default=root)
     if best.score <= 0:
@@ -255,8 +373,9 @@ def extract(pages: DataFrame) -> DataFrame:
 
     Paragraphs give points for their length and commas, less the share of links, to the elements
     round them; of the best element and the siblings that score near it or are long paragraphs the
-    text is kept, without navigation, headers, footers, sidebars, notices, adverts, forms, scripts,
-    styles and comments of readers.  Null and empty pages and pages without text give an empty
+    text is kept.  Navigation, headers,
+    footers, sidebars, notices, adverts, forms and comments of readers are left out unless they hold
+    the main text; scripts and styles always are.  Null and empty pages and pages without text give an empty
     text; broken markup is read as far as it goes.  Repeated rows and rows without page_id are pages
     of their own.  Other columns are ignored.
     """

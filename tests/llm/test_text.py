@@ -162,6 +162,32 @@ def test_main_text(page, text):
     assert html_text.main_text(page) == text
 
 
+LINE = "<p>A paragraph of the article, with commas, and words enough to score points, yes, indeed.</p>"
+
+
+@pytest.mark.parametrize("name", [
+    "overflow-hidden", "has-sidebar", "no-sidebar", "header-fixed", "widget-area", "hidden", "sidebar", "right-sidebar", "modal", "share",
+])
+@pytest.mark.parametrize("tag", ["div", "article"])
+def test_names_of_wrappers_do_not_drop_the_text(name, tag):
+    page = f"<body><nav><a href=x>Home</a></nav><div class='wrap {name}'><{tag}><h1>Title</h1>{LINE * 4}</{tag}></div><footer>{LINE}</footer></body>"
+    text = html_text.main_text(page)
+    assert text.startswith("Title") and text.count("A paragraph") == 4
+
+
+def test_forms_and_unclosed_elements_round_the_page():
+    page = f"<body><form action=x><div class=sidebar>{COMMENT}</div><div id=content>{LINE * 4}</div><input></form></body>"
+    assert html_text.main_text(page).count("A paragraph") == 4 and "reader" not in html_text.main_text(page)
+    assert html_text.main_text(f"<body><nav><a href=x>Home</a><main>{LINE * 4}</main>").count("A paragraph") == 4
+
+
+def test_comments_and_related_articles_stay_out():
+    page = f"<body><div class=post><h1>Title</h1>{LINE * 2}</div><div class=%s>{f'<article>{COMMENT}</article>' * 3}</div></body>"
+    for name in ("comments", "comment-list", "related-posts"):
+        text = html_text.main_text(page % name)
+        assert text.count("A paragraph") == 2 and "reader" not in text
+
+
 def test_pages(spark):
     rows = [(1, "u", f"<article>{ARTICLE}</article>", 5), (1, "u", f"<article>{ARTICLE}</article>", 5), (None, None, None, None), (2, "v", "", 1)]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, text int")
