@@ -64,13 +64,13 @@ SCORED = frozenset("p td pre blockquote li dd div section article main body figc
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "dropped", "doubt", "score", "chars", "link_chars", "order")
+    __slots__ = ("tag", "parent", "children", "dropped", "doubt", "score", "points", "chars", "link_chars", "order")
 
     def __init__(self, tag: str, parent: Node | None, dropped: bool, doubt: int = 0):
         self.tag, self.parent, self.dropped, self.doubt = tag, parent, dropped, doubt
         # Text as str, elements as Node.
         self.children: list[Node | str] = []
-        self.score, self.chars, self.link_chars, self.order = 0.0, 0, 0, 0
+        self.score, self.points, self.chars, self.link_chars, self.order = 0.0, 0.0, 0, 0, 0
 
 
 # How an element that may not be main text is known: by name or as a form, by the name of a long
@@ -182,8 +182,8 @@ def _walk(root: Node) -> Iterator[tuple[Node, bool]]:
 
 @dataclass
 class _Held:
-    """What an element holds besides links; ``clean``, ``clean_article`` and ``clean_line`` without
-    what is in doubt in it.  ``article``: the longest article or main element."""
+    """What an element holds besides links; ``clean`` and what begins with it without what is
+    in doubt in it.  ``article``: the longest article or main element."""
 
     text: int = 0
     article: int = 0
@@ -193,6 +193,7 @@ class _Held:
     clean: int = 0
     clean_article: int = 0
     clean_line: bool = False
+    clean_title: bool = False
 
     def add(self, other: _Held, clean: bool) -> None:
         self.text += other.text
@@ -207,13 +208,15 @@ class _Held:
         self.clean += other.clean
         self.clean_article = max(self.clean_article, other.clean_article)
         self.clean_line |= other.clean_line
+        self.clean_title |= other.clean_title
 
 
 def _settle(root: Node) -> None:
     """Drops the elements in doubt that do not hold the main text.
 
     Judged from outside inwards against the text that is not in doubt.  The main text is in an
-    element with the main element, with the longest article, or with most of the text.  A text that
+    element with the main element, with the longest article, or with most of the text; if the title
+    stands over other text, with nearly all of it.  A text that
     readers or lawyers wrote may be longer than all else, so an element with such a name must have
     the title too, unless nothing else has a line of text; one that is marked as no main text by
     its element must have a main element or an article with most of the text.
@@ -230,8 +233,9 @@ def _settle(root: Node) -> None:
             lengths = [len(c.strip()) for c in node.children if isinstance(c, str)]
             own.text += sum(lengths)
             own.clean += sum(lengths)
-            own.clean_line |= max(lengths, default=0) >= LEAST_CHARS
-        own.title |= node.tag == "h1"
+            own.clean_line |= max(lengths, default=0) >= LEAST_CHARS and node.tag not in ("h1", "h2", "h3")
+        if node.tag == "h1":
+            own.title = own.clean_title = True
         if node.tag in ("article", "main") and own.text:
             own.article, own.clean_article, own.articles = own.text, own.clean, own.articles + 1
             own.main |= node.tag == "main"
@@ -246,9 +250,10 @@ def _settle(root: Node) -> None:
         most = longest and 2 * own.article > page.clean
         if node.doubt == _MARKED:
             return own.main or most
+        elsewhere = page.clean_title and page.clean_line and not own.title
         found = (
             own.main or most or longest and own.articles == articles == 1
-            or 2 * own.text > total and 10 * page.clean_article < own.text
+            or own.text > (4 * page.clean if elsewhere else total / 2) and 10 * page.clean_article < own.text
         )
         return found and (node.doubt == _NAMED or own.main or own.title or not page.clean_line)
 
@@ -281,6 +286,7 @@ def _measure(root: Node) -> list[Node]:
         inner = [c for c in node.children if not isinstance(c, str) and not c.dropped]
         node.chars = own + sum(c.chars for c in inner)
         node.link_chars = node.chars if node.tag == "a" else sum(c.link_chars for c in inner)
+        node.points = sum(c.points for c in inner)
         if node.tag not in SCORED or node.parent is None:
             continue
         # The text that stands in this block itself, not in blocks within it.
@@ -296,6 +302,7 @@ def _measure(root: Node) -> list[Node]:
         if line < LEAST_CHARS:
             continue
         points = (1 + commas + min(line // 100, 3)) * (1 - node.link_chars / max(node.chars, 1))
+        node.points += points
         # A block gives to its parent, half to the next, then ever less; a block that holds text
         # itself beside others keeps its points.
         up, share = (node.parent, 1.0) if node.tag not in ("div", "section", "article", "main", "body") else (node, 1.0)
@@ -312,7 +319,40 @@ def _density(node: Node) -> float:
     return node.link_chars / max(node.chars, 1)
 
 
-def _text(node: Node, out: list[str]) -> None:
+def _blocks(node: Node) -> Iterator[list[Node | str]]:
+    """The blocks in an element; text and line elements that follow each other are one."""
+    run: list[Node | str] = []
+    for c in node.children:
+        if isinstance(c, str) or c.tag in INLINE:
+            run.append(c)
+            continue
+        if run:
+            yield run
+            run = []
+        yield [c]
+    if run:
+        yield run
+
+
+def _mostly_links(block: list[Node | str]) -> bool:
+    shown = [c for c in block if isinstance(c, str) or not c.dropped]
+    chars = sum(len(c.strip()) if isinstance(c, str) else c.chars for c in shown)
+    return 2 * sum(c.link_chars for c in shown if not isinstance(c, str)) > chars
+
+
+def _whole(best: Node) -> Node:
+    """The element round all sections of the text of which ``best`` is one: the farthest one with
+    several blocks of text that are not links, its parent at least."""
+    whole, up = best.parent or best, best.parent
+    while up is not None and up.tag != "html":
+        blocks = [c for c in up.children if not isinstance(c, str) and not c.dropped and c.points > 0 and _density(c) < 0.25]
+        if len(blocks) > 1:
+            whole = up
+        up = up.parent
+    return whole
+
+
+def _text(node: Node | str, out: list[str]) -> None:
     """The text below ``node``; a blank at each edge of a block."""
     stack: list[Node | str] = [node]
     while stack:
@@ -341,29 +381,34 @@ def main_text(html: str) -> str:
             if own or len(inner) != 1:
                 break
             best = inner[0]
-        kept: list[Node] = [best] if best.chars > best.link_chars else []
+        kept: list[Node | str] = [best] if best.chars > best.link_chars else []
     else:
         # An article element round the best container is the whole article.
         up = best
         while up is not None and up.tag not in ("article", "main"):
             up = up.parent
-        best = up if up is not None else best
-        limit = max(10.0, 0.2 * best.score * (1 - _density(best)))
         kept = []
-        for sibling in best.parent.children if best.parent else [best]:
-            if isinstance(sibling, str) or sibling.dropped:
-                continue
-            density = _density(sibling)
-            if sibling is best or sibling.score * (1 - density) >= limit:
-                kept.append(sibling)
-            elif sibling.tag in ("p", "h1", "h2", "h3", "blockquote", "pre") and (
-                sibling.chars > 80 and density < 0.25 or sibling.tag != "p" and sibling.chars and density < 0.25
-            ):
-                kept.append(sibling)
+        if up is None:
+            kept = [] if best.parent else [best]
+            for block in _blocks(_whole(best)) if best.parent else []:
+                if best in block or not _mostly_links(block):
+                    kept.extend(block)
+        else:
+            best = up
+            limit = 0.2 * best.score * (1 - _density(best))
+            for sibling in best.parent.children if best.parent else [best]:
+                if isinstance(sibling, str) or sibling.dropped:
+                    continue
+                density = _density(sibling)
+                if sibling is best or sibling.score * (1 - density) >= limit:
+                    kept.append(sibling)
+                elif sibling.tag in ("p", "h1", "h2", "h3", "blockquote", "pre") and (
+                    sibling.chars > 80 and density < 0.25 or sibling.tag != "p" and sibling.chars and density < 0.25
+                ):
+                    kept.append(sibling)
     out: list[str] = []
     for node in kept:
         _text(node, out)
-        out.append(" ")
     # References are decoded per run of text; white space, also that of references, becomes one blank.
     return " ".join(unescape("".join(out)).split())
 
@@ -372,8 +417,9 @@ def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of each row of ``pages`` (page_id, url, html).
 
     Paragraphs give points for their length and commas, less the share of links, to the elements
-    round them; of the best element and the siblings that score near it or are long paragraphs the
-    text is kept.  Navigation, headers,
+    round them.  Of the article or main element round the best one the text is kept, with siblings
+    that score near it or are long paragraphs; without such an element, that of all blocks beside
+    the best one and of all sections, but for those that are mostly links.  Navigation, headers,
     footers, sidebars, notices, adverts, forms and comments of readers are left out unless they hold
     the main text; scripts and styles always are.  Null and empty pages and pages without text give an empty
     text; broken markup is read as far as it goes.  Repeated rows and rows without page_id are pages

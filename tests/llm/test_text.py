@@ -188,6 +188,14 @@ def test_comments_and_related_articles_stay_out():
         assert text.count("A paragraph") == 2 and "reader" not in text
 
 
+def test_sections_without_article_are_all_kept():
+    long, short = f"<p>{'a' * 75}, {'b' * 70}, c</p>", "<ul><li>one</li><li>two</li></ul><table><tr><td>x</td></tr></table><h4>head</h4><p>short</p>"
+    page = f"<body><nav><a href=x>Home</a></nav><div id=content><div>{long * 4}</div><div>{long * 2}</div>{short}<div><a href=y>more</a></div></div></body>"
+    assert html_text.main_text(page) == " ".join([f"{'a' * 75}, {'b' * 70}, c"] * 6) + " one two x head short"
+    deep = f"<body><div id=content>{f'<section><div>{LINE * 3}</div></section>' * 3}<section><div>{LINE}</div></section></div></body>"
+    assert html_text.main_text(deep).count("A paragraph") == 10
+
+
 def test_pages(spark):
     rows = [(1, "u", f"<article>{ARTICLE}</article>", 5), (1, "u", f"<article>{ARTICLE}</article>", 5), (None, None, None, None), (2, "v", "", 1)]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, text int")
