@@ -419,13 +419,26 @@ def _runs(tags: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
                 yield w, int(row[begin]), begin, end
 
 
+def _united(spans: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """What the overlapping spans of a kind cover together."""
+    out: list[tuple[str, int, int]] = []
+    for kind, begin, end in sorted(spans):
+        if out and out[-1][0] == kind and begin < out[-1][2]:
+            out[-1] = (kind, out[-1][1], max(end, out[-1][2]))
+        else:
+            out.append((kind, begin, end))
+    return out
+
+
 def model_spans(net: Net, texts: list[str]) -> list[list[tuple[str, int, int]]]:
     """Spans that the network finds in whole texts.
 
-    Texts are cut into overlapping windows, which are decoded apart.  What neighbours find in their
-    common part is settled for the whole text: of overlapping spans the longest stays (then the
-    first), so a span that a window cuts off gives way to the whole one of its neighbour.
+    Texts are cut into overlapping windows, which are decoded apart; round a run that reaches an edge
+    within the text another window is decoded.  What windows find in their common part is settled
+    for the whole text: runs of a kind that overlap are united, and of overlapping spans the longest
+    that fits its kind stays (then the first).
     """
+    edges: set[tuple[int, int]] = set()
     found: list[list[tuple[str, int, int]]] = [[] for _ in texts]
     codes, owners, size = [], [], 0
     stride = WINDOW - OVERLAP
@@ -443,7 +456,12 @@ def model_spans(net: Net, texts: list[str]) -> list[list[tuple[str, int, int]]]:
             for w, tag, begin, end in _runs(decode_windows(net, part)):
                 text, offset, _, length = owners[i + w]
                 if begin < length:
-                    found[text].append((KINDS[tag - 1], offset + begin, offset + min(end, length)))
+                    begin, end = offset + begin, offset + min(end, length)
+                    found[text].append((KINDS[tag - 1], begin, end))
+                    if begin == offset > 0:
+                        edges.add((text, max(0, end + OVERLAP - WINDOW)))
+                    if end == offset + length < len(texts[text]):
+                        edges.add((text, max(0, begin - OVERLAP)))
         codes.clear()
         owners.clear()
 
@@ -460,7 +478,20 @@ def model_spans(net: Net, texts: list[str]) -> list[list[tuple[str, int, int]]]:
                 flush()
                 size = 0
     flush()
+    again = sorted(edges)
+    for i in range(0, len(again), BATCH):
+        group = again[i : i + BATCH]
+        part = np.full((WINDOW, len(group)), _OUTSIDE, np.uint8)
+        for w, (number, offset) in enumerate(group):
+            own = classes(texts[number][offset : offset + WINDOW])
+            part[: len(own), w] = own
+        for w, tag, begin, end in _runs(decode_windows(net, part)):
+            number, offset = group[w]
+            end = min(offset + end, len(texts[number]))
+            if offset + begin < end:
+                found[number].append((KINDS[tag - 1], offset + begin, end))
     for number, spans in enumerate(found):
+        spans += _united(spans)
         kept: list[tuple[str, int, int]] = []
         text = texts[number]
         tidy = {(kind, *_trimmed(text, begin, end)) for kind, begin, end in spans}

@@ -294,6 +294,18 @@ def test_windows_are_reconciled(net, monkeypatch):
         assert spans[0] == spans[1] and len(spans[0]) <= 1
 
 
+@pytest.mark.parametrize("size", [70, 150, 400])
+def test_spans_longer_than_the_overlap_are_whole(net, monkeypatch, size):
+    wanted = pii.classes("X@.")
+    monkeypatch.setattr(pii, "decode_windows", lambda _, codes: np.isin(codes, wanted).astype(np.int8))
+    monkeypatch.setattr(pii, "BLOCK_CHARS", 700)
+    span = ("X" * 20 + "@" + "X" * size)[: size - 3] + ".XX"
+    for shift in range(0, 700, 23):
+        text = "a " * 100 + "a" * shift + " " + span + " a" * 400
+        begin = 201 + shift
+        assert pii.model_spans(net, [text]) == [[("email", begin, begin + size)]]
+
+
 def test_personal_data_frames(net, spark, odd_docs, no_docs):
     extra = spark.createDataFrame([(50, "to ann@x.org or +1 (274) 555-1898, 10.2.3.4 and 4532 0151 1283 0366")], "doc_id bigint, text string")
     row = pii.find(extra, net).first()
