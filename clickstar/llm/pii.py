@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -89,6 +90,8 @@ WINDOW, OVERLAP, BATCH = 320, 64, 1024
 BLOCK_CHARS = 1 << 19
 # Training: rows at most (drawn by a hash of the doc_id), windows, their length, passes.
 TRAIN_ROWS, TRAIN_WINDOWS, TRAIN_CHARS, PASSES = 6_000, 1_500, 64, 8
+# Spans of each kind, and other places, of a drawn row.
+TRAIN_SPANS, TRAIN_PLACES = 2, 3
 
 
 def _class_table() -> np.ndarray:
@@ -362,8 +365,8 @@ def train(texts: list[str], count: int = TRAIN_WINDOWS, size: int = TRAIN_CHARS,
 def fit(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> Net:
     """A network trained on spans labelled by the fixed patterns in about ``train_rows`` rows at most.
 
-    The rows are drawn by a hash of the doc_id; of each only the surroundings of its first labels,
-    or its first characters, are taken to train on.  Without any labels the network finds nothing
+    The rows are drawn by a hash of the doc_id; of each only the surroundings of a few labels of
+    each kind and of a few other places, drawn by a hash too, are taken to train on.  Without any labels the network finds nothing
     new.
     """
     part = F.pmod(F.xxhash64(F.lit("pii"), "doc_id"), F.lit(1 << 30))
@@ -371,15 +374,39 @@ def fit(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> Net:
     return train([r["t"] for r in drawn.select(_surroundings(F.coalesce("text", F.lit(""))).alias("t")).collect()])
 
 
+def _places(text: str) -> list[tuple[int, int]]:
+    """(begin, end) of pieces to train on: round spans of each kind, and elsewhere, drawn by a hash
+    of their place from the whole text.  No piece ends within a span."""
+    seed = zlib.crc32(text.encode("utf-8", "surrogatepass"))
+    drawn = lambda place: zlib.crc32(b"%d" % place, seed)
+    spans = base_spans(text)
+    pieces = []
+    for kind in KINDS:
+        own = sorted(((b, e) for k, b, e in spans if k == kind), key=lambda s: (drawn(s[0]), s))
+        pieces += own[:TRAIN_SPANS]
+    pieces += [(at, at) for at in (drawn(-1 - i) % len(text) for i in range(TRAIN_PLACES))]
+    out = []
+    for begin, end in pieces:
+        begin, end = max(0, begin - TRAIN_CHARS), min(len(text), end + TRAIN_CHARS)
+        for _, b, e in spans:
+            if b < begin < e:
+                begin = b
+            if b < end < e:
+                end = e
+        out.append((begin, end))
+    # Pieces that overlap are one.
+    return [(b, e) for _, b, e in _united([("", *piece) for piece in out])]
+
+
 @F.pandas_udf(T.StringType())
 def _surroundings(texts: pd.Series) -> pd.Series:
-    """At most a few hundred characters to train on."""
+    """At most a few thousand characters to train on."""
 
     def part(text: str) -> str:
-        spans = sorted((s[1], s[2]) for s in base_spans(text))[:4]
-        if not spans:
-            return text[: 6 * TRAIN_CHARS]
-        return " ".join(text[max(0, b - TRAIN_CHARS) : e + TRAIN_CHARS] for b, e in spans)
+        if len(text) <= 6 * TRAIN_CHARS:
+            return text
+        # A line feed is part of no span.
+        return "\n".join(text[b:e] for b, e in _places(text))
 
     return texts.map(part)
 

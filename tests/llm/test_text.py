@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from clickstar.llm import bpe, html_text, packing, pii, toxicity
 from clickstar.llm.common import tokenizer_path
@@ -306,6 +307,18 @@ def test_spans_longer_than_the_overlap_are_whole(net, monkeypatch, size):
         assert pii.model_spans(net, [text]) == [[("email", begin, begin + size)]]
 
 
+def test_training_text_is_drawn_from_the_whole_text():
+    text = " ".join(f"a{i}@x.org {words(i, 30)}" for i in range(8)) + " 10.2.3.4 " + words(9, 400) + " +1 (274) 555-1898"
+    cut = pii._surroundings.func(pd.Series([text, "short a@x.org", ""]))
+    assert {k for k, _, _ in pii.base_spans(cut[0])} == {"email", "ip", "phone"} and len(cut[0]) < len(text)
+    assert cut.tolist()[1:] == ["short a@x.org", ""]
+    # Spans stay whole.
+    whole = {text[b:e] for _, b, e in pii.base_spans(text)}
+    assert {cut[0][b:e] for _, b, e in pii.base_spans(cut[0])} <= whole
+    ends = [pii._places(words(100 + i, 1000))[-1][1] for i in range(20)]
+    assert max(ends) > 3000 and len(set(ends)) > 10
+
+
 def test_personal_data_frames(net, spark, odd_docs, no_docs):
     extra = spark.createDataFrame([(50, "to ann@x.org or +1 (274) 555-1898, 10.2.3.4 and 4532 0151 1283 0366")], "doc_id bigint, text string")
     row = pii.find(extra, net).first()
