@@ -10,11 +10,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import freed, written
 
 ORDERS = (3, 4, 5)
 HASH_BITS = 18
-# The classifier is fitted on about this many labelled rows at most, drawn by a hash of the doc_id.
+# The weights are fitted on about this many labelled rows at most, drawn per class by a hash of the doc_id.
 TRAIN_ROWS = 8_000
 # n-grams that the classifier weighs: those that tell the classes apart best.
 FEATURES = 1 << 14
@@ -120,28 +120,33 @@ def _logistic(rows: list, ratio: np.ndarray, penalty: float = 1e-3, steps: int =
 
 
 def fit(labelled: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
-    """Model fitted on rows (doc_id, text, toxic 0/1); see ``train_rows`` for the bound.
+    """Model fitted on rows (doc_id, text, toxic 0/1).
 
-    Without a row of each class every text scores the same: 0 without toxic rows, 1 without others.
+    The n-grams are counted in all rows; ``train_rows`` bounds those of the logistic fit, of which a
+    rare class gets up to half.  Without a row of each class every text scores the same: 0 without
+    toxic rows, 1 without others.
     """
-    total = labelled.count()
     part = F.pmod(F.xxhash64(F.lit("toxicity"), "doc_id"), F.lit(1 << 30))
-    sample = written(
-        labelled.where(part < int((1 << 30) * min(1.0, train_rows / max(total, 1)))).select("text", "toxic"), "labelled"
-    )
-    sizes = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
+    rows = written(labelled.select("text", "toxic", part.alias("part")), "labelled")
+    sizes = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     place = np.zeros(1 << HASH_BITS, np.int16)
     if not sizes.get(1) or not sizes.get(0):
+        freed(rows)
         return Model(place, np.zeros(1), 500.0 if sizes.get(1) else -500.0)
+    wanted = {c: max(train_rows // 2, train_rows - sizes[1 - c]) for c in (0, 1)}
+    bounds = [int((1 << 30) * min(1.0, wanted[c] / sizes[c])) for c in (0, 1)]
+    sample = rows.where(F.col("part") < F.when(F.col("toxic") == 1, bounds[1]).otherwise(bounds[0]))
     # At most 2 ** HASH_BITS rows, whatever the corpus.
-    counts = _class_counts(sample).where("pos + neg > 2").toPandas().sort_values("slot")
+    counts = _class_counts(rows).where("pos + neg > 2").toPandas().sort_values("slot")
     pos, neg = counts["pos"].to_numpy(float), counts["neg"].to_numpy(float)
     ratio = np.log((pos + 1) / (sizes[1] + 2)) - np.log((neg + 1) / (sizes[0] + 2))
     strength = np.abs(pos / sizes[1] - neg / sizes[0]) * np.abs(ratio)
     best = np.sort(np.argsort(-strength, kind="stable")[: FEATURES - 1])
     place[counts["slot"].to_numpy()[best]] = np.arange(1, len(best) + 1)
     ratios = np.concatenate(([0.0], ratio[best]))
-    return Model(place, *_logistic(_rows_of_features(sample, place), ratios))
+    drawn = _rows_of_features(sample, place)
+    freed(rows)
+    return Model(place, *_logistic(drawn, ratios))
 
 
 def labelled_rows(docs: DataFrame, labels: DataFrame, held_out: bool = False) -> DataFrame:

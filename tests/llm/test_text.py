@@ -136,6 +136,12 @@ def test_toxicity_learns_and_keeps_all_rows(spark, odd_docs, no_docs):
     assert toxicity.fit(train.where("false")).score("villain") < 0.5
 
 
+def test_toxicity_of_a_rare_class_is_learnt(spark):
+    rows = [(i, words(i, 15) + (" vile scoundrel" if i % 200 == 7 else ""), int(i % 200 == 7)) for i in range(2400)]
+    model = toxicity.fit(spark.createDataFrame(rows, "doc_id bigint, text string, toxic int").repartition(4), train_rows=60)
+    assert model.score(words(9001, 15) + " vile scoundrel") > 0.5 > model.score(words(9002, 15))
+
+
 def test_ngram_slots_of_blocks(monkeypatch):
     text = words(1, 300)
     whole = np.concatenate(list(toxicity.ngram_slots(text)))
