@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import bpe, embedding, exact, html_text, lines, packing, pii, simhash, substring, toxicity
+from . import bpe, embedding, exact, html_text, lines, packing, periodic, pii, simhash, substring, toxicity
 from .common import table, tokenizer_path
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -149,6 +149,90 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+BLANKS = " \t\n\x0b\x0c\r"
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) where every tenth document, by a hash of its id, repeats itself from a word on."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    trimmed = F.btrim(F.coalesce("text", F.lit("")), F.lit(BLANKS))
+    chosen = (F.col("h") % 10 == 0) & (F.col("trimmed") != "")
+    words = F.split("trimmed", r"[\x20\x09-\x0D]+")
+    parts = docs.select("doc_id", "text", h.alias("h"), trimmed.alias("trimmed")).select(
+        "doc_id", "text", F.expr("h div 10").alias("g"), F.when(chosen, words).alias("w")
+    ).withColumn("n", F.size("w")).withColumn("a", F.when(F.col("w").isNotNull(), F.expr("cast(g % n as int)")))
+    parts = parts.withColumn("p", F.expr("cast(1 + (n - a) div (3 + g % 8) as int)"))
+    again = F.expr(
+        "array_join(concat(slice(w, 1, a),"
+        " slice(flatten(array_repeat(slice(w, a + 1, p), cast((n - a + p - 1) div p as int))), 1, n - a)), ' ')"
+    )
+    return parts.select("doc_id", F.when(F.col("w").isNotNull(), again).otherwise(F.col("text")).alias("text"))
+
+
+@registered
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document, a tenth of which are made to repeat themselves."""
+    found = periodic.periodic_runs(with_periods(table(spark, sf_dir, "documents")))
+    # The greatest quotient of whole numbers, compared by products; the first of equal ones stays.
+    more = lambda x, y: x["length"] * y["period"] > y["length"] * x["period"]
+    best = F.aggregate("runs", F.get("runs", F.lit(0)), lambda x, y: F.when(more(y, x), y).otherwise(x))
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    lines_ = F.concat_ws("", F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(lines_, 256).alias("runs_sha256"), F.sha2("kept", 256).alias("collapsed_sha256"),
+    )
+
+
+# CRC-32 of a number in decimal, as SQL over the column ``{0}``.
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295, flatten(list_transform(string_split({0}::VARCHAR, ''),
+  lambda d: [ascii(d)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+  lambda c, b: xor(xor(c, b) >> 1, 3988292384 * (xor(c, b) & 1))))"""
+
+# Every pair of equal 5-grams of a document is a link; neighbouring links of one distance are a stretch
+# with that period.
+ORACLE["op11_periodic_runs"] = f"""
+WITH hashed AS (
+  SELECT doc_id, {_CRC32.format("doc_id")} AS h,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS o
+  FROM documents),
+placed AS (SELECT *, len(o) AS n, h // 10 AS g, CASE WHEN len(o) > 0 THEN (h // 10) % len(o) END AS a FROM hashed),
+planted AS (
+  SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN
+    list_transform(range(n), lambda i: o[CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END + 1])
+    ELSE o END AS w FROM placed),
+word AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS i FROM planted),
+gram AS (
+  SELECT doc_id, i, [word, lead(word, 1) OVER d, lead(word, 2) OVER d, lead(word, 3) OVER d, lead(word, 4) OVER d] AS gram,
+         lead(i, 4) OVER d AS whole
+  FROM word WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+named AS (SELECT doc_id, i, md5(gram::VARCHAR) AS gram FROM gram WHERE whole IS NOT NULL),
+link AS (
+  SELECT x.doc_id, x.i, y.i - x.i AS q FROM named x JOIN named y ON x.doc_id = y.doc_id AND x.gram = y.gram AND x.i < y.i),
+stretch AS (
+  SELECT doc_id, q, min(i) AS start, count(*) + 4 + q AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM link)
+  GROUP BY doc_id, q, island HAVING count(*) + 4 + q >= greatest(6, 4 * q)),
+run AS (
+  SELECT * FROM stretch s WHERE NOT EXISTS (
+    SELECT 1 FROM stretch t WHERE t.doc_id = s.doc_id AND t.q < s.q AND t.start <= s.start
+      AND t.start + t.length >= s.start + s.length)),
+found AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || q || chr(10), '' ORDER BY start, q) AS lines
+  FROM run GROUP BY doc_id),
+best AS (
+  SELECT doc_id, start, length, q AS period FROM run
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length / q DESC, start, q) = 1),
+dropped AS (
+  SELECT DISTINCT doc_id, unnest(range(start + q, start + length)) AS i FROM run),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept FROM word ANTI JOIN dropped USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM documents LEFT JOIN found USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+
 @registered
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline, one after the other."""

@@ -24,9 +24,9 @@ def test_against_sql(spark, name):
     assert sorted(map(str, map(tuple, frame.select(*columns).collect()))) == sorted(map(str, cursor.fetchall()))
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_thirteen_and_the_pipeline_are_registered():
     numbers = {int(n[2:].split("_")[0]) for n in queries.REGISTRY if n.startswith("op")}
-    assert numbers == set(range(1, 11)) and "pipeline" in queries.REGISTRY
+    assert numbers == set(range(1, 14)) and "pipeline" in queries.REGISTRY
 
 
 def test_pipeline_stages(spark, tmp_path):
