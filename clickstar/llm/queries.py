@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import bpe, embedding, exact, html_text, lines, packing, periodic, pii, simhash, substring, toxicity
-from .common import table, tokenizer_path
+from . import bpe, embedding, exact, html_text, lines, packing, periodic, pii, simhash, substring, toxicity, trie
+from .common import freed, table, tokenizer_path, written
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -233,6 +233,70 @@ SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * leng
 FROM documents LEFT JOIN found USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)"""
 
 
+def rebuilt(turns: DataFrame) -> DataFrame:
+    """``turns`` (conv_id, position, digest, n_words) with openings borrowed.
+
+    By a hash of its id a conversation takes none to three turns of the conversation whose id is the
+    next lower multiple of twenty in place of as many of its own, or fewer where that one is shorter.
+    """
+    base, h = F.expr("conv_id - conv_id % 20"), F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4
+    convs = turns.where("position = 0").select("conv_id", base.alias("base"), h.alias("h"))
+    heads = turns.where("conv_id % 20 = 0 and position < 3").withColumnRenamed("conv_id", "base")
+    borrowed = convs.join(heads, "base").where("position < h")
+    lent = heads.groupBy("base").agg(F.count(F.lit(1)).alias("lent"))
+    # Conversations whose own turns move up, because fewer are lent than they leave out.
+    short = convs.join(lent, "base", "left").select(
+        "conv_id", (F.col("h") - F.least("h", F.coalesce("lent", F.lit(0)))).alias("short")
+    ).where("short > 0")
+    own = turns.where(F.col("position") >= h).join(short, "conv_id", "left")
+    own = own.withColumn("position", F.col("position") - F.coalesce("short", F.lit(0)))
+    columns = ["conv_id", "position", "digest", "n_words"]
+    return borrowed.select(*columns).unionByName(own.select(*columns))
+
+
+@registered
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of the conversations with borrowed openings."""
+    digests = written(trie.turn_digests(table(spark, sf_dir, "conversations")), "digests")
+    turns = written(trie.numbered(digests), "turns")
+    freed(digests)
+    return trie.trie(written(rebuilt(turns), "rebuilt"), turns.where("position = 0").select("conv_id"))
+
+
+ORACLE["op12_prefix_trie"] = f"""
+WITH turn AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, left(coalesce(text, ''), 64) AS head,
+         sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS n_words
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT conv_id, {_CRC32.format("conv_id")} % 4 AS h,
+         list(digest ORDER BY turn NULLS FIRST, role, head, digest) AS k,
+         list(n_words ORDER BY turn NULLS FIRST, role, head, digest) AS w
+  FROM turn GROUP BY conv_id),
+conv AS (
+  SELECT c.conv_id, list_concat(coalesce(b.k[1:c.h], []), c.k[c.h + 1:]) AS k, list_concat(coalesce(b.w[1:c.h], []), c.w[c.h + 1:]) AS w
+  FROM own c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 20),
+path AS (SELECT conv_id, k, w, unnest(range(len(k) + 1)) AS depth FROM conv),
+node AS (
+  SELECT depth, md5(array_to_string(k[1:depth], ',')) AS p, any_value(md5(array_to_string(k[1:depth - 1], ','))) AS up,
+         min(conv_id) AS conv_id, count(*) AS n_convs,
+         (count(*) - 1) * any_value(CASE WHEN depth = 0 THEN 0 ELSE w[depth] END) AS v,
+         string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(k) = depth) AS ends
+  FROM path GROUP BY depth, p),
+child AS (SELECT depth - 1 AS depth, up AS p, count(*) AS n_children FROM node WHERE depth > 0 GROUP BY ALL),
+full_ AS (SELECT node.*, coalesce(n_children, 0) AS n_children FROM node LEFT JOIN child USING (depth, p)),
+above AS (
+  SELECT n.v, n.n_children, k, unnest(range(n.depth + 1)) AS depth FROM full_ n JOIN conv USING (conv_id)),
+tree AS (
+  SELECT depth, md5(array_to_string(k[1:depth], ',')) AS p, sum(v) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+  FROM above GROUP BY depth, p)
+SELECT n.conv_id, n.depth, u.conv_id AS parent_conv_id, n.n_convs, n.n_children, n_leaves,
+       saved_tokens::BIGINT AS saved_tokens, sha256(coalesce(n.ends, '')) AS ends_sha256
+FROM full_ n JOIN tree USING (depth, p) LEFT JOIN node u ON u.depth = n.depth - 1 AND u.p = n.up"""
+
+
+
 @registered
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline, one after the other."""
