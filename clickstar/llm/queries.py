@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import bpe, embedding, exact, html_text, lines, packing, periodic, pii, simhash, substring, toxicity, trie
+from . import bpe, embedding, exact, html_text, lines, packing, periodic, pieces, pii, simhash, substring, toxicity, trie
 from .common import freed, table, tokenizer_path, written
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,7 +93,11 @@ FROM judged GROUP BY doc_id"""
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded."""
     path = tokenizer_path("byte_bpe_50k.json")
-    both = bpe.encode(table(spark, sf_dir, "documents"), path, and_decode=True)
+    return coded(bpe.encode(table(spark, sf_dir, "documents"), path, and_decode=True))
+
+
+def coded(both: DataFrame) -> DataFrame:
+    """Digests of ids and of the text decoded from them."""
     return both.select(
         "doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
         decimal_sha256("ids").alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"),
@@ -297,6 +301,13 @@ FROM full_ n JOIN tree USING (depth, p) LEFT JOIN node u ON u.depth = n.depth -
 
 
 
+@registered
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded by a SentencePiece model."""
+    path = tokenizer_path("piece_bpe_32k.model")
+    return coded(pieces.encode(table(spark, sf_dir, "documents"), path, and_decode=True))
+
+
 @registered
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline, one after the other."""
