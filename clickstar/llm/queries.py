@@ -116,7 +116,7 @@ def decimal_sha256(ids: pd.Series) -> pd.Series:
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learnt from the labels that are not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = toxicity.fit(toxicity.labelled_rows(docs, table(spark, sf_dir, "labels")))
+    model = toxicity.fit(toxicity.training_rows(docs, table(spark, sf_dir, "labels")))
     return toxicity.toxicity(docs, model).select(
         "doc_id", toxicity.is_held_out("doc_id").alias("held_out"), F.col("toxicity").alias("score"),
         F.when(F.col("toxicity") >= 0.5, 1).otherwise(0).alias("predicted"),

@@ -56,7 +56,7 @@ def test_pipeline_of_odd_rows(spark, odd_docs, no_docs, tmp_path):
 def test_toxicity_on_held_out_rows(spark):
     sf_dir = "/root/testdata/sf0.01"
     read = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    model = toxicity.fit(toxicity.labelled_rows(read("documents"), read("labels")))
+    model = toxicity.fit(toxicity.training_rows(read("documents"), read("labels")))
     rows = toxicity.toxicity(toxicity.labelled_rows(read("documents"), read("labels"), held_out=True), model).collect()
     assert sum((r.toxicity >= 0.5) == bool(r.toxic) for r in rows) >= 0.95 * len(rows)
 
@@ -65,7 +65,7 @@ def test_pipeline_against_brute_force(spark):
     """Every stage again, row by row in plain Python, on what the one before left."""
     library = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    model = toxicity.fit(toxicity.labelled_rows(docs, spark.read.parquet(f"{SF}/labels.parquet")))
+    model = toxicity.fit(toxicity.training_rows(docs, spark.read.parquet(f"{SF}/labels.parquet")))
     rows = [tuple(r) for r in docs.collect() if model.score(r.text or "") < 0.5]
     lines = {i: text for i, _, _, text in brute_lines(rows, 5, 3)}
     rows = [(r[0], lines[r[0]], *r[2:]) for r in rows]

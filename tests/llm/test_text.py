@@ -136,6 +136,48 @@ def test_toxicity_learns_and_keeps_all_rows(spark, odd_docs, no_docs):
     assert toxicity.fit(train.where("false")).score("villain") < 0.5
 
 
+def test_toxicity_counts_ratios_and_weights(spark):
+    """n-grams counted with a dictionary, and the gradient of the loss written out."""
+    rows = [(i, words(i, 12) + (" vile wretch" if i % 3 == 0 else ""), int(i % 3 == 0)) for i in range(60)]
+    rows += [(60, None, 0), (61, "", 1), rows[0], (62, "long " * 20_000, 0)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int").repartition(3)
+    want = {}
+    for _, text, toxic in rows:
+        padded = f" {(text or '').lower()} "
+        grams = {padded[i : i + n] for n in toxicity.ORDERS for i in range(len(padded) - n + 1)}
+        met = {int(x) for slots in toxicity.ngram_slots(text or "") for x in slots}
+        assert len(grams) - 2 <= len(met) <= len(grams)
+        for s in met:
+            want.setdefault(s, [0, 0])[toxic] += 1
+    got = {r.slot: [r.neg, r.pos] for r in toxicity._class_counts(frame).collect()}
+    assert got == want
+    model = toxicity.fit(frame)
+    place = np.flatnonzero(model.place)
+    sizes = [sum(r[2] == c for r in rows) for c in (0, 1)]
+    ratio = {s: np.log((want[s][1] + 1) / (sizes[1] + 2)) - np.log((want[s][0] + 1) / (sizes[0] + 2)) for s in place}
+    # The gradient in the scaled features is as good as nought where the penalty holds it.
+    features = [model.place[np.unique(np.concatenate([np.zeros(0, int), *toxicity.ngram_slots(r[1] or "")]).astype(int))] for r in rows]
+    label = np.array([r[2] for r in rows])
+    share = np.where(label == 1, 0.5 / label.sum(), 0.5 / (1 - label).sum())
+    error = share * (np.array([model.score(r[1] or "") for r in rows]) - label)
+    assert abs(error.sum()) < 1e-2
+    for s in [s for s in place if ratio[s]][:200]:
+        feature = model.place[s]
+        gradient = ratio[s] * sum(e for e, f in zip(error, features, strict=True) if feature in f)
+        assert abs(gradient + 1e-3 * model.weight[feature] / ratio[s]) < 1e-2
+
+
+def test_toxicity_training_rows_are_drawn_from_labels(spark):
+    docs = spark.createDataFrame([(i, words(i, 9)) for i in range(900)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i % 10 == 0)) for i in range(0, 1_800, 2)], "doc_id bigint, toxic int")
+    whole = toxicity.training_rows(docs, labels)
+    assert sorted(whole.collect()) == sorted(toxicity.labelled_rows(docs, labels).collect())
+    plan = whole._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    few = toxicity.training_rows(docs, labels, rows=100).groupBy("toxic").count().collect()
+    assert 20 < sum(r["count"] for r in few) < 120 and len(few) == 2
+
+
 def test_toxicity_of_a_rare_class_is_learnt(spark):
     rows = [(i, words(i, 15) + (" vile scoundrel" if i % 200 == 7 else ""), int(i % 200 == 7)) for i in range(2400)]
     model = toxicity.fit(spark.createDataFrame(rows, "doc_id bigint, text string, toxic int").repartition(4), train_rows=60)
