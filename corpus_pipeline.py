@@ -14,7 +14,7 @@ from clickstar.llm.common import table, tokenizer_path, written
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject; it learns from the labels not held out."""
-    return toxicity.drop_toxic(docs, toxicity.fit(toxicity.labelled_rows(docs, table(spark, sf_dir, "labels"))))
+    return toxicity.drop_toxic(docs, toxicity.fit(toxicity.training_rows(docs, table(spark, sf_dir, "labels"))))
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
