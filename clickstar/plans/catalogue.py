@@ -22,6 +22,7 @@ from ..sources import files, harmonize, ledger, leaves, seeds
 from ..streaming import ingest, state_tables
 from . import adapter, checks, dims, marts, sales
 from .adapter import table
+from .daily import DailyWarehouse
 from .warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -134,7 +135,10 @@ def aov_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def sales_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rebuilds the whole star schema and shows the fact."""
-    fact = build_warehouse(spark, sf_dir).table("fact_sales_order_detail")
+    return _fact_output(build_warehouse(spark, sf_dir).table("fact_sales_order_detail"))
+
+
+def _fact_output(fact: DataFrame) -> DataFrame:
     return fact.select(
         "detail_key", "customer_key", "product_key", "location_key", "currency_key", "store_key",
         F.col("date_key").cast("string").alias("date_key"), "order_id", text_time("time_stamp").alias("time_stamp"),
@@ -143,6 +147,31 @@ def sales_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def daily_batches(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """All checkout documents in three batches: until 1999, then 2000 on, and last the documents of every
+    tenth customer since June 2000, whose days have been loaded by then."""
+    device = F.regexp_extract("device_id", "dev([0-9]+)", 1).cast("bigint")
+    at = time_functions.parse_epoch(F.col("time_stamp"))
+    held_back = F.coalesce((device % 10 == 3) & (at >= F.lit("2000-06-01").cast("timestamp")), F.lit(False))
+    later = F.coalesce(at >= F.lit("2000-01-01").cast("timestamp"), F.lit(False))
+    events = landing(spark, sf_dir)
+    return {
+        "b1": events.where(~later & ~held_back), "b2": events.where(later & ~held_back), "b3": events.where(held_back)
+    }
+
+
+@query
+def fact_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sales fact after three loads that each read and replace the months they touch."""
+    daily = DailyWarehouse(spark, scratch_path(spark, "daily"), TODAY, grain="month")
+    products, quotes, mapping = adapter.raw_products(spark, sf_dir), landed_rates(spark, sf_dir), seeds.currency_mapping(spark)
+    for name, events in daily_batches(spark, sf_dir).items():
+        daily.land(events, name)
+        places = locate.ip_locations(events, adapter.ip_ranges(spark, sf_dir))
+        daily.load(places, products, quotes, mapping)
+    return _fact_output(daily.table("fact_sales_order_detail"))
+
+
 @query
 def order_lines_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = sales.order_lines(
@@ -163,6 +192,18 @@ def scd2_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _version_output(dims.dim_customer(adapter.browsing_events(spark, sf_dir)))
 
 
+@query
+def scd2_splice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customer dimension after four batches in no order of time, so that stored versions are split
+    and joined again."""
+    store = DailyWarehouse(spark, scratch_path(spark, "splice"), TODAY)
+    events = adapter.browsing_events(spark, sf_dir)
+    for part in range(4):
+        rows = events.where(F.pmod(F.crc32(F.col("_id").cast("binary")), F.lit(4)) == part)
+        store.customers.load(dims.customer_states(rows), "record_time", f"b{part}")
+    return _version_output(store.dim_customer())
+
+
 @query
 def scd2_asof_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Version in force some hours before or after each event."""

@@ -27,17 +27,21 @@ PLACE_COLUMNS = (
 )
 
 
-def customer_versions(events: DataFrame) -> DataFrame:
-    """SCD2 of devices over all events."""
-    identified = events.select(
+def customer_states(events: DataFrame) -> DataFrame:
+    """What each event tells of its device, and when."""
+    return events.select(
         *[
             blank_to_null(F.col(name).cast("string")).alias(f"customer_{name}")
             for name in ("device_id", "user_agent", "user_id_db", "email_address")
         ],
         parse_epoch(F.col("time_stamp")).alias("record_time"),
     )
+
+
+def customer_versions(events: DataFrame) -> DataFrame:
+    """SCD2 of devices over all events."""
     return build_versions(
-        identified, "customer_device_id", "record_time", CUSTOMER_ATTRIBUTES, CUSTOMER_PREFERENCE,
+        customer_states(events), "customer_device_id", "record_time", CUSTOMER_ATTRIBUTES, CUSTOMER_PREFERENCE,
         key="customer_key",
     )
 

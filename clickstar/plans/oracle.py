@@ -162,6 +162,7 @@ dim_location AS (
         FROM ord LEFT JOIN place ON octet = n_nationkey)
   UNION ALL SELECT '-1', 'Unknown', 'Unknown', 'Unknown', 'Unknown')"""
 
+ORACLE["fact_increment"] = ORACLE["sales_fact"]
 ORACLE["revenue_by_country"] = f"""{STAR}, {LOCATION}
 SELECT location_country_name, location_country_code, sum(usd)::DOUBLE AS Revenue
 FROM fact JOIN dim_location USING (location_key) GROUP BY 1, 2"""
@@ -242,6 +243,7 @@ SELECT customer_key, device_id AS customer_device_id, coalesce(user_agent, 'XNA'
 FROM version
 UNION ALL SELECT '-1', 'Unknown', 'Unknown', 'Unknown', 'Unknown', '1900-01-01 00:00:00', '9999-01-01 00:00:00', FALSE"""
 
+ORACLE["scd2_splice"] = ORACLE["scd2_customer"]
 ORACLE["scd2_asof_lookup"] = f"""WITH {EVENTS}, {VERSIONS},
 fact AS (SELECT event_id, user_id::VARCHAR AS device, tm + to_seconds((event_id % 7 - 3) * 3600) AS moment FROM ev)
 SELECT event_id, coalesce(customer_key, '-1') AS customer_key
