@@ -18,7 +18,7 @@ from ..operators.carry import carry_value, time_chunk
 from ..operators.increment import after_mark, increment_table, newer_rows, upsert
 from ..operators.lookup import lookup_key, with_audit
 from ..session import configure, scratch_path
-from ..sources import files, harmonize, ledger, leaves, seeds
+from ..sources import files, filescan, harmonize, ledger, leaves, seeds
 from ..streaming import ingest, state_tables
 from . import adapter, checks, dims, marts, sales
 from .adapter import table
@@ -853,7 +853,7 @@ def ledger_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     routed = ledger.route_files(arrived, "landing")
     for _ in range(2):
-        ledger.append_once(spark, routed, root, "raw_mongo", lambda s, uris: s.read.parquet(*uris))
+        ledger.append_once(spark, routed, root, "raw_mongo", lambda arrived: filescan.parquet_rows(arrived, ["batch"]))
     landed = ledger.landed(spark, root, "raw_mongo")
     return landed.groupBy("event_type").agg(F.count("*").alias("n"), F.max("event_id").alias("last_event"))
 
@@ -870,7 +870,8 @@ def ledger_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(len(columns)).alias("generation"), F.col("path").alias("uri"),
         )
         ledger.append_once(
-            spark, ledger.route_files(arrived, "landing"), root, "raw_mongo", lambda s, uris: s.read.parquet(*uris)
+            spark, ledger.route_files(arrived, "landing"), root, "raw_mongo",
+            lambda arrived: filescan.parquet_rows(arrived, ["batch"]),
         )
     return ledger.landed(spark, root, "raw_mongo").groupBy("event_type").agg(
         F.count("*").alias("n"), F.count("value").alias("n_values")

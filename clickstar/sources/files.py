@@ -4,16 +4,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import split_uri
-from ..session import cut_lineage, path_exists
+from ..session import cut_lineage, path_exists, scratch_path
+from . import filescan
 from .harmonize import harmonize_frame
 
 DOCUMENTS_PER_FILE = 10_000
@@ -222,8 +220,9 @@ def rewrite_files(spark: SparkSession, source: str, destination: str, max_files:
     """Rewrite Parquet files with text leaves; returns source, status, rows, error per file.
 
     Output keeps one folder per source file (``source_file=…``, its path below the source); these
-    and, for files without rows, a list beside the output tell later runs what to skip.  Files of equal schema are rewritten by one distributed job; a file whose footer cannot
-    be read is reported as failed and does not stop the others.
+    and, for files without rows, a list beside the output tell later runs what to skip.  Names,
+    footers and statuses are tables that tasks read and write; files of equal schema are rewritten by
+    one job; a file whose footer cannot be read is reported as failed and does not stop the others.
     """
     check_rewrite_paths(source, destination)
     listed = list_files(spark, source, "*.parquet").select("path", "name")
@@ -234,60 +233,36 @@ def rewrite_files(spark: SparkSession, source: str, destination: str, max_files:
     empty_list = f"{destination.rstrip('/')}__empty"
     if path_exists(spark, empty_list):
         done = done.union(spark.read.schema("name string").parquet(empty_list)).distinct()
-    # Only file names come to the driver, as in any file scan.
-    flagged = listed.join(done.withColumn("done", F.lit(True)), "name", "left").orderBy("path")
-    files = (flagged.limit(max_files) if max_files is not None else flagged).collect()
-
-    def schema_of(path: str) -> tuple[str | None, str | None]:
-        try:
-            return spark.read.parquet(path).schema.json(), None
-        except (PySparkException, Py4JJavaError) as error:
-            return None, f"{type(error).__name__}: {error}"
-
-    pending = [row for row in files if not row["done"]]
-    with ThreadPoolExecutor(max_workers=16) as pool:
-        footers = list(pool.map(schema_of, [row["path"] for row in pending]))
-    outcome: dict[str, tuple[str, str | None]] = {row["name"]: ("skipped", None) for row in files if row["done"]}
-    groups: dict[str, list[str]] = {}
-    for row, (schema, error) in zip(pending, footers):
-        outcome[row["name"]] = ("migrated", None) if error is None else ("failed", error)
-        if schema is not None:
-            groups.setdefault(schema, []).append(row["path"])
-
-    for paths in groups.values():
-        group = spark.read.parquet(*paths)
-        columns = harmonize_frame(group).columns
-        named = group.withColumn("source_file", name_below(source))
-        rewritten = harmonize_frame(named).select(*columns, "source_file")
+    flagged = listed.join(done.withColumn("done", F.lit(True)), "name", "left")
+    if max_files is not None:
+        flagged = flagged.orderBy("path").limit(max_files)
+    # Kept, because the output it is compared with is about to grow.
+    plan = scratch_path(spark, "rewrite")
+    flagged.write.parquet(plan)
+    planned = spark.read.schema("name string, path string, done boolean").parquet(plan)
+    found = filescan.footers(planned.where("done is null").select("name", "path"), "path")
+    for schema in filescan.schemas(found):
+        group = filescan.rows_of(found, schema, ["name"], "path")
+        named = group.withColumn("source_file", F.col("__file.name")).drop("__file")
+        columns = harmonize_frame(named.drop("source_file")).columns
         (
-            rewritten.write.mode("overwrite")
+            harmonize_frame(named).select(*[F.col(f"`{c}`") for c in columns], "source_file")
+            .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .option("compression", "snappy")
             .partitionBy("source_file")
             .parquet(destination)
         )
-    migrated = [(name,) for name, (state, _) in outcome.items() if state == "migrated"]
-    if migrated:
-        new = spark.createDataFrame(migrated, "name string")
-        if path_exists(spark, destination):
-            written = spark.read.schema("source_file string").parquet(destination).select(F.col("source_file").alias("name"))
-            new = new.join(written.distinct(), "name", "left_anti")
-        # Partitioned output of no rows leaves no folder.
-        if not new.isEmpty():
-            new.write.mode("append").parquet(empty_list)
-    status = spark.createDataFrame(
-        [(name, state, error) for name, (state, error) in outcome.items()],
-        "source string, status string, error string",
-    )
-    if not path_exists(spark, destination):
-        return status.withColumn("rows", F.lit(0).cast("bigint"))
-    rows = spark.read.schema("source_file string").parquet(destination).groupBy(
-        F.col("source_file").alias("source")
-    ).agg(F.count("*").alias("n"))
-    return status.join(rows, "source", "left").select(
-        "source", "status",
-        F.when(F.col("status") == "migrated", F.coalesce("n", F.lit(0))).otherwise(0).alias("rows"),
-        "error",
+    # Partitioned output of no rows leaves no folder.
+    empty = found.where("error is null and rows = 0").select("name")
+    if not empty.isEmpty():
+        empty.write.mode("append").parquet(empty_list)
+    status = F.when(F.col("error").isNull(), "migrated").otherwise("failed")
+    return found.select(F.col("name").alias("source"), status.alias("status"), "rows", "error").unionByName(
+        planned.where("done").select(
+            F.col("name").alias("source"), F.lit("skipped").alias("status"), F.lit(0).cast("bigint").alias("rows"),
+            F.lit(None).cast("string").alias("error"),
+        )
     )
 
 

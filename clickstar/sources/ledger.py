@@ -73,9 +73,10 @@ def append_once(spark: SparkSession, files: DataFrame, root: str, table: str, re
 
     Three steps make a crash harmless.  The batch is first written to the ledger as planned; its
     rows then go to a folder named after the batch, overwriting what a broken run left there;
-    last the batch is marked as done.  A run finishes planned batches before it plans a new one.
-    ``reader(spark, uris)`` gives the rows of the files; batches may differ in their columns, see
-    :func:`landed`.
+    last the batch is marked as done.  A run also finishes batches that were planned before.
+    ``reader(files)`` gives the rows of the files (uri, batch) with the column ``batch``, as
+    :func:`~.filescan.parquet_rows` and :func:`~.filescan.json_rows` do: the names stay a table, and
+    tasks open them.  Batches may differ in their columns, see :func:`landed`.
     """
     plans, data, marks = f"{root}/ledger/{table}", f"{root}/{table}", f"{root}/done/{table}"
     plan_schema, mark_schema = "load_id string, uri string, batch string", "batch string"
@@ -90,9 +91,9 @@ def append_once(spark: SparkSession, files: DataFrame, root: str, table: str, re
         fresh.write.mode("overwrite").parquet(f"{plans}/batch={first[-32:]}")
     done = stored(marks, mark_schema).distinct()
     open_files = cut_lineage(stored(plans, plan_schema).join(done, "batch", "left_anti"))
-    for row in open_files.select("batch").distinct().collect():
-        batch = row["batch"]
-        uris = [r["uri"] for r in open_files.where(F.col("batch") == batch).select("uri").collect()]
-        reader(spark, uris).write.mode("overwrite").parquet(f"{data}/batch={batch}")
-        spark.range(1).select(F.lit(batch).alias("batch")).write.mode("append").parquet(marks)
+    if not open_files.isEmpty():
+        reader(open_files.select("uri", "batch")).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).partitionBy("batch").parquet(data)
+        open_files.select("batch").distinct().write.mode("append").parquet(marks)
     return open_files.select("load_id", "uri", "batch")

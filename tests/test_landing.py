@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickstar.functions.text import split_uri
-from clickstar.sources import files, harmonize, leaves, ledger, seeds
+from clickstar.sources import files, filescan, harmonize, leaves, ledger, seeds
 
 
 def test_text_leaves(spark):
@@ -206,17 +206,21 @@ def test_routes(spark):
         ledger.route_files(spark.createDataFrame([(None, None, 1)], "bucket string, name string, generation long"), "landing").collect()
 
 
+def file_of(folder):
+    return str(next(p for p in folder.iterdir() if p.suffix == ".json" and p.stat().st_size))
+
+
 def test_append_once(spark, tmp_path):
     def announced(*rows):
         return spark.createDataFrame(
-            [("b", f"location_data/{n}", g, str(tmp_path / n), "raw_location") for n, g in rows],
+            [("b", f"location_data/{n}", g, file_of(tmp_path / n), "raw_location") for n, g in rows],
             "bucket string, name string, generation long, uri string, destination string",
         )
 
     for n in ("x", "y"):
         spark.createDataFrame([(n,)], "v string").write.json(str(tmp_path / n))
     root = str(tmp_path / "landing")
-    read = lambda s, uris: s.read.schema("v string").json(uris)
+    read = filescan.json_rows("v string", ["batch"])
     ledger.append_once(spark, announced(("x", 1), ("x", 1)), root, "raw_location", read)
     ledger.append_once(spark, announced(("x", 1), ("y", 1)), root, "raw_location", read)
     rows = lambda: sorted(r["v"] for r in spark.read.parquet(f"{root}/raw_location").collect())
@@ -226,19 +230,19 @@ def test_append_once(spark, tmp_path):
 
 
 def test_broken_append_is_finished(spark, tmp_path):
-    files_df = spark.createDataFrame([("b", "location_data/x", 1, str(tmp_path / "x"), "raw_location")],
-                                     "bucket string, name string, generation long, uri string, destination string")
     spark.createDataFrame([("x",)], "v string").write.json(str(tmp_path / "x"))
+    files_df = spark.createDataFrame([("b", "location_data/x", 1, file_of(tmp_path / "x"), "raw_location")],
+                                     "bucket string, name string, generation long, uri string, destination string")
     root = str(tmp_path / "landing")
 
-    def fail(session, uris):
+    def fail(arrived):
         raise RuntimeError("lost")
 
     (tmp_path / "landing" / "ledger" / "raw_location" / "batch=0" / "_temporary").mkdir(parents=True)
     with pytest.raises(RuntimeError):
         ledger.append_once(spark, files_df, root, "raw_location", fail)
     for _ in range(2):
-        ledger.append_once(spark, files_df, root, "raw_location", lambda s, uris: s.read.schema("v string").json(uris))
+        ledger.append_once(spark, files_df, root, "raw_location", filescan.json_rows("v string", ["batch"]))
     assert spark.read.parquet(f"{root}/raw_location").count() == 1
 
 
