@@ -906,8 +906,7 @@ def batch_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "batches")
     for _ in range(2):
         files.commit_batches(spark, _numbered_events(spark, sf_dir), "_id", path)
-    written = spark.read.parquet(f"{path}/data")
-    return files.manifest(written.withColumn("file_no", F.col("file_no").cast("bigint")), "_id")
+    return files.manifest(files.read_batches(spark, path), "_id")
 
 
 @query

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -11,7 +12,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import split_uri
 from ..session import cut_lineage, path_exists, scratch_path
-from . import filescan
+from . import filescan, snapshots
 from .harmonize import harmonize_frame
 
 DOCUMENTS_PER_FILE = 10_000
@@ -124,34 +125,48 @@ def compare_manifests(planned: DataFrame, stored: DataFrame) -> DataFrame:
 
 
 def commit_batches(spark: SparkSession, numbered: DataFrame, key: str, path: str) -> DataFrame:
-    """Write the numbered batches that ``path`` lacks, one folder each; returns all with ``state``.
+    """Add the numbered batches that ``path`` lacks, one file each; returns all with ``state``.
 
-    The manifest is written after the data, and a batch overwrites its own folder, so a run that
-    broke in between is repeated without harm.  A stored batch with other contents is an error.
+    The batches of a run and their manifest belong to one snapshot, which becomes current when all of
+    it is written: a run that broke leaves the table as it was and is repeated without harm.  A stored
+    batch with other contents is an error.  :func:`read_batches` gives the rows.
     """
-    data, stored_path = f"{path}/data", f"{path}/manifest"
     planned = manifest(numbered, key)
-    if path_exists(spark, stored_path):
-        stored = spark.read.schema(planned.schema).parquet(stored_path)
-    else:
-        stored = spark.createDataFrame([], planned.schema)
+    stored = stored_manifest(spark, path, planned.schema)
     # One row per batch, kept because the manifest it compares with is about to grow.
     states = cut_lineage(compare_manifests(planned, stored))
     if states.where(F.col("state") == "conflict").take(1):
         raise ValueError(f"{path} holds other documents under the same batch number")
     new = states.where(F.col("state") == "new").drop("state")
-    (
-        numbered.join(new.select("file_no"), "file_no", "left_semi")
-        .repartition("file_no")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("file_no")
-        .parquet(data)
-    )
-    new.write.mode("append").parquet(stored_path)
+    if not new.isEmpty():
+        snapshot = uuid.uuid4().hex
+        # Counts for nothing until the snapshot of this name is current.
+        new.write.parquet(f"{path}/batches/snapshot={snapshot}")
+        rows = numbered.join(new.select("file_no"), "file_no", "left_semi").select(numbered.columns)
+        snapshots.append(
+            rows.repartitionByRange("file_no").sortWithinPartitions("file_no", key), path, cut="file_no", snapshot=snapshot
+        )
     return states
 
 
+def stored_manifest(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """First id, last id and count of the batches in the current snapshot."""
+    head = snapshots.head_of(path, snapshots.current(path))
+    if head is None:
+        return spark.createDataFrame([], schema)
+    kept = T.StructType([*schema.fields, T.StructField("snapshot", T.StringType())])
+    found = spark.read.schema(kept).parquet(f"{path}/batches")
+    return found.where(F.col("snapshot").isin(head["snapshots"])).drop("snapshot")
+
+
+def read_batches(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of all committed batches."""
+    rows = snapshots.read(spark, path)
+    if rows is None:
+        raise ValueError(f"no batch was ever committed at {path}")
+    return rows
+
+
 def load_state(loaded: DataFrame, prefix: str) -> DataFrame:
     """Progress of a load from its manifest: last id, next file, documents, last object."""
     last = F.max("file_no")
