@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from .common import written
 
-# A line is boilerplate from this number of sites on, if it has this many words at least.
+# A line is boilerplate from this number of sites on; one of fewer characters than SHORT_CHARS, which two
+# authors may well write alike, from SHORT_SITES on.
 MIN_SITES = 5
-MIN_WORDS = 3
+SHORT_CHARS = 20
+SHORT_SITES = 10
 # Size of the sketches (log2 of the registers).
 SKETCH_BITS = 12
 _SPACE = " \t\r\x0b\x0c"
@@ -23,49 +25,56 @@ def _stripped(line: str) -> Column:
     return F.btrim(F.col(line), F.lit(_SPACE))
 
 
-def occurrences(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, text_key, site, pos, key): the lines that can be boilerplate, by the hash of their text."""
+def occurrences(
+    docs: DataFrame, min_sites: int = MIN_SITES, short_chars: int = SHORT_CHARS, short_sites: int = SHORT_SITES
+) -> DataFrame:
+    """(doc_id, text_key, site, pos, key, least): all lines but empty ones, by the hash of their text, and
+    from how many sites on each is boilerplate."""
     base = docs.where("doc_id IS NOT NULL").select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_key"),
         F.col("source").cast("string").alias("site"), F.posexplode(_parts()).alias("pos", "line"),
     )
     line = _stripped("line")
-    return base.where(F.size(F.split(line, r"[ \t\r\x0b\f]+")) >= min_words).select(
-        "doc_id", "text_key", "site", "pos", F.unhex(F.md5(line)).alias("key")
+    least = F.when(F.length(line) < short_chars, short_sites).otherwise(min_sites)
+    return base.where(line != "").select(
+        "doc_id", "text_key", "site", "pos", F.unhex(F.md5(line)).alias("key"), least.alias("least")
     )
 
 
-def boilerplate(found: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
-    """(key, first): hashes of lines on ``min_sites`` sites or more, and their first (doc_id, pos).
+def boilerplate(found: DataFrame) -> DataFrame:
+    """(key, first): hashes of lines on ``least`` sites or more, and their first (doc_id, pos).
 
     One sketch of the sites per line, merged by the aggregation, settles lines far from the
     threshold; those within its error are counted exactly.
     """
     # Three standard errors of the sketch, and what rounding hides.
-    margin = int(3 * 1.04 / 2 ** (SKETCH_BITS / 2) * min_sites) + 1
+    margin = F.floor(3 * 1.04 / 2 ** (SKETCH_BITS / 2) * F.col("least")) + 1
     spread = written(
         found.groupBy("key").agg(
             F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(SKETCH_BITS))).alias("sites"),
-            F.min(F.struct("doc_id", "pos")).alias("first"),
-        ).where(F.col("sites") >= min_sites - margin), "spread",
+            F.min(F.struct("doc_id", "pos")).alias("first"), F.max("least").alias("least"),
+        ).where(F.col("sites") >= F.col("least") - margin), "spread",
     )
-    near = spread.where(F.col("sites") <= min_sites + margin)
+    near = spread.where(F.col("sites") <= F.col("least") + margin)
     exact = found.join(near.select("key"), "key", "left_semi").where("site IS NOT NULL").groupBy("key", "site").agg(
         F.lit(1).alias("one")
-    ).groupBy("key").agg(F.count(F.lit(1)).alias("exact_sites")).where(F.col("exact_sites") >= min_sites)
+    ).groupBy("key").agg(F.count(F.lit(1)).alias("exact_sites"))
     return written(
-        spread.where(F.col("sites") > min_sites + margin).select("key", "first").union(
-            near.join(exact, "key").select("key", "first")
+        spread.where(F.col("sites") > F.col("least") + margin).select("key", "first").union(
+            near.join(exact, "key").where(F.col("exact_sites") >= F.col("least")).select("key", "first")
         ), "boilerplate",
     )
 
 
-def dedup_lines(docs: DataFrame, min_sites: int = MIN_SITES, min_words: int = MIN_WORDS) -> DataFrame:
+def dedup_lines(
+    docs: DataFrame, min_sites: int = MIN_SITES, short_chars: int = SHORT_CHARS, short_sites: int = SHORT_SITES
+) -> DataFrame:
     """``docs`` (doc_id, text, source, ...) without the lines that occur on many sites.
 
-    A line is a part between line feeds, compared without ASCII white space at its ends.  If it has
-    ``min_words`` words or more and occurs in documents of ``min_sites`` sources or more, it goes
-    from everywhere but its first place: smallest doc_id, then first line.  What is left is joined
+    A line is a part between line feeds, compared without ASCII white space at its ends.  If it occurs
+    in documents of ``min_sites`` sources or more, or of ``short_sites`` if it has fewer than
+    ``short_chars`` characters, it goes from everywhere but its first place: smallest doc_id, then first
+    line.  What is left is joined
     by line feeds again; ``n_chars`` follows the text where the column exists.  All rows and columns
     stay; two columns ``n_lines`` and ``n_removed`` are put last (replacing such ones).
 
@@ -73,8 +82,8 @@ def dedup_lines(docs: DataFrame, min_sites: int = MIN_SITES, min_words: int = MI
     Sources that are null count as no site.  Rows without doc_id are neither counted nor changed.
     Rows that repeat a doc_id and text are treated alike.
     """
-    found = written(occurrences(docs, min_words), "lines")
-    bad = boilerplate(found, min_sites)
+    found = written(occurrences(docs, min_sites, short_chars, short_sites), "lines")
+    bad = boilerplate(found)
     removed = found.join(bad, "key").where(F.struct("doc_id", "pos") != F.col("first")).groupBy("doc_id", "text_key").agg(
         F.collect_set("pos").alias("__llm_removed")
     ).withColumnsRenamed({"doc_id": "__llm_id", "text_key": "__llm_text"})

@@ -79,8 +79,8 @@ keyed AS (
   SELECT *, trim(line, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) AS key FROM lines),
 spread AS (
   SELECT key, min((doc_id, pos)) AS first FROM keyed
-  WHERE len(regexp_split_to_array(key, '[ \\t\\r\\x0b\\f]+')) >= 3
-  GROUP BY key HAVING count(DISTINCT source) >= 5),
+  WHERE key <> '' GROUP BY key
+  HAVING count(DISTINCT source) >= CASE WHEN length(key) < 20 THEN 10 ELSE 5 END),
 judged AS (
   SELECT k.doc_id, k.line, k.pos, s.key IS NOT NULL AND (k.doc_id, k.pos) <> s.first AS gone
   FROM keyed k LEFT JOIN spread s ON k.key = s.key)

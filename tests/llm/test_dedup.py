@@ -119,17 +119,17 @@ def test_misra_gries_holds_the_frequent():
     assert all(true[k] - len(keys) / 10 <= n <= true[k] for k, n in held.items())
 
 
-def brute_lines(rows, min_sites, min_words):
+def brute_lines(rows, min_sites, short_chars=20, short_sites=10):
     sites, first = {}, {}
     strip = " \t\r\x0b\x0c"
     for i, text, _, site, *_ in rows:
         if i is not None:
             for pos, line in enumerate((text or "").split("\n")):
                 key = line.strip(strip)
-                if len(re.split(r"[ \t\r\x0b\f]+", key)) >= min_words:
+                if key:
                     sites.setdefault(key, set()).update({site} - {None})
                     first[key] = min(first.get(key, (i, pos)), (i, pos))
-    bad = {k for k, s in sites.items() if len(s) >= min_sites}
+    bad = {k for k, s in sites.items() if len(s) >= (short_sites if len(k) < short_chars else min_sites)}
     out = []
     for i, text, *_ in rows:
         parts = (text or "").split("\n")
@@ -146,10 +146,10 @@ def test_line_dedup(spark, odd_docs, no_docs, odd_rows, odd_schema):
         text = "\n".join(rng.choice(pool) + rng.choice(["", " ", "\r"]) if rng.random() < 0.8 else words(500 + i, 9) for _ in range(8))
         rows.append((1000 + i, text, "en", f"s{rng.randrange(9)}", len(text), *[0] * 13))
     docs = spark.createDataFrame(rows, odd_schema).repartition(3)
-    out = lines.dedup_lines(docs, min_sites=6, min_words=3)
+    out = lines.dedup_lines(docs, min_sites=6, short_chars=12, short_sites=8)
     assert out.columns == [c for c in docs.columns if c != "n_lines"] + ["n_lines", "n_removed"]
     got = out.collect()
-    assert Counter((r.doc_id, r.n_lines, r.n_removed, r.text) for r in got) == brute_lines(rows, 6, 3)
+    assert Counter((r.doc_id, r.n_lines, r.n_removed, r.text) for r in got) == brute_lines(rows, 6, 12, 8)
     assert all(r.text is None or r.n_chars == len(r.text) for r in got)
     assert sum(r.n_removed for r in got) > 20
     assert lines.dedup_lines(no_docs).count() == 0

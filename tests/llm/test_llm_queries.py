@@ -16,7 +16,8 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_against_sql(spark, name):
     database = duckdb.connect()
-    database.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    for table in ("documents", "conversations"):
+        database.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     cursor = database.execute(queries.ORACLE[name])
     columns = [d[0] for d in cursor.description]
     frame = queries.REGISTRY[name](spark, SF)
@@ -67,7 +68,7 @@ def test_pipeline_against_brute_force(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     model = toxicity.fit(toxicity.training_rows(docs, spark.read.parquet(f"{SF}/labels.parquet")))
     rows = [tuple(r) for r in docs.collect() if model.score(r.text or "") < 0.5]
-    lines = {i: text for i, _, _, text in brute_lines(rows, 5, 3)}
+    lines = {i: text for i, _, _, text in brute_lines(rows, 5)}
     rows = [(r[0], lines[r[0]], *r[2:]) for r in rows]
     groups = brute_groups([brute_fingerprint(r[1]) for r in rows])
     least = {}
