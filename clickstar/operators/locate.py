@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ip import canonical_v4, canonical_v6, ip_order_key, ipv4_number
 from ..functions.text import trim_ws
 from ..session import cut_lineage
-from .carry import carry_value
+from .ip_ranges import flatten, narrowest
 
 PLACE = ("city_name", "region_name", "country_code", "country_name", "latitude", "longitude")
 # Texts that mean "no value" in the range table.
@@ -64,64 +62,67 @@ def ip_scan_statistics(raw_ips: DataFrame) -> DataFrame:
     )
 
 
-def _range_lookup(
-    ips: DataFrame, ranges: DataFrame, position: Column, low: Column, high: Column, chunks: Sequence[Column]
-) -> DataFrame:
-    """Each ip with the range that starts last at or before it, if that range still covers it."""
-    names = [f"chunk_{i}" for i in range(len(chunks))]
-    points = ips.select("ip", position.alias("at"), F.lit(1).alias("side"))
-    steps = ranges.select(
-        low.alias("at"),
-        F.lit(0).alias("side"),
-        F.struct(high.alias("until"), *PLACE).alias("found"),
+# Set where an address lies in a range whose record gives no usable place.
+LOOKUP_ERROR = "lookup_error"
+
+
+def _find(ips: DataFrame, ranges: DataFrame, key: Column, low: Column, high: Column, digits: int) -> DataFrame:
+    """Each ip with the place of the narrowest range that covers it."""
+    raw = {name: F.col(name) for name in PLACE}
+    known = F.coalesce(_text(raw["country_code"]).rlike(r"^\p{L}{2}$"), F.lit(False))
+    cleaned = ranges.select(
+        low.alias("low"), high.alias("high"), *[value.alias(name) for name, value in clean_place(raw).items()],
+        (~known).alias(LOOKUP_ERROR),
     )
-    line = points.unionByName(steps, allowMissingColumns=True).withColumns(dict(zip(names, chunks)))
-    hit = carry_value(line, [], names, ["at", "side"], "found", "hit", inclusive=True)
-    covered = F.col("at") <= F.col("hit.until")
-    return hit.where(F.col("side") == 1).select(
-        "ip", *[F.when(covered, F.col(f"hit.{name}")).alias(name) for name in PLACE]
+    found = [*PLACE, LOOKUP_ERROR]
+    points = ips.select("ip", key.alias("key"))
+    return narrowest(points, "key", digits, flatten(cleaned, found), found).drop("key").withColumn(
+        LOOKUP_ERROR, F.coalesce(LOOKUP_ERROR, F.lit(False))
     )
 
 
-def _cleaned(ranges: DataFrame) -> DataFrame:
-    return ranges.select("ip_from", "ip_to", *[
-        value.alias(name) for name, value in clean_place({n: F.col(n) for n in PLACE}).items()
-    ])
+def _hex8(number: Column) -> Column:
+    return F.lower(F.lpad(F.hex(number.cast("bigint")), 8, "0"))
 
 
 def locate_v4(ips: DataFrame, ranges: DataFrame) -> DataFrame:
-    """Place of each distinct IPv4 address; a window holds the addresses of one /16 at most."""
-    return _range_lookup(
-        ips, _cleaned(ranges), ipv4_number(F.col("ip")), F.col("ip_from").cast("bigint"), F.col("ip_to").cast("bigint"),
-        [F.shiftright(F.col("at"), 16)],
-    )
+    """Place of each distinct IPv4 address, and whether its record was of no use."""
+    return _find(ips, ranges, _hex8(ipv4_number(F.col("ip"))), _hex8(F.col("ip_from")), _hex8(F.col("ip_to")), 8)
 
 
 def locate_v6(ips: DataFrame, ranges: DataFrame | None, like: DataFrame) -> DataFrame:
-    """Place of each distinct canonical IPv6 address, with the columns of ``like``; a window holds
-    the addresses of one /112 at most."""
+    """The same for each distinct canonical IPv6 address, with the columns of ``like``."""
     if ranges is None:
-        return ips.select("ip", *[F.lit(None).cast(like.schema[n].dataType).alias(n) for n in PLACE])
-    return _range_lookup(
-        ips, _cleaned(ranges), ip_order_key(F.col("ip")), ip_order_key(canonical_v6(F.col("ip_from"))),
-        ip_order_key(canonical_v6(F.col("ip_to"))), [F.substring(F.col("at"), 1, digits) for digits in range(4, 32, 4)],
+        return ips.select(
+            "ip", *[F.lit(None).cast(like.schema[n].dataType).alias(n) for n in PLACE], F.lit(False).alias(LOOKUP_ERROR)
+        )
+    return _find(
+        ips, ranges, ip_order_key(F.col("ip")), ip_order_key(canonical_v6(F.col("ip_from"))),
+        ip_order_key(canonical_v6(F.col("ip_to"))), 32,
     )
 
 
-def locate_ips(ips: DataFrame, ranges_v4: DataFrame, ranges_v6: DataFrame | None = None) -> DataFrame:
+def _reported(located: DataFrame, errors: bool) -> DataFrame:
+    return located if errors else located.drop(LOOKUP_ERROR)
+
+
+def locate_ips(
+    ips: DataFrame, ranges_v4: DataFrame, ranges_v6: DataFrame | None = None, errors: bool = False
+) -> DataFrame:
     """Place of each distinct canonical ip; addresses outside all ranges keep NULL fields.
 
-    Ranges are ``ip_from .. ip_to`` (inclusive, not overlapping) with raw place fields: numbers
-    for IPv4, address text for IPv6.  A range join would pair every address with every range of
-    its bin; here both are laid on one line and each address takes the last range start.
+    Ranges are ``ip_from .. ip_to`` (inclusive) with raw place fields: numbers for IPv4, address text
+    for IPv6.  Where ranges contain or overlap each other the narrowest one holds, of equally wide ones
+    the later.  ``errors`` adds ``lookup_error``: the record of that range gives no usable place.
     """
     v4, v6 = _by_version(ips)
     located = locate_v4(v4, ranges_v4)
-    return located.unionByName(locate_v6(v6, ranges_v6, located))
+    return _reported(located.unionByName(locate_v6(v6, ranges_v6, located)), errors)
 
 
-def ip_locations(events: DataFrame, ranges_v4: DataFrame, ranges_v6: DataFrame | None = None,
-                 column: str = "ip") -> DataFrame:
+def ip_locations(
+    events: DataFrame, ranges_v4: DataFrame, ranges_v6: DataFrame | None = None, column: str = "ip", errors: bool = False
+) -> DataFrame:
     """Location rows for the distinct valid addresses of an event table.
 
     The events are read once, for their distinct texts; only those with a colon meet Python.
@@ -132,13 +133,18 @@ def ip_locations(events: DataFrame, ranges_v4: DataFrame, ranges_v6: DataFrame |
         return texts.select(canonical.alias("ip")).where(F.col("ip").isNotNull()).distinct()
 
     located = locate_v4(valid(v4, canonical_v4(F.col("ip"))), ranges_v4)
-    return located.unionByName(locate_v6(valid(v6, canonical_v6(F.col("ip"))), ranges_v6, located))
+    return _reported(
+        located.unionByName(locate_v6(valid(v6, canonical_v6(F.col("ip"))), ranges_v6, located)), errors
+    )
 
 
 def location_statistics(raw_ips: DataFrame, locations: DataFrame) -> DataFrame:
-    """Scan counts plus rows written; a lookup here has no error outcome, so errors are 0."""
+    """Scan counts, rows written, and how many of these have a record of no use.
+
+    ``locations`` is :func:`ip_locations` with ``errors``.  Such addresses are written with an empty place.
+    """
     return ip_scan_statistics(raw_ips).select(
         "*",
         locations.agg(F.count("*")).scalar().alias("written"),
-        F.lit(0).cast("bigint").alias("lookup_errors"),
+        locations.agg(F.count_if(LOOKUP_ERROR)).scalar().alias("lookup_errors"),
     )

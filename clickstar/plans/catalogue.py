@@ -17,7 +17,7 @@ from ..operators import candidates, dates, failures, locate, pages, quality, rat
 from ..operators.carry import carry_value, time_chunk
 from ..operators.increment import after_mark, increment_table, newer_rows, upsert
 from ..operators.lookup import lookup_key, with_audit
-from ..session import configure, scratch_path
+from ..session import configure, cut_lineage, scratch_path
 from ..sources import files, filescan, harmonize, ledger, leaves, seeds
 from ..streaming import ingest, state_tables
 from . import adapter, checks, dims, marts, sales
@@ -520,7 +520,29 @@ def date_scan_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ip_scan_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = adapter.browsing_events(spark, sf_dir)
     raw = locate.distinct_ips(events)
-    return locate.location_statistics(raw, locate.ip_locations(events, adapter.ip_ranges(spark, sf_dir)))
+    located = locate.ip_locations(events, adapter.ip_ranges(spark, sf_dir), errors=True)
+    return locate.location_statistics(raw, cut_lineage(located))
+
+
+def nested_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ranges of the nations, a wide one round them all, and inside each one that overlaps the next."""
+    base = adapter.ip_ranges(spark, sf_dir)
+    at = lambda name, low, high: base.withColumns({
+        "ip_to": F.col("ip_from") + high, "ip_from": F.col("ip_from") + low,
+        "city_name": F.concat(F.lit(name), F.col("ip_from").cast("string")), "country_code": F.lit("ZZ"),
+    })
+    wide = base.limit(0).unionByName(spark.range(1).select(
+        F.lit(167772160 - 5).alias("ip_from"), F.lit(167772160 + 40 * 65536).alias("ip_to"), F.lit("wide").alias("city_name"),
+        F.lit("all").alias("region_name"), F.lit("WW").alias("country_code"), F.lit("World").alias("country_name"),
+        F.lit("1.5").alias("latitude"), F.lit("n/a").alias("longitude"),
+    ))
+    return base.unionByName(at("inner ", 10, 29)).unionByName(at("over ", 20, 59)).unionByName(wide)
+
+
+@query
+def ip_nested_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Addresses of browsing events in ranges that contain and overlap each other."""
+    return locate.ip_locations(adapter.browsing_events(spark, sf_dir), nested_ranges(spark, sf_dir), errors=True)
 
 
 @query
@@ -772,14 +794,22 @@ def harmonize_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def harmonize_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as JSON of which some is broken or no object: harmonised rows and rejected ones."""
+    """Events as JSON of which some is broken or no object: harmonised rows and rejected ones.
+
+    Any white space of JSON may come first; what is rejected adds no column.
+    """
     kind = F.col("event_id") % 10
     documents = table(spark, sf_dir, "events").select(
         "event_id",
-        F.when(kind == 0, F.lit('{"a":')).when(kind == 1, F.lit("[1]"))
-        .otherwise(F.concat(F.lit('{"id": '), "event_id", F.lit("}"))).alias("document"),
+        F.when(kind == 0, F.lit('{"a":')).when(kind == 1, F.lit("[1]")).when(kind == 2, F.lit('{"b": NaN}'))
+        .when(kind == 3, F.lit('{"c": 1, "c": 2}'))
+        .otherwise(F.concat(
+            F.when(kind == 4, F.lit("\n")).when(kind == 5, F.lit("\t\r\n ")).otherwise(F.lit("")),
+            F.lit('{"id": '), "event_id", F.lit("}"),
+        )).alias("document"),
     )
-    good = harmonize.harmonize_json(documents, "document", ["event_id"]).select("event_id", "id", F.lit(False).alias("rejected"))
+    good = harmonize.harmonize_json(documents, "document", ["event_id"])
+    good = good.select(*good.columns, F.lit(False).alias("rejected"))
     bad = harmonize.rejected_documents(documents, "document")
     return good.unionByName(bad.select("event_id", F.lit(None).cast("string").alias("id"), F.lit(True).alias("rejected")))
 

@@ -356,10 +356,29 @@ ips AS (SELECT DISTINCT {CANONICAL} AS ip, CASE WHEN event_id % 6 <> 4 THEN user
 SELECT ip, {PLACE_OUTPUT} FROM ips LEFT JOIN place ON octet = n_nationkey WHERE ip IS NOT NULL"""
 
 ORACLE["ip_scan_stats"] = f"""WITH {EVENTS},
-raw AS (SELECT DISTINCT ip, {CANONICAL} AS canonical FROM ev)
+raw AS (SELECT DISTINCT ip, {CANONICAL} AS canonical FROM ev),
+bad AS (SELECT DISTINCT {CANONICAL} AS ip FROM ev WHERE event_id % 6 <> 4 AND user_id % 32 IN (7, 8))
 SELECT count(*) AS mongo_unique, count(DISTINCT canonical) AS valid_unique, count(*) - count(canonical) AS invalid,
        count(canonical) - count(DISTINCT canonical) AS normalized_duplicates, count(DISTINCT canonical) AS written,
-       0 AS lookup_errors FROM raw"""
+       count(DISTINCT canonical) FILTER (canonical IN (SELECT ip FROM bad)) AS lookup_errors FROM raw"""
+
+# The narrowest of all ranges that cover an address, found by trying each.
+ORACLE["ip_nested_ranges"] = f"""WITH {EVENTS}, {PLACES},
+ips AS (SELECT DISTINCT {CANONICAL} AS ip, CASE WHEN event_id % 6 <> 4 THEN user_id % 32 END AS octet FROM ev),
+num AS (
+  SELECT ip, CASE WHEN octet IS NOT NULL THEN list_reduce(list_transform(string_split(ip, '.'), lambda d: d::BIGINT), lambda a, b: a * 256 + b) END AS address
+  FROM ips WHERE ip IS NOT NULL),
+base AS (SELECT *, 167772160 + n_nationkey * 65536 AS low FROM place),
+ranges AS (
+  SELECT low, low + 65535 AS high, city, region, code, country, latitude, longitude, code IS NULL AS bad FROM base
+  UNION ALL SELECT low + l, low + h, name || low, r_name, 'ZZ', n_name, CASE WHEN n_regionkey <> 2 THEN n_nationkey + 0.5::DOUBLE END,
+    CASE WHEN n_regionkey <> 1 THEN -(n_nationkey + 0.25::DOUBLE) END, false
+  FROM base JOIN nation USING (n_nationkey) JOIN region ON n_regionkey = r_regionkey, (VALUES ('inner ', 10, 29), ('over ', 20, 59)) v(name, l, h)
+  UNION ALL SELECT 167772155, 167772160 + 40 * 65536, 'wide', 'all', 'WW', 'World', 1.5, NULL, false)
+SELECT ip, city AS city_name, region AS region_name, code AS country_code, country AS country_name, latitude, longitude,
+       coalesce(bad, false) AS lookup_error
+FROM num LEFT JOIN ranges ON address BETWEEN low AND high
+QUALIFY row_number() OVER (PARTITION BY ip ORDER BY high - low, low DESC) = 1"""
 
 ORACLE["uri_split"] = r"""
 SELECT page_id, regexp_extract(url, '^(\w+)://', 1) AS scheme, regexp_extract(url, '^\w+://([^/]+)', 1) AS bucket,
@@ -502,7 +521,7 @@ ORACLE["string_leaf_vectors"] = """
 SELECT vec_id::VARCHAR AS vec_id, label::VARCHAR AS label, len(embedding) AS n,
        array_to_string(list_transform(embedding, lambda x: CAST(CAST(x AS DOUBLE) AS VARCHAR)), ',') AS texts FROM embeddings"""
 ORACLE["harmonize_rejects"] = """
-SELECT event_id, CASE WHEN event_id % 10 > 1 THEN event_id::VARCHAR END AS id, event_id % 10 <= 1 AS rejected FROM events"""
+SELECT event_id, CASE WHEN event_id % 10 > 3 THEN event_id::VARCHAR END AS id, event_id % 10 <= 3 AS rejected FROM events"""
 ORACLE["harmonize_documents"] = """
 SELECT conv_id::VARCHAR AS id, turn::VARCHAR AS turn, role, CASE WHEN turn % 4 < 3 THEN 1 END AS n_tags,
        CASE WHEN turn % 4 = 2 THEN 'legacy' END AS tag_value,

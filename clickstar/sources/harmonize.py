@@ -8,6 +8,7 @@ alphabetical order; scalars that differ become text.
 from __future__ import annotations
 
 import json
+import sys
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -188,29 +189,24 @@ def _paths(value: object, path: tuple, seen: set) -> None:
 
 
 def _seen_paths(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    # The reader that admits a document stops at 1,000 levels.
+    sys.setrecursionlimit(max(sys.getrecursionlimit(), 5_000))
     for batch in batches:
         seen: set = set()
         for text in batch["document"]:
-            found: set = set()
-            try:
-                document = json.loads(text)
-                if isinstance(document, dict):
-                    _paths(document, (), found)
-            except (ValueError, RecursionError):
-                # Unreadable: a row of rejected_documents().
-                continue
-            seen |= found
+            _paths(json.loads(text), (), seen)
         yield pd.DataFrame([(json.dumps(p), kind) for p, kind in seen], columns=["path", "kind"])
 
 
 def document_shape(documents: DataFrame, column: str) -> _Shape:
-    """Merged shape of all JSON documents.
+    """Merged shape of all JSON documents that :func:`_readable` admits, so that a document has a say
+    in the columns if and only if it becomes a row.
 
     Tasks emit each place they saw once per batch and a distinct follows, so the driver gets
     one row per place of the final schema, whatever the number of documents.
     """
     seen = (
-        documents.where(F.col(column).isNotNull())
+        documents.where(_readable(column))
         .select(F.col(column).alias("document"))
         .mapInPandas(_seen_paths, "path string, kind string")
         .distinct()
@@ -269,9 +265,13 @@ def _project(c: Column, shape: _Shape) -> Column:
 
 
 def _readable(column: str) -> Column:
-    """Whether a text is a JSON object; false for NULL and broken text."""
+    """Whether a text is a JSON object; false for NULL, broken text, repeated keys and NaN.
+
+    White space of JSON may stand before it.
+    """
     text = F.col(column)
-    return F.coalesce(F.ltrim(text).startswith("{") & F.try_parse_json(text).isNotNull(), F.lit(False))
+    start = F.ltrim(text, F.lit(" \t\n\r"))
+    return F.coalesce(start.startswith("{") & F.try_parse_json(text).isNotNull(), F.lit(False))
 
 
 def rejected_documents(documents: DataFrame, column: str) -> DataFrame:

@@ -172,3 +172,44 @@ def test_missing_range_keeps_the_ip(spark):
     ranges = spark.createDataFrame(place_rows([(1, 2)]), f"ip_from long, ip_to long, {RANGE}")
     got = {r["ip"]: r["city_name"] for r in locate.ip_locations(events, ranges).collect()}
     assert got == {"9.9.9.9": None, "2001:db8::1": None}
+
+
+def test_narrowest_of_nested_and_overlapping_ranges(spark):
+    """Random ranges of both kinds of addresses, against a search of all of them."""
+    import ipaddress
+    import random
+
+    from clickstar.operators import ip_ranges
+
+    rng = random.Random(5)
+    for digits, low, size in ((8, int(ipaddress.ip_address("10.0.0.0")), 1 << 20), (32, int(ipaddress.ip_address("2001:db8::")), 1 << 70)):
+        ends = [sorted(low + rng.randrange(size) for _ in range(2)) for _ in range(40)]
+        ends += [[low, low + size // 2], [low + 5, low + 5], [low + (1 << 16), low + (1 << 17) - 1], [0, 16**digits - 1], [low + 9, low + 3]]
+        ends += [[e[0], e[0] + rng.randrange(1 << 18)] for e in ends[:20]]
+        text = lambda n: f"{n:0{digits}x}"  # noqa: B023, E731
+        rows = [(text(a), text(b), f"r{i}") for i, (a, b) in enumerate(ends)] + [(None, text(5), "none")]
+        points = sorted({p for a, b in ends for p in (a, b, max(a - 1, 0), min(b + 1, 16**digits - 1), (a + b) // 2)})
+        segments = ip_ranges.flatten(spark.createDataFrame(rows, "low string, high string, name string"), ["name"])
+        frame = spark.createDataFrame([(str(p), text(p)) for p in points] + [("none", None)], "ip string, key string")
+        got = {r.ip: r.name for r in ip_ranges.narrowest(frame, "key", digits, segments, ["name"]).collect()}
+        for p in points:
+            covering = [(b - a, -a, i) for i, (a, b) in enumerate(ends) if a <= p <= b]
+            best = min(c[:2] for c in covering)
+            assert got[str(p)] in {f"r{i}" for w, s, i in covering if (w, s) == best}
+        assert got["none"] is None and len(got) == len(points) + 1
+        assert segments.count() <= 2 * len(rows) * digits // 4 * 3
+
+
+def test_records_of_no_use_are_counted(spark):
+    fields = "ip_from long, ip_to long, city_name string, region_name string, country_code string, country_name string, latitude string, longitude string"
+    ranges = spark.createDataFrame([
+        (0, 2**32 - 1, "World", None, "WW", None, None, None), (134744072, 134744072, "x", None, "A1", None, None, None),
+        (134744074, 134744075, "x", None, None, None, None, None),
+    ], fields)
+    events = spark.createDataFrame([("8.8.8.8",), ("8.8.8.9",), ("8.8.8.10",), ("bad",), (" 8.8.8.8 ",)], "ip string")
+    located = locate.ip_locations(events, ranges, errors=True)
+    assert {(r.ip, r.city_name, r.lookup_error) for r in located.collect()} == {
+        ("8.8.8.8", None, True), ("8.8.8.9", "World", False), ("8.8.8.10", None, True)
+    }
+    stats = locate.location_statistics(locate.distinct_ips(events), located).first()
+    assert (stats.written, stats.lookup_errors, stats.invalid, stats.normalized_duplicates) == (3, 2, 1, 1)
