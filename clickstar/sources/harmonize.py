@@ -194,7 +194,7 @@ def _seen_paths(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         seen: set = set()
         for text in batch["document"]:
-            _paths(json.loads(text), (), seen)
+            _paths(json.JSONDecoder().raw_decode(text.lstrip(" \t\n\r"))[0], (), seen)
         yield pd.DataFrame([(json.dumps(p), kind) for p, kind in seen], columns=["path", "kind"])
 
 
@@ -265,13 +265,15 @@ def _project(c: Column, shape: _Shape) -> Column:
 
 
 def _readable(column: str) -> Column:
-    """Whether a text is a JSON object; false for NULL, broken text, repeated keys and NaN.
+    """Whether a text is one JSON object; false for NULL, broken text, repeated keys and NaN.
 
-    White space of JSON may stand before it.
+    White space of JSON may stand around it.  The parser ends with the first value it finds, so the
+    text is read as the only item of a list.
     """
-    text = F.col(column)
-    start = F.ltrim(text, F.lit(" \t\n\r"))
-    return F.coalesce(start.startswith("{") & F.try_parse_json(text).isNotNull(), F.lit(False))
+    text = F.btrim(F.col(column), F.lit(" \t\n\r"))
+    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    alone = listed.isNotNull() & F.try_variant_get(listed, "$[1]", "variant").isNull()
+    return F.coalesce(text.startswith("{") & text.endswith("}") & alone, F.lit(False))
 
 
 def rejected_documents(documents: DataFrame, column: str) -> DataFrame:

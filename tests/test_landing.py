@@ -288,12 +288,12 @@ def test_report(spark):
 def test_one_reader_decides_shape_and_rows(spark):
     deep = '{"a": ' + "[" * 900 + "]" * 900 + "}"
     texts = [
-        '\n{"id": 1}', '\t\r\n {"id": 2, "b": [1]}', '{"n": NaN}', '{"k": 1, "k": 2}', '{"x": 1} y', "[{}]", None, "", '{"u": "\\ud83d\\ude00"}',
+        '\n{"id": 1}', '\t\r\n {"id": 2, "b": [1]}', '{"n": NaN}', '{"k": 1, "k": 2}', '{"x": 1} y', "[{}]", None, "", ' {"z": 1}, {"z": 2}', '{"u": "\\ud83d\\ude00"}',
     ]
     documents = spark.createDataFrame(list(enumerate(texts)), "i int, document string")
     rows = harmonize.harmonize_json(documents, "document", ["i"])
     assert rows.columns == ["i", "b", "id", "u"]
-    assert sorted((r.i, r.id, r.u) for r in rows.collect()) == [(0, "1", None), (1, "2", None), (8, None, "😀")]
-    assert sorted(r.i for r in harmonize.rejected_documents(documents, "document").collect()) == [2, 3, 4, 5, 6, 7]
+    assert sorted((r.i, r.id, r.u) for r in rows.collect()) == [(0, "1", None), (1, "2", None), (9, None, "😀")]
+    assert sorted(r.i for r in harmonize.rejected_documents(documents, "document").collect()) == [2, 3, 4, 5, 6, 7, 8]
     shape = harmonize.document_shape(spark.createDataFrame([(deep,)], "document string"), "document")
     assert list(shape.keys) == ["a"]
