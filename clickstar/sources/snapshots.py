@@ -87,14 +87,14 @@ class SnapshotWriter(DataSourceArrowWriter):
         lines = [{"uri": name, "rows": rows, "snapshot": self.snapshot} for m in messages if m for name, rows in m.files]
         text, manifests = "".join(json.dumps(line) + "\n" for line in lines), before["manifests"]
         if len(manifests) >= MANIFESTS:
-            text = "".join(_read_text(self.root, f"manifests/{m}.jsonl") for m in manifests) + text
+            text = "".join(read_text(self.root, f"manifests/{m}.jsonl") for m in manifests) + text
             manifests = []
-        _write_text(system, f"{root}/manifests/{self.snapshot}.jsonl", text)
+        write_text(system, f"{root}/manifests/{self.snapshot}.jsonl", text)
         head = {
             "snapshots": [*before["snapshots"], self.snapshot], "manifests": [*manifests, self.snapshot],
             "schema": json.loads(self.schema.json()),
         }
-        _write_text(system, f"{root}/manifests/{self.snapshot}.head.json", json.dumps(head))
+        write_text(system, f"{root}/manifests/{self.snapshot}.head.json", json.dumps(head))
         point_to(self.root, self.snapshot)
 
     def abort(self, messages: list[Written | None]) -> None:
@@ -114,12 +114,13 @@ class SnapshotSource(DataSource):
         return SnapshotWriter(schema, dict(self.options))
 
 
-def _write_text(system: arrow_fs.FileSystem, path: str, text: str) -> None:
+def write_text(system: arrow_fs.FileSystem, path: str, text: str) -> None:
     with system.open_output_stream(path) as out:
         out.write(text.encode())
 
 
-def _read_text(root: str, name: str) -> str | None:
+def read_text(root: str, name: str) -> str | None:
+    """A small file below a folder, None where there is none."""
     system, path = file_system(f"{root}/{name}")
     if system.get_file_info(path).type == arrow_fs.FileType.NotFound:
         return None
@@ -134,20 +135,20 @@ def point_to(root: str, snapshot: str) -> None:
     """
     system, path = file_system(f"{root.rstrip('/')}/{POINTER}")
     if isinstance(system, (arrow_fs.LocalFileSystem, arrow_fs.HadoopFileSystem)):
-        _write_text(system, f"{path}.{snapshot}", snapshot)
+        write_text(system, f"{path}.{snapshot}", snapshot)
         system.move(f"{path}.{snapshot}", path)
     else:
-        _write_text(system, path, snapshot)
+        write_text(system, path, snapshot)
 
 
 def current(root: str) -> str | None:
     """Name of the current snapshot, if there is one."""
-    return _read_text(root.rstrip("/"), POINTER)
+    return read_text(root.rstrip("/"), POINTER)
 
 
 def head_of(root: str, snapshot: str | None) -> dict | None:
     """The snapshots and manifests that a snapshot consists of, and its schema."""
-    return None if snapshot is None else json.loads(_read_text(root.rstrip("/"), f"manifests/{snapshot}.head.json"))
+    return None if snapshot is None else json.loads(read_text(root.rstrip("/"), f"manifests/{snapshot}.head.json"))
 
 
 def append(

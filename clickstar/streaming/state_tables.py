@@ -1,9 +1,9 @@
 """State that lives in tables instead of operator memory.
 
 Every micro-batch is reduced to a small delta that merges associatively, and written to a folder
-named after the query and the batch.  A replayed batch overwrites its own folder, so it counts
-once; a new checkpoint is a new query and adds to what others left.  Readers merge the deltas; state
-never has to be rewritten as a whole.
+named after the query and the batch.  A replayed batch counts once; a new checkpoint is a new query and
+adds to what others left.  Folders are merged level by level (:mod:`.levels`), so readers merge few of
+them after however many batches; state never has to be rewritten as a whole.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from ..operators.failures import ledger_delta, ledger_view, merge_ledger
 from ..operators.first_n import first_n
 from ..operators.increment import increment_table
 from ..session import table_exists
+from .levels import FAN, Levels
 
 
 def _run(stream: DataFrame, checkpoint: str, each_batch: Callable[[DataFrame, int], None]) -> None:
@@ -29,10 +30,13 @@ def _run(stream: DataFrame, checkpoint: str, each_batch: Callable[[DataFrame, in
     query.awaitTermination()
 
 
-def stream_deltas(stream: DataFrame, table: str, checkpoint: str, reduce: Callable[[DataFrame], DataFrame]) -> None:
+def stream_deltas(
+    stream: DataFrame, table: str, checkpoint: str, reduce: Callable[[DataFrame], DataFrame],
+    merge: Callable[[DataFrame], DataFrame], fan: int = FAN,
+) -> None:
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        query = query_id(batch.sparkSession, checkpoint)
-        reduce(batch).write.mode("overwrite").parquet(f"{table}/query_id={query}/batch_id={batch_id}")
+        spark = batch.sparkSession
+        Levels(spark, table, merge, fan).add(reduce(batch), query_id(spark, checkpoint), batch_id)
 
     _run(stream, checkpoint, each_batch)
 
@@ -44,7 +48,7 @@ def query_id(spark: SparkSession, checkpoint: str) -> str:
 
 def compact_deltas(spark: SparkSession, table: str, merge: Callable[[DataFrame], DataFrame], target: str) -> None:
     """Write the merged state as the first delta of a new table."""
-    merge(spark.read.parquet(table).drop("query_id", "batch_id")).write.parquet(f"{target}/query_id=compacted/batch_id=-1")
+    merge(Levels(spark, table, merge).read()).write.parquet(f"{target}/query_id=compacted/batch_id=-1")
 
 
 # First N URLs per product across runs -------------------------------------------------------
@@ -53,14 +57,17 @@ def compact_deltas(spark: SparkSession, table: str, merge: Callable[[DataFrame],
 def stream_candidates(events: DataFrame, table: str, checkpoint: str, n: int = MAX_URLS, order: str = "_id") -> None:
     """Each batch adds at most ``n`` URLs per product; more cannot enter the overall first ``n``."""
 
-    def reduce(batch: DataFrame) -> DataFrame:
-        return first_n(product_sightings(batch, order), "product_id", "url", "source", order, n).drop("priority")
+    merge = _first_urls(n, order)
+    stream_deltas(events, table, checkpoint, lambda batch: merge(product_sightings(batch, order)), merge)
+
 
-    stream_deltas(events, table, checkpoint, reduce)
+def _first_urls(n: int, order: str) -> Callable[[DataFrame], DataFrame]:
+    return lambda seen: first_n(seen, "product_id", "url", "source", order, n).drop("priority")
 
 
 def current_candidates(spark: SparkSession, table: str, n: int = MAX_URLS, order: str = "_id") -> DataFrame:
-    return first_n(spark.read.parquet(table), "product_id", "url", "source", order, n).select(
+    deltas = Levels(spark, table, _first_urls(n, order)).read()
+    return first_n(deltas, "product_id", "url", "source", order, n).select(
         "product_id", "url", "source", "priority"
     )
 
@@ -69,11 +76,11 @@ def current_candidates(spark: SparkSession, table: str, n: int = MAX_URLS, order
 
 
 def stream_failures(attempts: DataFrame, table: str, checkpoint: str) -> None:
-    stream_deltas(attempts, table, checkpoint, ledger_delta)
+    stream_deltas(attempts, table, checkpoint, ledger_delta, merge_ledger)
 
 
 def current_failures(spark: SparkSession, table: str) -> DataFrame:
-    return ledger_view(merge_ledger(spark.read.parquet(table)))
+    return ledger_view(merge_ledger(Levels(spark, table, merge_ledger).read()))
 
 
 # High-water-mark increments -----------------------------------------------------------------

@@ -72,3 +72,59 @@ def test_increments_drop_late_rows(spark, tmp_path):
         stream = ingest.file_stream(spark, source, df.schema)
         state_tables.stream_increments(stream, table, checkpoint, ["k"], "t")
     assert sorted(r["k"] for r in spark.read.parquet(table).collect()) == [1, 2, 4]
+
+
+def counted(df):
+    return df.groupBy("k").agg(F.sum("n").alias("n"))
+
+
+def test_many_batches_leave_few_folders(spark, tmp_path):
+    from clickstar.streaming.levels import Levels, overfull
+
+    # Folder counts alone, for a thousand batches.
+    levels, most = [[]], 0
+    for batch in range(1_000):
+        levels[0].append(str(batch))
+        while (full := overfull(levels, 8)) is not None:
+            levels[full] = []
+            if full + 1 == len(levels):
+                levels.append([])
+            levels[full + 1].append("merged")
+        most = max(most, sum(map(len, levels)))
+    assert most <= 7 * 4
+    # With real folders.
+    table = Levels(spark, str(tmp_path / "t"), counted, fan=2)
+    for batch in range(12):
+        delta = spark.createDataFrame([(batch % 3, 1)], "k int, n long")
+        assert table.add(delta, "q", batch)
+        # The batch again counts once.
+        assert not table.add(delta, "q", batch)
+        assert len(table.folders()) <= 4
+    table.add(spark.createDataFrame([(0, 5)], "k int, n long"), "other", 0)
+    assert sorted(tuple(r) for r in counted(table.read()).collect()) == [(0, 9), (1, 4), (2, 4)]
+
+
+def test_a_merge_that_breaks_counts_nothing_twice(spark, tmp_path):
+    import pytest
+
+    from clickstar.streaming.levels import Levels
+
+    broken = []
+
+    def merge(df):
+        if broken:
+            raise RuntimeError("lost")
+        return counted(df)
+
+    table = Levels(spark, str(tmp_path / "t"), merge, fan=2)
+    one = lambda k: spark.createDataFrame([(k, 1)], "k int, n long")
+    table.add(one(1), "q", 0)
+    broken.append(1)
+    with pytest.raises(RuntimeError):
+        table.add(one(1), "q", 1)
+    assert [tuple(r) for r in counted(table.read()).collect()] == [(1, 1)]
+    broken.clear()
+    assert table.add(one(1), "q", 1)
+    assert [tuple(r) for r in counted(table.read()).collect()] == [(1, 2)]
+    with pytest.raises(ValueError):
+        Levels(spark, "t", merge, fan=1)
