@@ -61,7 +61,12 @@ def today_in(zone: str = WAREHOUSE_ZONE, today: date | None = None) -> Column:
     """The current day in a zone; jobs pass ``today`` to make a run repeatable."""
     if today is not None:
         return F.lit(today)
-    return F.to_date(F.from_utc_timestamp(F.current_timestamp(), zone))
+    return day_in(F.current_timestamp(), zone)
+
+
+def day_in(moment: Column, zone: str) -> Column:
+    """The calendar day of a moment in a zone."""
+    return F.to_date(F.from_utc_timestamp(moment, zone))
 
 
 def calendar_fields(day: Column) -> dict[str, Column]:

@@ -13,7 +13,7 @@ from ..functions import price as price_functions
 from ..functions import text as text_functions
 from ..functions import time as time_functions
 from ..functions.keys import UNKNOWN_KEY, surrogate_key
-from ..operators import candidates, dates, failures, locate, pages, quality, rates, scd2
+from ..operators import candidates, dates, failures, locate, order, pages, quality, rates, scd2
 from ..operators.carry import carry_value, time_chunk
 from ..operators.increment import after_mark, increment_table, newer_rows, upsert
 from ..operators.lookup import lookup_key, with_audit
@@ -1181,6 +1181,78 @@ def currency_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rates.convert(orders, daily, "price", "usd").select("o_orderkey", number("usd").alias("usd"))
 
 
+@query
+def report_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ordered outputs with the place at which the written files have each row."""
+    built = warehouse(spark, sf_dir)
+    fact = built.table("fact_sales_order_detail")
+    reports = {
+        "revenue_by_country": (marts.revenue_by_country(fact, built.table("dim_location")), number("Revenue")),
+        "revenue_by_weekday": (marts.revenue_by_weekday(fact, built.table("dim_date")), number("day_of_week")),
+        "units_by_product": (marts.units_by_product(fact, built.table("dim_product")), number("unit_sold")),
+        "revenue_mom": (
+            marts.revenue_month_over_month(fact, built.table("dim_date")), number(F.col("year_number") * 100 + F.col("month_number"))
+        ),
+        "fx_dates": (
+            dates.local_dates(dates.checkouts(adapter.browsing_events(spark, sf_dir))), number(F.unix_date("date"))
+        ),
+    }
+    parts = []
+    for name, (report, key) in reports.items():
+        path = scratch_path(spark, name)
+        report.write.parquet(path)
+        parts.append(order.parquet_places(spark, path).select(F.lit(name).alias("report"), order.PLACE, key.alias("key")))
+    path = scratch_path(spark, "products")
+    files.export_products(adapter.raw_products(spark, sf_dir).select("product_id", "sku"), path)
+    listed = files.list_files(spark, path, "*.json").select(F.col("path").alias("uri"), "name")
+    product = F.get_json_object("value", "$.product_id").cast("double")
+    parts.append(order.line_places(listed).select(F.lit("export").alias("report"), order.PLACE, product.alias("key")))
+    found = parts[0]
+    for part in parts[1:]:
+        found = found.unionByName(part)
+    return found
+
+
+@query
+def fact_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Column descriptions as the written fact has them, with the rows that have a value."""
+    fact = warehouse(spark, sf_dir).table("fact_sales_order_detail")
+    described = [(f.name, f.metadata["comment"]) for f in fact.schema.fields if "comment" in f.metadata]
+    listed = F.explode(F.array(*[
+        F.struct(F.lit(name).alias("column_name"), F.lit(text).alias("description"), F.col(name).alias("n_values"))
+        for name, text in described
+    ]))
+    return fact.agg(*[F.count(name).alias(name) for name, _ in described]).select(listed.alias("c")).select("c.*")
+
+
+@query
+def zone_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per day of the warehouse's zone, and per day of one that is half an hour off."""
+    moments = table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("at"))
+    zones = (time_functions.WAREHOUSE_ZONE, "Asia/Kolkata", "UTC")
+    days = F.explode(F.array(*[
+        F.struct(F.lit(zone).alias("zone"), time_functions.day_in(F.col("at"), zone).cast("string").alias("day")) for zone in zones
+    ]))
+    return moments.select(days.alias("d")).select("d.*").groupBy("zone", "day").agg(F.count("*").alias("n"))
+
+
+@query
+def product_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All kept fields of products found in payloads; a fifth of the fields is missing, a fifth null."""
+    parts = []
+    for i, name in enumerate(pages.PRODUCT_FIELDS):
+        kind = (F.col("p_partkey") + i) % 5
+        value = F.concat(F.lit(f'"{name}": "v{i}-'), F.col("p_partkey").cast("string"), F.lit('"'))
+        if i:
+            value = F.when(kind == 1, F.lit(f'"{name}": null')).when(kind > 1, value)
+        parts.append(value)
+    inner = F.array_join(F.array_compact(F.array(*parts)), ", ")
+    payloads = table(spark, sf_dir, "part").select(
+        F.concat(F.lit('{"page": {"items": [{"product": {'), inner, F.lit('}}]}, "other": 1}')).alias("payload")
+    )
+    return pages.find_products(payloads).select(*pages.product_fields(F.col("product")))
+
+
 @query
 def candidate_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidate URLs per source event and priority."""

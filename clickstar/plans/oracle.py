@@ -7,6 +7,7 @@ from, so it does not repeat the parsing.
 from __future__ import annotations
 
 from ..operators.candidates import PRODUCT_EVENTS
+from ..operators.pages import PRODUCT_FIELDS
 from ..sources.seeds import CURRENCY_MAPPING
 from . import adapter
 from .adapter import DUCK
@@ -615,3 +616,38 @@ ORACLE["candidate_sources"] = f"WITH {EVENTS}, {SIGHTINGS} SELECT source, priori
 ORACLE["dim_views"] = f"""WITH {ORDERS}, {CUSTOMERS}
 SELECT count(DISTINCT device) AS customers, count(*) AS versions,
        count(*) FILTER (until = TIMESTAMP '9999-01-01') AS current_versions FROM customer_version"""
+
+# Proof of order, descriptions, zones and whole products ------------------------------------
+def _ranked(report: str, key: str, direction: str = "") -> str:
+    # Where keys are equal, any of their rows may stand at a place; the key there is the same.
+    return f"SELECT '{report}' AS report, row_number() OVER (ORDER BY {key} {direction}) AS place, {key} AS key FROM"
+
+
+ORACLE["report_order"] = f"""
+{_ranked("revenue_by_country", "Revenue", "DESC")} ({ORACLE["revenue_by_country"]})
+UNION ALL {_ranked("revenue_by_weekday", "day_of_week::DOUBLE")} ({ORACLE["revenue_by_weekday"]})
+UNION ALL {_ranked("units_by_product", "unit_sold::DOUBLE", "DESC")} ({ORACLE["units_by_product"]})
+UNION ALL {_ranked("revenue_mom", "(year_number * 100 + month_number)::DOUBLE")} ({ORACLE["revenue_mom"]})
+UNION ALL {_ranked("fx_dates", "(date::DATE - DATE '1970-01-01')::DOUBLE")} ({ORACLE["fx_dates"]})
+UNION ALL SELECT 'export', row_number() OVER (ORDER BY p_partkey::VARCHAR), p_partkey::DOUBLE FROM part"""
+
+ORACLE["fact_comments"] = f"""{STAR}
+SELECT column_name, description, CASE column_name WHEN 'sales_usd_price' THEN count(usd) WHEN 'detail_key' THEN count(tm)
+         WHEN 'sales_amount' THEN count(sales_amount) WHEN 'sales_local_price' THEN count(sales_amount) ELSE count(*) END AS n_values
+FROM fact, (VALUES ('detail_key', 'Key of an order line.'),
+  ('customer_key', 'Key of one version of a customer; -1 is the unknown customer.'),
+  ('product_key', 'Key of a product; -1 is the unknown product.'), ('location_key', 'Key of a place; -1 is the unknown place.'),
+  ('currency_key', 'Key of a currency; -1 is the unknown currency.'), ('store_key', 'Key of a store; -1 is the unknown store.'),
+  ('date_key', 'Calendar day; 1970-01-01 is the unknown day.'), ('sales_amount', 'Units of the product in the order.'),
+  ('sales_local_price', 'Unit price in the currency of the order.'),
+  ('sales_usd_price', 'Unit price in USD by the rate of the day; empty without a rate.')) AS d(column_name, description)
+GROUP BY column_name, description"""
+
+ORACLE["zone_days"] = """
+SELECT zone, CAST(CAST(ts + to_minutes(shift) AS DATE) AS VARCHAR) AS day, count(*) AS n
+FROM events, (VALUES ('Asia/Saigon', 420), ('Asia/Kolkata', 330), ('UTC', 0)) z(zone, shift) GROUP BY 1, 2"""
+
+ORACLE["product_records"] = "SELECT " + ", ".join(
+    f"'v{i}-' || p_partkey AS {name}" if not i else f"CASE WHEN (p_partkey + {i}) % 5 > 1 THEN 'v{i}-' || p_partkey END AS {name}"
+    for i, name in enumerate(PRODUCT_FIELDS)
+) + " FROM part"

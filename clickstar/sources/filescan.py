@@ -145,9 +145,10 @@ def parquet_rows(files: DataFrame, keep: Sequence[str] = (), column: str = "uri"
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def text_rows(files: DataFrame, keep: Sequence[str] = (), column: str = "uri") -> DataFrame:
+def text_rows(files: DataFrame, keep: Sequence[str] = (), column: str = "uri", number: str | None = None) -> DataFrame:
     """Lines of the text files named in ``files`` (``value``, without their ends) with the columns
-    ``keep`` of their file.  Files that end in a name of a compression are unpacked; empty lines go."""
+    ``keep`` of their file and, if ``number`` names a column for it, their number in the file from 0.
+    Files that end in a name of a compression are unpacked; empty lines go and are not counted."""
     keep = list(dict.fromkeys([column, *keep]))
     file_type = files.select(*keep).schema
     file_target = pa.struct(list(to_arrow_schema(file_type)))
@@ -164,14 +165,20 @@ def text_rows(files: DataFrame, keep: Sequence[str] = (), column: str = "uri") -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
+                count = 0
                 for found in lines(row[column]):
                     found = [line for line in found if line.strip()]
                     if found:
-                        columns = [pa.array(found, pa.string()), pa.array([row] * len(found), file_target)]
-                        yield pa.RecordBatch.from_arrays(columns, names=["value", "__file"])
-
-    out = T.StructType([T.StructField("value", T.StringType()), T.StructField("__file", file_type)])
-    return _with_file(_spread(files.select(*keep)).mapInArrow(run, out), keep)
+                        places = pa.array(range(count, count + len(found)), pa.int64())
+                        count += len(found)
+                        columns = [pa.array(found, pa.string()), places, pa.array([row] * len(found), file_target)]
+                        yield pa.RecordBatch.from_arrays(columns, names=["value", "__line", "__file"])
+
+    out = T.StructType([
+        T.StructField("value", T.StringType()), T.StructField("__line", T.LongType()), T.StructField("__file", file_type)
+    ])
+    rows = _with_file(_spread(files.select(*keep)).mapInArrow(run, out), keep)
+    return rows.withColumnRenamed("__line", number) if number else rows.drop("__line")
 
 
 def json_rows(schema: T.StructType | str, keep: Sequence[str] = ()):
