@@ -768,27 +768,32 @@ def string_leaf_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversation turns as JSON whose ``tags`` and ``meta`` fields change shape."""
+    """Conversation turns as JSON whose ``tags`` and ``meta`` fields change shape and whose ``ids`` are
+    keyed by ids; white space may come first, and some repeat a key, which makes them unreadable."""
     kind = F.col("turn") % 4
     tags = (
         F.when(kind == 0, F.lit('[{"name": "a", "w": 1.50}]')).when(kind == 1, F.lit('{"name": "b"}'))
         .when(kind == 2, F.lit('"legacy"')).otherwise(F.lit("null"))
     )
     meta = F.when(kind == 0, F.lit("5")).otherwise(F.lit('{"deep": {"x": true}}'))
+    space = F.when(F.col("turn") % 3 == 0, F.lit("\n\t")).otherwise(F.lit(""))
+    again = F.when(F.col("conv_id") % 10 == 9, F.lit(', "id": 0')).otherwise(F.lit(""))
+    ids = F.concat(F.lit(', "ids": {"c'), "conv_id", F.lit("-"), "turn", F.lit('": {"n": '), "turn", F.lit("}}"), again)
     return table(spark, sf_dir, "conversations").select(
-        F.concat(F.lit('{"id": '), "conv_id", F.lit(', "turn": '), "turn", F.lit(', "role": "'), "role",
-                 F.lit('", "tags": '), tags, F.lit(', "meta": '), meta, F.lit("}")).alias("document")
+        F.concat(space, F.lit('{"id": '), "conv_id", F.lit(', "turn": '), "turn", F.lit(', "role": "'), "role",
+                 F.lit('", "tags": '), tags, F.lit(', "meta": '), meta, ids, F.lit("}")).alias("document")
     )
 
 
 @query
 def harmonize_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = harmonize.harmonize_json(_documents(spark, sf_dir), "document")
+    documents = harmonize.harmonize_json(_documents(spark, sf_dir), "document", max_keys=20)
     tag = F.get("tags", F.lit(0))
     return documents.select(
         "id", "turn", "role", F.size("tags").alias("n_tags"), tag["_value"].alias("tag_value"),
         tag["name"].alias("tag_name"), tag["w"].alias("tag_w"), F.col("meta._value").alias("meta_value"),
-        F.col("meta.deep.x").alias("meta_x"),
+        F.col("meta.deep.x").alias("meta_x"), F.get(F.map_keys("ids"), F.lit(0)).alias("own_id"),
+        F.get(F.map_values("ids"), F.lit(0))["n"].alias("own_n"),
     )
 
 

@@ -527,8 +527,9 @@ ORACLE["harmonize_documents"] = """
 SELECT conv_id::VARCHAR AS id, turn::VARCHAR AS turn, role, CASE WHEN turn % 4 < 3 THEN 1 END AS n_tags,
        CASE WHEN turn % 4 = 2 THEN 'legacy' END AS tag_value,
        CASE turn % 4 WHEN 0 THEN 'a' WHEN 1 THEN 'b' END AS tag_name, CASE WHEN turn % 4 = 0 THEN '1.5' END AS tag_w,
-       CASE WHEN turn % 4 = 0 THEN '5' END AS meta_value, CASE WHEN turn % 4 > 0 THEN 'true' END AS meta_x
-FROM conversations"""
+       CASE WHEN turn % 4 = 0 THEN '5' END AS meta_value, CASE WHEN turn % 4 > 0 THEN 'true' END AS meta_x,
+       'c' || conv_id || '-' || turn AS own_id, turn::VARCHAR AS own_n
+FROM conversations WHERE conv_id % 10 <> 9"""
 ORACLE["harmonize_tables"] = """
 SELECT c_custkey AS id, c_acctbal AS balance, c_mktsegment AS note FROM customer
 UNION ALL SELECT s_suppkey, s_nationkey, s_name FROM supplier"""

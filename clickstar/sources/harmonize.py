@@ -17,11 +17,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut_lineage
 from .leaves import text_leaves, text_type
 
 PLAIN_VALUE = "_value"
-_LIST, _OBJECT, _PLAIN, _NULL = "list", "object", "plain", "null"
-_ITEM = 0  # path step into a list; keys are strings
+_LIST, _OBJECT, _MAP, _PLAIN, _NULL = "list", "object", "map", "plain", "null"
+_ITEM, _ENTRY = 0, 1  # path steps into a list and into a map; keys are strings
+# An object with more different keys than this, over all documents, is a map: its keys are data.
+MAX_KEYS = 1_000
 
 
 def common_scalar(a: T.DataType, b: T.DataType) -> T.DataType:
@@ -126,6 +129,7 @@ class _Shape:
     kinds: set[str] = field(default_factory=set)
     items: "_Shape | None" = None
     keys: dict[str, "_Shape"] = field(default_factory=dict)
+    entries: "_Shape | None" = None
 
     def at(self, path: list) -> "_Shape":
         here = self
@@ -133,6 +137,9 @@ class _Shape:
             if step == _ITEM:
                 here.items = here.items or _Shape()
                 here = here.items
+            elif step == _ENTRY:
+                here.entries = here.entries or _Shape()
+                here = here.entries
             else:
                 here = here.keys.setdefault(step, _Shape())
         return here
@@ -144,19 +151,28 @@ class _Shape:
                 self.keys[name] = _Shape().absorb(self.keys.get(name)).absorb(child)
             if other.items is not None:
                 self.items = _Shape().absorb(self.items).absorb(other.items)
+            if other.entries is not None:
+                self.entries = _Shape().absorb(self.entries).absorb(other.entries)
         return self
 
     def list_item(self) -> "_Shape":
         """Shape of the elements once everything here is a list."""
-        wrapped = _Shape(self.kinds - {_LIST, _NULL}, None, self.keys)
+        wrapped = _Shape(self.kinds - {_LIST, _NULL}, None, self.keys, self.entries)
         return _Shape().absorb(wrapped).absorb(self.items)
 
+    def entry(self) -> "_Shape":
+        """Shape of the values of a map; a plain value in its place is the entry ``_value``."""
+        plain = _Shape({_PLAIN}) if _PLAIN in self.kinds else None
+        return _Shape().absorb(self.entries).absorb(plain)
+
     def mixed(self) -> bool:
         return len(self.kinds - {_NULL}) > 1
 
     def target(self) -> T.DataType:
         if _LIST in self.kinds:
             return T.ArrayType(self.list_item().target())
+        if _MAP in self.kinds:
+            return T.MapType(T.StringType(), self.entry().target())
         if _OBJECT in self.kinds:
             children = {name: child.target() for name, child in self.keys.items()}
             if _PLAIN in self.kinds:
@@ -170,6 +186,8 @@ class _Shape:
             return T.VariantType()
         if _LIST in self.kinds:
             return T.ArrayType((self.items or _Shape()).parsed())
+        if _MAP in self.kinds:
+            return T.MapType(T.StringType(), (self.entries or _Shape()).parsed())
         if _OBJECT in self.kinds:
             return T.StructType([T.StructField(n, self.keys[n].parsed()) for n in sorted(self.keys)])
         return T.StringType()
@@ -198,22 +216,77 @@ def _seen_paths(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame([(json.dumps(p), kind) for p, kind in seen], columns=["path", "kind"])
 
 
-def document_shape(documents: DataFrame, column: str) -> _Shape:
+def _with_maps(seen: DataFrame, max_keys: int) -> DataFrame:
+    """(path, kind) with the keys of objects that have more than ``max_keys`` of them as one step.
+
+    The keys below a place are counted where the paths are; only the places with too many come to the
+    driver.  Maps inside maps show when the outer keys are one, so this is repeated level by level.
+    """
+    known: set[str] = set()
+    while True:
+        now = seen.select(_mapped("path", sorted(known)).alias("path"), "kind").distinct() if known else seen
+        parents = now.select(_parent("path").alias("parent"), "path").where("parent <> '[]'").distinct()
+        wide = parents.groupBy("parent").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_keys)
+        # The shallowest first: what lies below has the keys of the outer map in its path.
+        found = wide.select("parent", F.length("parent").alias("size")).orderBy("size", "parent").limit(100).collect()
+        if not found:
+            return now
+        outer: list[list] = []
+        for row in found:
+            path = json.loads(row["parent"])
+            if not any(path[: len(o)] == o for o in outer):
+                outer.append(path)
+        known |= {json.dumps(path) for path in outer}
+
+
+@F.pandas_udf(T.StringType())
+def _parent(paths: pd.Series) -> pd.Series:
+    """The place that holds a key; None for the root, items of lists and entries of maps."""
+    steps = paths.map(json.loads)
+    return steps.map(lambda path: json.dumps(path[:-1]) if path and isinstance(path[-1], str) else None)
+
+
+def _mapped(column: str, maps: list[str]) -> Column:
+    """The path with the key after each of the given places replaced by the step into a map."""
+    places = [json.loads(m) for m in maps]
+
+    @F.pandas_udf(T.StringType())
+    def replaced(paths: pd.Series) -> pd.Series:
+        def one(text: str) -> str:
+            path = json.loads(text)
+            for place in sorted(places, key=len):
+                if len(path) > len(place) and path[: len(place)] == place and isinstance(path[len(place)], str):
+                    path[len(place)] = _ENTRY
+            return json.dumps(path)
+
+        return paths.map(one)
+
+    return replaced(F.col(column))
+
+
+def document_shape(documents: DataFrame, column: str, max_keys: int = MAX_KEYS) -> _Shape:
     """Merged shape of all JSON documents that :func:`_readable` admits, so that a document has a say
     in the columns if and only if it becomes a row.
 
-    Tasks emit each place they saw once per batch and a distinct follows, so the driver gets
-    one row per place of the final schema, whatever the number of documents.
+    Tasks emit each place they saw once per batch and a distinct follows.  Objects with more than
+    ``max_keys`` keys over all documents, as those keyed by ids, become maps before anything comes to
+    the driver, so it gets one row per place of the final schema, whatever the number of documents or
+    of ids.  The fields of the documents themselves stay columns.
     """
-    seen = (
+    seen = cut_lineage(
         documents.where(_readable(column))
         .select(F.col(column).alias("document"))
         .mapInPandas(_seen_paths, "path string, kind string")
         .distinct()
     )
-    root = _Shape()
-    for row in seen.toLocalIterator():
-        root.at(json.loads(row["path"])).kinds.add(row["kind"])
+    root, places = _Shape(), []
+    for row in _with_maps(seen, max_keys).toLocalIterator():
+        path = json.loads(row["path"])
+        root.at(path).kinds.add(row["kind"])
+        places += [path[:i] for i, step in enumerate(path) if step == _ENTRY and isinstance(step, int)]
+    for path in places:
+        shape = root.at(path)
+        shape.kinds = (shape.kinds - {_OBJECT}) | {_MAP}
     return root
 
 
@@ -233,6 +306,13 @@ def _from_variant(v: Column, shape: _Shape) -> Column:
         item = shape.list_item()
         listed = F.when(_is_list(v), F.try_variant_get(v, "$", "array<variant>")).otherwise(F.array(v))
         return F.when(~missing, F.transform(listed, lambda x: _from_variant(x, item)))
+    if _MAP in shape.kinds:
+        entry = shape.entry()
+        entries = F.transform_values(F.try_variant_get(v, "$", "map<string,variant>"), lambda _, x: _from_variant(x, entry))
+        if _PLAIN in shape.kinds:
+            plain = lift(F.try_variant_get(v, "$", "string"), T.StringType(), entry.target())
+            entries = F.when(_is_object(v), entries).otherwise(F.create_map(F.lit(PLAIN_VALUE), plain))
+        return F.when(~missing, entries)
     if _OBJECT in shape.kinds:
         fields = []
         for f in target.fields:
@@ -256,6 +336,9 @@ def _project(c: Column, shape: _Shape) -> Column:
     if _LIST in shape.kinds:
         item = shape.items or _Shape()
         return F.transform(c, lambda x: _project(x, item))
+    if _MAP in shape.kinds:
+        entry = shape.entries or _Shape()
+        return F.transform_values(c, lambda _, x: _project(x, entry))
     if _OBJECT in shape.kinds:
         return F.when(
             c.isNotNull(),
@@ -281,15 +364,17 @@ def rejected_documents(documents: DataFrame, column: str) -> DataFrame:
     return documents.where(~_readable(column))
 
 
-def harmonize_json(documents: DataFrame, column: str, keep: Iterable[str] = ()) -> DataFrame:
+def harmonize_json(
+    documents: DataFrame, column: str, keep: Iterable[str] = (), max_keys: int = MAX_KEYS
+) -> DataFrame:
     """JSON documents as one common struct schema with text leaves.
 
     Rows that are no readable object are left out (:func:`rejected_documents` has them); ``keep``
-    names other columns to carry along.  The
-    first pass finds the shape, the second parses with it: only places of mixed shape go
+    names other columns to carry along.  Objects with more than ``max_keys`` different keys become maps
+    (:func:`document_shape`).  The first pass finds the shape, the second parses with it: only places of mixed shape go
     through variants, all others are parsed straight into their type.
     """
-    shape = document_shape(documents, column)
+    shape = document_shape(documents, column, max_keys)
     root = _Shape(shape.kinds & {_OBJECT}, None, shape.keys)
     parsed = documents.where(_readable(column)).select(
         *keep, F.from_json(column, root.parsed(), {"primitivesAsString": "true"}).alias("__document")

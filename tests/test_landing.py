@@ -297,3 +297,35 @@ def test_one_reader_decides_shape_and_rows(spark):
     assert sorted(r.i for r in harmonize.rejected_documents(documents, "document").collect()) == [2, 3, 4, 5, 6, 7, 8]
     shape = harmonize.document_shape(spark.createDataFrame([(deep,)], "document string"), "document")
     assert list(shape.keys) == ["a"]
+
+
+def test_objects_keyed_by_ids_become_maps(spark):
+    rng = random.Random(4)
+    rows, want = [], {}
+    for i in range(300):
+        ids = {f"u{rng.randrange(5_000)}": rng.choice([None, i, {"n": i}, {"n": "x", "m": [1]}]) for _ in range(8)}
+        nested = {f"d{rng.randrange(200)}": {f"e{rng.randrange(900)}": i for _ in range(3)} for _ in range(3)}
+        document = {"id": i, "by_user": ids, "nested": nested, "small": {"a": 1, f"b{i % 3}": None}, "odd": rng.choice([7, {f"k{i}": 1.5}])}
+        rows.append((json.dumps(document),))
+        want[i] = document
+    out = harmonize.harmonize_json(spark.createDataFrame(rows, "document string"), "document", max_keys=100)
+    assert dict(out.dtypes) == {
+        "id": "string", "by_user": "map<string,struct<_value:string,m:array<string>,n:string>>",
+        "nested": "map<string,map<string,string>>", "odd": "map<string,string>",
+        "small": "struct<a:string,b0:string,b1:string,b2:string>",
+    }
+    for row in out.collect():
+        document = want[int(row.id)]
+        assert row.nested == {k: {e: str(v) for e, v in inner.items()} for k, inner in document["nested"].items()}
+        assert row.odd == ({"_value": "7"} if document["odd"] == 7 else {k: "1.5" for k in document["odd"]})
+        for key, value in document["by_user"].items():
+            got = row.by_user[key]
+            if value is None:
+                assert got is None
+            elif isinstance(value, dict):
+                assert (got["n"], got["m"]) == (str(value["n"]), ["1"] if "m" in value else None)
+            else:
+                assert got["_value"] == str(value)
+    # The fields of the documents themselves stay columns, however many.
+    wide = spark.createDataFrame([(json.dumps({f"f{i}": i, "same": 1}),) for i in range(30)], "document string")
+    assert len(harmonize.harmonize_json(wide, "document", max_keys=10).columns) == 31
