@@ -59,6 +59,8 @@ _ATTRIBUTE = re.compile(r"([^\s=/>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 
 # A paragraph shorter than this gives no points.
 LEAST_CHARS = 25
+# Elements round a block that it gives points to; the last of them gets a hundredth.
+LEVELS = 32
 # Paragraph-like elements.
 SCORED = frozenset("p td pre blockquote li dd div section article main body figcaption".split())
 
@@ -307,7 +309,7 @@ def _measure(root: Node) -> list[Node]:
         # itself beside others keeps its points.
         up, share = (node.parent, 1.0) if node.tag not in ("div", "section", "article", "main", "body") else (node, 1.0)
         level = 1
-        while up is not None:
+        while up is not None and level <= LEVELS:
             up.score += points * share
             level += 1
             share = 1 / 2 if level == 2 else 1 / (3 * (level - 1))
@@ -358,7 +360,8 @@ def _text(node: Node | str, out: list[str]) -> None:
     while stack:
         item = stack.pop()
         if isinstance(item, str):
-            out.append(item)
+            # References are decoded per run of text: none goes on behind a tag.
+            out.append(unescape(item) if "&" in item else item)
         elif not item.dropped:
             if item.tag not in INLINE or item.tag == "br":
                 out.append(" ")
@@ -409,8 +412,8 @@ def main_text(html: str) -> str:
     out: list[str] = []
     for node in kept:
         _text(node, out)
-    # References are decoded per run of text; white space, also that of references, becomes one blank.
-    return " ".join(unescape("".join(out)).split())
+    # White space, also that of references, becomes one blank.
+    return " ".join("".join(out).split())
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -413,8 +414,21 @@ def _surroundings(texts: pd.Series) -> pd.Series:
 
 # ---------------------------------------------------------------- finding
 
-def _fits(kind: str, text: str) -> bool:
+_GOES_BEFORE = re.compile(r"[0-9][+.\-]?$")
+_GOES_ON = re.compile(r"[.\-]?[0-9]")
+
+
+def _cut_out(text: str, begin: int, end: int) -> bool:
+    """Whether a number goes on beyond the span: with a digit, or with a sign and a digit."""
+    before, after = text[max(begin - 2, 0) : begin], text[end : end + 2]
+    return bool(_GOES_BEFORE.search(before) or _GOES_ON.match(after))
+
+
+def _fits(kind: str, whole: str, begin: int, end: int) -> bool:
     """What any span of a kind must have, however it is written."""
+    text = whole[begin:end]
+    if kind != "email" and _cut_out(whole, begin, end):
+        return False
     digits = _DIGITS.sub("", text)
     if kind == "email":
         return bool(re.search(r"[A-Za-z0-9]\s*(?:@|\(at\)|\[at\])\s*[A-Za-z0-9]", text, re.I)) and bool(re.search(r"\.|\(dot\)|\[dot\]", text))
@@ -519,11 +533,15 @@ def model_spans(net: Net, texts: list[str]) -> list[list[tuple[str, int, int]]]:
                 found[number].append((KINDS[tag - 1], offset + begin, end))
     for number, spans in enumerate(found):
         spans += _united(spans)
-        kept: list[tuple[str, int, int]] = []
+        # The spans that stay do not overlap, so their begins and ends are both in order.
+        begins, ends, kept = [], [], []
         text = texts[number]
         tidy = {(kind, *_trimmed(text, begin, end)) for kind, begin, end in spans}
         for span in sorted(tidy, key=lambda s: (s[1] - s[2], s[1], s[0])):
-            if all(span[2] <= k[1] or k[2] <= span[1] for k in kept) and _fits(span[0], text[span[1] : span[2]]):
+            at = bisect_left(ends, span[1] + 1)
+            if (at == len(begins) or span[2] <= begins[at]) and _fits(span[0], text, span[1], span[2]):
+                begins.insert(at, span[1])
+                ends.insert(at, span[2])
                 kept.append(span)
         found[number] = kept
     return found
@@ -531,10 +549,13 @@ def model_spans(net: Net, texts: list[str]) -> list[list[tuple[str, int, int]]]:
 
 def all_spans(text: str, base: list[tuple[str, int, int]], model: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
     """Base spans and those of the model that touch none of them, by kind, then start."""
+    # What the base spans cover together, in order.
+    held = [(b, e) for _, b, e in _united(sorted(("", b, e) for _, b, e in base))]
+    ends = [e for _, e in held]
     added = []
-    held = sorted((b, e) for _, b, e in base)
     for kind, begin, end in model:
-        if all(end <= b or e <= begin for b, e in held):
+        at = bisect_left(ends, begin + 1)
+        if at == len(held) or end <= held[at][0]:
             added.append((kind, begin, end))
     return sorted([*base, *added], key=lambda s: (KINDS.index(s[0]), s[1], s[2]))
 

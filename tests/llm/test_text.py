@@ -1,6 +1,7 @@
 """Tokens, packing, toxicity, pages and personal data."""
 
 import random
+import time
 import re
 from collections import Counter
 
@@ -379,3 +380,48 @@ def test_personal_data_frames(net, spark, odd_docs, no_docs):
     assert pii.find(no_docs, net).count() == 0 and pii.redact(no_docs, net).count() == 0
     # Nothing to learn from.
     assert pii.model_spans(pii.fit(no_docs), ["ann@x.org"]) in ([[]], [[("email", 0, 9)]])
+
+
+def test_deep_pages_and_many_spans_take_little_time():
+    began = time.perf_counter()
+    deep = "<div>" * 100_000 + "<p>" + "A sentence of the text, long enough to count. " * 5 + "</p>"
+    assert html_text.main_text(deep).startswith("A sentence")
+    deep = "".join(f"<div><p>Paragraph {i} of the text, long enough to count.</p>" for i in range(20_000))
+    assert "Paragraph 7 " in html_text.main_text(deep)
+    text = " ".join(f"a{i}@x.de 10.0.{i % 256}.1" for i in range(50_000))
+    base = pii.base_spans(text)
+    assert len(base) == 100_000
+    model = [(kind, b + 1, e) for kind, b, e in base] + [("phone", len(text), len(text) + 5)]
+    assert pii.all_spans(text, base, model) == sorted([*base, model[-1]], key=lambda s: (pii.KINDS.index(s[0]), s[1], s[2]))
+    assert time.perf_counter() - began < 60
+
+
+def test_references_end_with_their_run_of_text():
+    text = html_text.main_text("<article><p>Some text &amp; more of it, long enough to count: &<b>lt;</b> &#x41;<i>&eacute;</i></p></article>")
+    assert text == "Some text & more of it, long enough to count: &lt; Aé"
+
+
+def test_spans_are_whole_numbers():
+    text = "9582442921002355 +49 170 1234567 1.2.3.4.5 -12345678-9"
+    fits = lambda kind, part: pii._fits(kind, text, text.index(part), text.index(part) + len(part))
+    assert fits("phone", "+49 170 1234567") and not fits("phone", "95824429") and not fits("phone", "21002355")
+    assert not fits("ip", "1.2.3.4") and not fits("ip", "2.3.4.5") and not fits("phone", "12345678")
+
+
+def test_kept_spans_do_not_overlap(monkeypatch):
+    """Random runs of all kinds: the longest first, as a search of every pair would keep them."""
+    rng = random.Random(3)
+    for _ in range(200):
+        text = "x" * 60
+        runs = [(0, rng.randrange(1, 5), b := rng.randrange(50), b + rng.randrange(1, 10)) for _ in range(12)]
+        monkeypatch.setattr(pii, "decode_windows", lambda net, part: None)
+        monkeypatch.setattr(pii, "_runs", lambda tags, runs=runs: iter(runs))
+        monkeypatch.setattr(pii, "_fits", lambda kind, whole, begin, end: begin % 3 != 0)
+        got = pii.model_spans(None, [text])[0]
+        spans = pii._united([(pii.KINDS[t - 1], b, min(e, 60)) for _, t, b, e in runs])
+        spans += [(pii.KINDS[t - 1], b, min(e, 60)) for _, t, b, e in runs]
+        kept = []
+        for span in sorted(set(spans), key=lambda s: (s[1] - s[2], s[1], s[0])):
+            if all(span[2] <= k[1] or k[2] <= span[1] for k in kept) and span[1] % 3:
+                kept.append(span)
+        assert got == kept
