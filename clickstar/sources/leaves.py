@@ -14,17 +14,35 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+# The least double that is not held with fewer bits.
+LEAST_NORMAL = 2.2250738585072014e-308
+
+
 def _shortest(c: Column) -> Column:
-    """Fewest digits that read back as the same double, where Java writes 17 or 18.
+    """Fewest digits that read back as the same double, where Java writes more.
 
-    From 1e17 on Java may still write one digit more than needed.
+    Fifteen digits that read back are the only ones that do; below them Java's own text is cut for the
+    smallest doubles only, which are held with fewer bits.  Of several texts of 17 digits Java's stays,
+    which may not be the nearest in its last digit.
     """
 
+    def rounded(places: int) -> Column:
+        return F.upper(F.format_string(f"%.{places}e", c))
+
     def fewest(text: Column) -> Column:
         digits = F.length(F.translate(_mantissa(text), "-.", ""))
-        rounded = [F.upper(F.format_string(f"%.{places}e", c)) for places in (15, 16)]
-        result = F.when(digits < 17, text)
-        for fewer in (rounded[0], F.regexp_replace(rounded[1], "[0-9]E", "E"), rounded[1]):
+        tiny = (F.abs(c) < LEAST_NORMAL) & (c != 0)
+        result = F.when((digits < 16) & ~tiny, text)
+        for places in range(14):
+            result = result.when(tiny & (rounded(places).try_cast("double") == c), rounded(places))
+        # Sixteen digits: the nearest to Java's text, or one of its neighbours.
+        cut = F.regexp_replace(rounded(16), "[0-9]E", "E")
+        steps = F.translate(_mantissa(cut), "-.", "").try_cast("bigint") + 1
+        above = F.concat(
+            F.when(c < 0, "-").otherwise(""), F.substring(steps.cast("string"), 1, 1), F.lit("."),
+            F.substring(steps.cast("string"), 2, 16), F.lit("E"), F.substring_index(cut, "E", -1),
+        )
+        for fewer in (rounded(14), rounded(15), cut, above, F.when(digits < 17, text), rounded(16)):
             result = result.when(fewer.try_cast("double") == c, fewer)
         return result.otherwise(text)
 

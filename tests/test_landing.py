@@ -2,6 +2,7 @@
 
 import json
 import random
+import struct
 from datetime import date, datetime, timezone
 from decimal import Decimal
 
@@ -42,6 +43,15 @@ def test_float_text(spark):
     many += [2.0**e for e in range(-60, 54)] + [draw.randrange(10**9) / 100 for _ in range(5000)]
     frame = spark.createDataFrame([(x,) for x in many], "x double").select("x", leaves.float_text(F.col("x")).alias("t"))
     assert [(r["x"], r["t"]) for r in frame.collect() if str(r["x"]) != r["t"]] == []
+    # Any bits: the fewest digits, which read back; the last of many digits may be another that does.
+    odd = [struct.unpack("<d", struct.pack("<Q", draw.getrandbits(64)))[0] for _ in range(30_000)]
+    odd += [5e-324 * k for k in range(1, 500)] + [2.0**e for e in range(-1074, 1024, 3)] + [10.0**e for e in range(-323, 309)]
+    odd += [float(draw.getrandbits(60)) for _ in range(5_000)]
+    odd = [x for x in odd if x == x and abs(x) != float("inf")]
+    frame = spark.createDataFrame([(x,) for x in odd], "x double").select("x", leaves.float_text(F.col("x")).alias("t"))
+    rows = [(r["x"], r["t"]) for r in frame.collect()]
+    assert all(float(t) == x and len(t) == len(repr(x)) for x, t in rows)
+    assert sum(t != repr(x) for x, t in rows if abs(x) < 1e17) <= len(rows) // 500
     single = spark.sql("SELECT CAST(0.1 AS FLOAT) AS x")
     assert leaves.with_text_leaves(single).first()["x"] == "0.10000000149011612"
 
