@@ -56,9 +56,10 @@ def boilerplate(found: DataFrame) -> DataFrame:
         ).where(F.col("sites") >= F.col("least") - margin), "spread",
     )
     near = spread.where(F.col("sites") <= F.col("least") + margin)
-    exact = found.join(near.select("key"), "key", "left_semi").where("site IS NOT NULL").groupBy("key", "site").agg(
-        F.lit(1).alias("one")
-    ).groupBy("key").agg(F.count(F.lit(1)).alias("exact_sites"))
+    # Sites of a line first, which adds a hot line up where it is read; a semi-join would be pushed below
+    # this and deal all occurrences of a line to one task.
+    pairs = found.where("site IS NOT NULL").groupBy("key", "site").agg(F.lit(1).alias("one"))
+    exact = pairs.join(near.select("key"), "key").groupBy("key").agg(F.count("one").alias("exact_sites"))
     return written(
         spread.where(F.col("sites") > F.col("least") + margin).select("key", "first").union(
             near.join(exact, "key").where(F.col("exact_sites") >= F.col("least")).select("key", "first")
