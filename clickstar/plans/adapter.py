@@ -89,15 +89,19 @@ LINE_COLUMNS = (
 )
 
 
+WHOLE = f"{_whole('cents / 100.0')} AS whole"
+PRICE_PARTS = (
+    f"{_text('whole')} AS whole_text", f"{_text(_whole('whole / 1000.0'))} AS thousands",
+    f"lpad({_text('whole % 1000')}, 3, '0') AS rest", f"lpad({_text('cents % 100')}, 2, '0') AS decimals",
+)
+
+
 def lines_sql(columns: tuple[str, ...] = LINE_COLUMNS) -> str:
     """Order lines with their unit price in hundredths, split into the parts a text needs."""
     cents = ", ".join(columns)
-    whole = _whole("cents / 100.0")
-    thousands = _whole("whole / 1000.0")
     return (
-        f"SELECT *, {_text('whole')} AS whole_text, {_text(thousands)} AS thousands,"
-        f" lpad({_text('whole % 1000')}, 3, '0') AS rest, lpad({_text('cents % 100')}, 2, '0') AS decimals"
-        f" FROM (SELECT *, {whole} AS whole FROM (SELECT {cents} FROM lineitem) AS priced) AS split"
+        f"SELECT *, {', '.join(PRICE_PARTS)}"
+        f" FROM (SELECT *, {WHOLE} FROM (SELECT {cents} FROM lineitem) AS priced) AS split"
     )
 
 
@@ -201,6 +205,11 @@ def priced_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(lines_sql().replace("FROM lineitem", "FROM {lines}"), lines=table(spark, sf_dir, "lineitem"))
 
 
+def _price_parts(priced: DataFrame) -> DataFrame:
+    """The parts of the unit price that :func:`lines_sql` has, for lines that went through a join."""
+    return priced.selectExpr("*", WHOLE).selectExpr("*", *PRICE_PARTS)
+
+
 def order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One checkout document per order, without its cart."""
     return table(spark, sf_dir, "orders").select(*_columns(order_fields(SPARK)))
@@ -212,15 +221,16 @@ def checkout_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     A document per line keeps carts small however many lines an order has; grouping by order
     happens in the jobs, after pre-aggregation.
     """
-    lines = priced_lines(spark, sf_dir)
+    lines = table(spark, sf_dir, "lineitem").selectExpr(*LINE_COLUMNS)
     items = [
         F.when(F.expr(condition), F.struct(*_columns(fields))) for condition, fields in cart_items(SPARK)
     ]
     cart = F.when(
         F.col("l_orderkey").isNotNull(), F.filter(F.array(*items), lambda item: item.isNotNull())
     )
+    # Numbers go through the join; the texts that are made of them come after it.
     joined = table(spark, sf_dir, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    return joined.select(*_columns(order_fields(SPARK)), cart.alias("cart_products"))
+    return _price_parts(joined).select(*_columns(order_fields(SPARK)), cart.alias("cart_products"))
 
 
 def browsing_events(spark: SparkSession, sf_dir: str) -> DataFrame:

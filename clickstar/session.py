@@ -17,6 +17,8 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join partition even where that costs one more shuffle afterwards.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # A task that writes few folders needs no sort of its rows; beyond these it sorts the rest.
+    "spark.sql.maxConcurrentOutputFileWriters": "4",
     # Tables kept by day have thousands of folders: many of them to a task that lists.
     "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
 }

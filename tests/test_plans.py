@@ -5,7 +5,7 @@ import re
 import pytest
 
 from clickstar.operators import locate
-from clickstar.plans import catalogue
+from clickstar.plans import adapter, catalogue
 from conftest import SF
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython")
@@ -58,3 +58,21 @@ def test_only_text_with_a_colon_meets_python(spark):
     lines = tree.split("Union", 1)[1].splitlines()
     first, second = [x for x in lines if x.startswith("   :")], [x for x in lines if not x.startswith("   :")]
     assert first and not any("Python" in x for x in first) and any("ArrowEvalPython" in x for x in second)
+
+
+def test_texts_of_documents_are_made_behind_the_join(spark):
+    text = formatted(adapter.checkout_events(spark, SF)).split("\n\n", 1)[1]
+    shuffled = re.findall(r"Exchange\nInput \[\d+\]: \[(.*?)\]\n", text)
+    assert shuffled and not any(name in s for s in shuffled for name in ("decimals", "rest", "thousands"))
+
+
+def test_a_landing_is_written_without_a_sort(spark, tmp_path):
+    rows = spark.range(9).selectExpr("id % 2 AS kind", "id")
+    path = str(tmp_path / "t")
+    rows.createOrReplaceTempView("rows_to_land")
+    spark.sql(f"CREATE TABLE landed_by_kind (id bigint, kind bigint) USING parquet PARTITIONED BY (kind) LOCATION '{path}'")
+    try:
+        text = spark.sql("EXPLAIN INSERT INTO landed_by_kind SELECT id, kind FROM rows_to_land").first()[0]
+    finally:
+        spark.sql("DROP TABLE landed_by_kind")
+    assert "InsertIntoHadoopFsRelationCommand" in text and "Sort" not in text
