@@ -158,7 +158,7 @@ class DailyWarehouse:
         devices = visits.select(F.col("device").alias("customer_device_id")).distinct()
         customer = self.customers.versions(since).join(devices, "customer_device_id", "left_semi")
         fact = sales.sales_fact(
-            sales.order_lines(events, ips), visits=visits, customer=customer, product=product, location=location,
+            sales.order_lines(events, ips, together=sales.FACT_TOGETHER), visits=visits, customer=customer, product=product, location=location,
             currency=currency, store=store, calendar=calendar, mapping=mapping, rates=rates,
         )
         return with_comments(with_audit(fact, today=self.today), COMMENTS)

@@ -5,7 +5,8 @@ import re
 import pytest
 
 from clickstar.operators import locate
-from clickstar.plans import adapter, catalogue
+from clickstar.plans import adapter, catalogue, sales
+from clickstar.sources import seeds
 from conftest import SF
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython")
@@ -76,3 +77,17 @@ def test_a_landing_is_written_without_a_sort(spark, tmp_path):
     finally:
         spark.sql("DROP TABLE landed_by_kind")
     assert "InsertIntoHadoopFsRelationCommand" in text and "Sort" not in text
+
+
+def test_lines_of_the_fact_are_shuffled_once(spark):
+    built = catalogue.warehouse(spark, SF)
+    events = catalogue.landing(spark, SF)
+    dims_of = {name: built.table(f"dim_{name}") for name in ("customer", "product", "location", "currency", "store")}
+    lines = sales.order_lines(events, built.table("stg_location"), together=sales.FACT_TOGETHER)
+    fact = sales.sales_fact(
+        lines, visits=sales.checkout_visits(events), calendar=built.table("dim_date"), mapping=seeds.currency_mapping(spark),
+        rates=built.table("fact_exchange_rate"), **dims_of,
+    )
+    inputs = re.findall(r"Exchange\nInput \[\d+\]: \[(.*?)\]\n", formatted(fact))
+    assert len([s for s in inputs if "cart_products" in s]) == 1
+    assert not [s for s in inputs if "product_id" in s and "raw_currency" in s or "product_key" in s and "order_id" in s]
