@@ -36,7 +36,7 @@ EARLY_DAY = date(2001, 6, 30)
 
 def query(run: Query) -> Query:
     def configured(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return run(configure(spark), sf_dir)
+        return run(configure(spark, sf_dir), sf_dir)
 
     configured.__name__, configured.__doc__ = run.__name__, run.__doc__
     REGISTRY[run.__name__] = configured

@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Runtime SQL settings every job relies on.  The number of shuffle partitions is left to the
+# Runtime SQL settings every job relies on.  The least number of shuffle partitions is left to the
 # cluster: AQE coalesces small ones, and a fixed number would be wrong at another scale.
 SQL_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -30,12 +30,31 @@ SQL_SETTINGS = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
+# Input of one shuffle partition: unpacked, with its order on each line, it is some fifty times as large.
+INPUT_PER_PARTITION = 3 << 20
+PARTITIONS = "spark.sql.shuffle.partitions"
+FIRST_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def configure(spark: SparkSession, source: str | None = None) -> SparkSession:
+    """Set what the jobs rely on; shuffles have as many partitions as the folder ``source`` asks for.
+
+    A fixed number would let the memory of a task grow with the tables; AQE joins what is small.
+    """
     for key, value in SQL_SETTINGS.items():
         spark.conf.set(key, value)
+    if source is not None:
+        wanted = -(-folder_size(spark, source) // INPUT_PER_PARTITION)
+        spark.conf.set(FIRST_PARTITIONS, str(max(wanted, int(spark.conf.get(PARTITIONS)))))
     return spark
 
 
+def folder_size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
+
+
 def local_session(cpus: int = 8, app: str = "clickstar", **extra: str) -> SparkSession:
     """A local session for tests and the benchmark; on a cluster the caller brings its own."""
     builder = (

@@ -4,8 +4,10 @@ import re
 
 import pytest
 
+from clickstar import session
 from clickstar.operators import locate
 from clickstar.plans import adapter, catalogue, sales
+from clickstar.session import configure
 from clickstar.sources import seeds
 from conftest import SF
 
@@ -91,3 +93,14 @@ def test_lines_of_the_fact_are_shuffled_once(spark):
     inputs = re.findall(r"Exchange\nInput \[\d+\]: \[(.*?)\]\n", formatted(fact))
     assert len([s for s in inputs if "cart_products" in s]) == 1
     assert not [s for s in inputs if "product_id" in s and "raw_currency" in s or "product_key" in s and "order_id" in s]
+
+
+def test_shuffles_have_more_partitions_for_larger_tables(spark, tmp_path, monkeypatch):
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (tmp_path / "lineitem.parquet").write_bytes(bytes(1 << 16))
+    first = lambda: int(configure(spark, str(tmp_path)).conf.get(session.FIRST_PARTITIONS))
+    assert first() == least
+    monkeypatch.setattr(session, "INPUT_PER_PARTITION", 1 << 10)
+    assert first() == 64
+    (tmp_path / "orders.parquet").write_bytes(bytes(1 << 16))
+    assert first() == 128
