@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 from itertools import compress
 
 import numpy as np
@@ -21,6 +22,8 @@ GRAM = 5
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
 NO_ID = -(1 << 63)
+# Windows are looked up in this many parts by their hash, so that only one part is in shuffles at a time.
+ROUNDS = 4
 
 
 def _powers(base: int, count: int) -> np.ndarray:
@@ -191,7 +194,7 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -
     words that cover it also starts earlier: at a smaller doc_id, or earlier in the document.
 
     The reference is the first place of each window, in an index that is spread over the cluster by
-    the window's hash.  Only windows whose anchor (smallest hash of a gram, the same for equal
+    the window's hash and made part by part.  Only windows whose anchor (smallest hash of a gram, the same for equal
     windows) has a second place anywhere are looked up.  Each document is then parsed greedily into
     factors against all parts of the index; windows across factor boundaries are looked up as well,
     so every repeated one is found.  Documents with the same words as an earlier one are settled
@@ -229,16 +232,24 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -
     held = written(texts.join(of_doc.hint("merge"), ["id", "text_key"]), "parsed")
     windows = written(_windows(held, window, gram), "windows")
     place = F.struct("id", "text_key", "start")
-    reference = written(
-        windows.groupBy("key", "key2").agg(F.min(place).alias("source"), F.max(place).alias("last"))
-        .where("source <> last").select("key", "key2", "source"), "reference",
-    )
+    rounds = []
+    for part in range(ROUNDS):
+        some = windows.where(F.pmod("key", F.lit(ROUNDS)) == part)
+        reference = written(
+            some.groupBy("key", "key2").agg(F.min(place).alias("source"), F.max(place).alias("last"))
+            .where("source <> last").select("key", "key2", "source"), "reference",
+        )
+        rounds.append(written(
+            some.join(reference.hint("merge"), ["key", "key2"]).where(place != F.col("source"))
+            .select("id", "text_key", "start", "source"), "hits",
+        ))
+        freed(reference)
+    freed(windows)
     found = written(
-        windows.join(reference.hint("merge"), ["key", "key2"]).where(place != F.col("source"))
-        .groupBy("id", "text_key").agg(F.collect_set(F.struct("start", "source")).alias("hits")), "found",
+        reduce(DataFrame.unionByName, rounds).groupBy("id", "text_key")
+        .agg(F.collect_set(F.struct("start", "source")).alias("hits")), "found",
     )
-
-    freed(windows, reference)
+    freed(*rounds)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["id", "text_key", "gone", "left", "factors"]

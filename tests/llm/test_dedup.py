@@ -209,3 +209,15 @@ def test_repeated_passages(spark, odd_rows, odd_schema, no_docs, monkeypatch, bl
                 assert WORD.findall(by_id[f.source_id].encode())[f.source_start : f.source_start + f.n_windows + 19] == span
         assert r.factors is None or len(covered) == gone
     assert substring.repeated_passages(no_docs).count() == 0
+
+
+def test_windows_are_looked_up_part_by_part(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, words(i % 7, 90) + " " + words(50 + i, 30)) for i in range(21)], "doc_id bigint, text string")
+    kept, written = [], substring.written
+    monkeypatch.setattr(substring, "written", lambda df, name: kept.append((name, df.count())) or written(df, name))
+    key = lambda r: (r["doc_id"], r["n_words"], r["n_removed"], r["kept"])
+    got = sorted(map(key, substring.repeated_passages(docs).collect()))
+    sizes = [n for name, n in kept if name == "reference"]
+    assert len(sizes) == substring.ROUNDS and max(sizes) < sum(sizes) / 2 and sum(r[2] for r in got) >= 14 * 90
+    monkeypatch.setattr(substring, "ROUNDS", 1)
+    assert sorted(map(key, substring.repeated_passages(docs).collect())) == got
