@@ -20,7 +20,7 @@ from ..operators.lookup import with_audit, with_comments, with_unknown_member
 from ..operators.rates import rates_to_base
 from ..operators.scd2 import unknown_version, version_dimension
 from ..operators.version_store import VersionStore, one_of
-from ..session import path_exists, table_exists
+from ..session import path_exists, shuffles_freed, table_exists
 from . import dims, sales
 from .warehouse import COMMENTS
 
@@ -63,7 +63,8 @@ class DailyWarehouse:
         """
         days = events.withColumn(DAY, self._day(parse_epoch(F.col("time_stamp"))))
         path = f"{self._path('landing')}/batch={batch}"
-        days.hint("rebalance", DAY).write.mode("overwrite").partitionBy(DAY).parquet(path)
+        with shuffles_freed(self.spark):
+            days.hint("rebalance", DAY).write.mode("overwrite").partitionBy(DAY).parquet(path)
         # Counts come from the footers of the files just written.
         counts = self.spark.read.schema(days.schema).parquet(path).groupBy(DAY).agg(F.count(F.lit(1)).alias("documents"))
         counts.write.mode("overwrite").parquet(f"{self._path('ledger')}/batch={batch}")
@@ -117,9 +118,17 @@ class DailyWarehouse:
         ``lateness="merge"`` the touched days are found again from all that landed for them; with
         "drop" only order lines beyond the newest of the fact are added.
         """
+        with shuffles_freed(self.spark):
+            return self._load(raw_location, raw_product, landed_rates, mapping, lateness)
+
+    def _load(
+        self, raw_location: DataFrame, raw_product: DataFrame, landed_rates: DataFrame, mapping: DataFrame, lateness: str
+    ) -> list[date | None]:
         batches = self.open_batches()
         if not batches:
             return []
+        if lateness not in ("merge", "drop"):
+            raise ValueError(f"unknown lateness {lateness!r}")
         ledger = self.table("ledger").where(F.col("batch").cast("string").isin(batches))
         # One row per touched day.
         days = sorted((r[DAY] for r in ledger.select(DAY).distinct().collect()), key=lambda d: (d is not None, d or date.min))
@@ -136,27 +145,50 @@ class DailyWarehouse:
             landed_rates, currency.where(F.col("currency_key") != UNKNOWN_KEY),
             calendar.where(F.col("date_key") != F.lit(dims.UNKNOWN_DATE)),
         )
-        events = self.landed(days) if lateness == "merge" else new
-        fact = self._fact(events, days, product, location, ips, currency, store, calendar, mapping, rates)
-        if lateness == "merge":
-            self._write(fact, "overwrite")
-        elif lateness == "drop":
-            mark = self._mark()
-            self._write(after_mark(fact, "time_stamp", mark), "append")
-        else:
-            raise ValueError(f"unknown lateness {lateness!r}")
+        mark = self._mark() if lateness == "drop" else None
+        # A few days at a time, so that only their lines are in shuffles.
+        for some, until in self._day_groups(days, batches if lateness == "drop" else None):
+            events = self.landed(some) if lateness == "merge" else self.landed(some, batches)
+            fact = self._fact(events, some, product, location, ips, currency, store, calendar, mapping, rates, until)
+            if lateness == "merge":
+                self._write(fact, "overwrite")
+            else:
+                self._write(after_mark(fact, "time_stamp", mark), "append")
         for batch in batches:
             done = self.spark.range(1).select(F.lit(len(days)).alias("days"))
             done.write.mode("overwrite").parquet(f"{self._path('loaded')}/batch={batch}")
         return days
 
-    def _fact(self, events: DataFrame, days: list[date | None], product, location, ips, currency, store, calendar, mapping, rates):
-        """Order lines of the given days with their keys."""
+    def _day_groups(self, days: list[date | None], batches: Sequence[str] | None) -> list[tuple[list[date | None], date | None]]:
+        """The days in order, in groups of about as many documents, each with the first day of the next one."""
+        ledger = self.table("ledger").where(one_of(DAY, days))
+        if batches is not None:
+            ledger = ledger.where(F.col("batch").cast("string").isin(list(batches)))
+        # One row per touched day.
+        sizes = {r[DAY]: r["documents"] for r in ledger.groupBy(DAY).agg(F.sum("documents").alias("documents")).collect()}
+        total = sum(sizes.values())
+        wanted = max(1, min(sales.SLICES, -(-total // sales.SLICE_DOCUMENTS)))
+        groups: list[list[date | None]] = []
+        before, last = 0, -1
+        for day in days:
+            number = before * wanted // max(total, 1)
+            if number != last:
+                groups.append([])
+                last = number
+            groups[-1].append(day)
+            before += sizes.get(day, 0)
+        return [(group, after[0] if after else None) for group, after in zip(groups, [*groups[1:], None])]
+
+    def _fact(self, events: DataFrame, days: list[date | None], product, location, ips, currency, store, calendar, mapping, rates, until: date | None = None):
+        """Order lines of the given days, which end before ``until``, with their keys."""
         visits = sales.checkout_visits(events)
         known = [d for d in days if d is not None]
         since = datetime.combine(min(known), time(), timezone.utc) if known else datetime.now(timezone.utc) + timedelta(days=1)
         devices = visits.select(F.col("device").alias("customer_device_id")).distinct()
-        customer = self.customers.versions(since).join(devices, "customer_device_id", "left_semi")
+        versions = self.customers.versions(since)
+        if until is not None:
+            versions = versions.where(F.col("start_time") < F.lit(datetime.combine(until, time(), timezone.utc)))
+        customer = versions.join(devices, "customer_device_id", "left_semi")
         fact = sales.sales_fact(
             sales.order_lines(events, ips, together=sales.FACT_TOGETHER), visits=visits, customer=customer, product=product, location=location,
             currency=currency, store=store, calendar=calendar, mapping=mapping, rates=rates,
@@ -165,7 +197,9 @@ class DailyWarehouse:
 
     def _write(self, fact: DataFrame, mode: str) -> None:
         by_day = fact.withColumn(DAY, self._day(F.col("time_stamp")))
-        by_day.hint("rebalance", DAY).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(DAY).parquet(
+        # Lines of an order repeat most of their keys.
+        sorted_days = by_day.hint("rebalance", DAY).sortWithinPartitions(DAY, "time_stamp", "order_id")
+        sorted_days.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(DAY).parquet(
             self._path("fact_sales_order_detail")
         )
 

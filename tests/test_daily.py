@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from clickstar.operators.scd2 import build_versions
 from clickstar.operators.version_store import VersionStore
-from clickstar.plans import dims
+from clickstar.plans import dims, sales
 from clickstar.plans.daily import DailyWarehouse
 from clickstar.plans.warehouse import Warehouse
 from clickstar.sources.seeds import currency_mapping
@@ -161,6 +161,25 @@ def test_the_fact_grows_by_touched_days(spark, tmp_path, sources):
     assert daily.load(places, products, rates, mapping) == []
 
 
+def test_days_are_loaded_in_groups(spark, tmp_path, sources, monkeypatch):
+    places, products, rates, mapping = sources
+    rows = [order(n, n % 5, f"d{n % 3}", None if n % 2 else f"{n}@b.c") for n in range(20)]
+    unreadable = list(order(20, 0))
+    unreadable[9] = "n/a"
+    got = {}
+    for lateness in ("merge", "drop"):
+        for documents in (1000, 4):
+            monkeypatch.setattr(sales, "SLICE_DOCUMENTS", documents)
+            daily = DailyWarehouse(spark, f"{tmp_path}/{lateness}-{documents}", dt.date(2024, 12, 31))
+            daily.land(spark.createDataFrame([*rows, tuple(unreadable)], EVENTS), "b1")
+            days = daily.load(places, products, rates, mapping, lateness=lateness)
+            groups = daily._day_groups(days, None)
+            assert [d for group, _ in groups for d in group] == days and (len(groups) > 2) == (documents == 4)
+            assert [until for _, until in groups] == [*[group[0] for group, _ in groups[1:]], None]
+            got[lateness, documents] = facts(daily.table("fact_sales_order_detail"))
+    assert len({str(x) for x in got.values()}) == 1 and len(got["merge", 4]) == 21
+
+
 def test_only_touched_folders_are_opened(spark, tmp_path, sources):
     places, products, rates, mapping = sources
     daily = DailyWarehouse(spark, f"{tmp_path}/daily", dt.date(2024, 12, 31))

@@ -7,6 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from clickstar import session
 from clickstar.operators import candidates, dates, failures, increment, lookup, pages, quality, rates
 from clickstar.operators.first_n import first_n
 from clickstar.plans import dims, marts, sales
@@ -237,6 +238,41 @@ def test_increment_table(spark, tmp_path, partition):
         load("other", (9, 9, "x"))
 
 
+def test_parts_are_written_one_after_the_other(spark, tmp_path):
+    path, mark = str(tmp_path / "t"), tmp_path / "t" / "_SUCCESS"
+    first, second = keyed(spark, (1, None, "a"), (2, 5, "a")), keyed(spark, (3, 6, "b"))
+    broken = second.withColumn("v", F.raise_error(F.lit("broken")).cast("string"))
+    load = lambda *parts, **extra: rows_of(increment.increment_table(spark, path, parts, ["k"], "t", **extra))
+    with pytest.raises(Exception, match="broken"):
+        load(first, broken)
+    # A first write that broke between two parts does not count.
+    assert not mark.exists()
+    assert load(first, second) == [(1, None, "a"), (2, 5, "a"), (3, 6, "b")] and mark.exists()
+    more = [keyed(spark, (4, 7, "c")), keyed(spark, (5, 8, "d"))]
+    with pytest.raises(Exception, match="broken"):
+        load(first, more[0], more[1].withColumn("v", F.raise_error(F.lit("broken")).cast("string")))
+    assert load(first, second, *more) == [(1, None, "a"), (2, 5, "a"), (3, 6, "b"), (4, 7, "c"), (5, 8, "d")]
+    assert load(keyed(spark, (2, 1, "e")), keyed(spark, (6, 1, "f")), lateness="merge")[1:] == [
+        (2, 1, "e"), (3, 6, "b"), (4, 7, "c"), (5, 8, "d"), (6, 1, "f")]
+
+
+def shuffle_files(spark):
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {b.name() for b in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(manager.getAllBlocks()) if b.name().startswith("shuffle_")}
+
+
+def test_shuffle_files_end_with_a_write(spark, tmp_path):
+    setting = spark.conf.get(session.CLEANUP)
+    rows = spark.range(100).repartition(3, "id")
+    before = shuffle_files(spark)
+    rows.write.parquet(str(tmp_path / "kept"))
+    kept = shuffle_files(spark) - before
+    with session.shuffles_freed(spark):
+        rows.write.parquet(str(tmp_path / "freed"))
+    assert kept and not shuffle_files(spark) - before - kept
+    assert spark.conf.get(session.CLEANUP) == setting
+
+
 def test_broken_first_write_is_repeated(spark, tmp_path):
     (tmp_path / "t" / "_temporary").mkdir(parents=True)
     assert increment.increment_table(spark, str(tmp_path / "t"), keyed(spark, (1, 1, "a")), ["k"], "t").count() == 1
@@ -395,6 +431,33 @@ def test_star_schema_increments(spark, tmp_path):
     assert orders(star(spark, root, late_and_new[1:], refresh=True)) == ["late", "o2"]
 
 
+def test_star_schema_in_slices(spark, tmp_path, monkeypatch):
+    """The fact is the same whether it is built whole or by stretches of time, with lines brought together or not."""
+    documents = [
+        order(f"o{i // 2}", "bad" if i % 9 == 8 else str(T0 + i // 2 % 7 * 9000), [("p1", "€", "2", "10"), (f"x{i % 3}", "€", "1", "1")],
+              device=f"d{i % 4}", ip="1.1.1.1" if i % 3 else None)
+        for i in range(40)
+    ]
+    rows = lambda built: sorted(map(str, built.table("fact_sales_order_detail").collect()))
+    whole = rows(star(spark, str(tmp_path / "whole"), documents))
+    monkeypatch.setattr(sales, "SLICE_DOCUMENTS", 9)
+    monkeypatch.setattr(sales, "MANY_PRODUCTS", 1)
+    events = spark.createDataFrame(documents, DOCUMENT)
+    slices = sales.time_slices(events)
+    assert len(slices) > 2 and slices[0][0] is None and slices[-1][1] is None
+    assert [a[1] for a in slices[:-1]] == [b[0] for b in slices[1:]]
+    sliced = star(spark, str(tmp_path / "sliced"), documents)
+    assert rows(sliced) == whole and rows(star(spark, str(tmp_path / "sliced"), documents)) == whole
+    assert rows(star(spark, str(tmp_path / "sliced"), documents, refresh=True)) == whole
+
+
+def test_stretches_without_any_time(spark, monkeypatch):
+    monkeypatch.setattr(sales, "SLICE_DOCUMENTS", 1)
+    for times, want in ((["bad", None], [(None, None)]), ([str(T0)] * 3, [(None, T0 * 10**6), (T0 * 10**6, None)]), ([], [(None, None)])):
+        events = spark.createDataFrame([order(str(i), t, None) for i, t in enumerate(times)], DOCUMENT)
+        assert sales.time_slices(events) == want
+
+
 def test_fact_plan(spark):
     """The sales fact must contain no join that compares all pairs."""
     from clickstar.plans import adapter, catalogue
