@@ -16,8 +16,10 @@ from .common import text_bytes, word_blocks, worker_store, written
 
 WINDOW = 2048
 END_ID = 1
+# Rows that a task works on at a time, so that ids of few rows are in memory.
+ROWS = 512
 # Pieces and words whose ids a worker remembers.
-REMEMBERED = 250_000
+REMEMBERED = 150_000
 
 # Byte → the letter that stands for it in the file.
 BYTE_LETTERS = {byte: letter for letter, byte in byte_letters().items()}
@@ -27,6 +29,8 @@ BYTE_LETTERS = {byte: letter for letter, byte in byte_letters().items()}
 _LETTERS = "a-zªµºß-öø-ÿ"
 _PLAIN = re.compile(r"[!-~ªµºÀ-ÖØ-öø-ÿ]+")
 _PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^0-9{_LETTERS}]+")
+# Most words are ASCII letters, with such signs at most behind them: the letters are a piece, the signs another.
+_SIGNS = b".,;:!?)\"'"
 
 
 class Known(dict):
@@ -65,7 +69,10 @@ class TextIds:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.model = self.tokenizer.model
-        self.kind = np.dtype("<u4" if self.tokenizer.get_vocab_size() > 1 << 16 else "<u2")
+        size = self.tokenizer.get_vocab_size()
+        self.kind = np.dtype("<u4" if size > 1 << 16 else "<u2")
+        # Each id in its bytes.
+        self.packs = [np.array(i, self.kind).tobytes() for i in range(size)]
         self.pieces, self.words = Known(self._piece), Known(self._word)
         # Whether the pattern above is that of the file.
         self.known = True
@@ -81,17 +88,26 @@ class TextIds:
 
     def _piece(self, piece: str) -> bytes:
         letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(BYTE_LETTERS)
-        return self._packed([token.id for token in self.model.tokenize(letters)])
+        packs = self.packs
+        made = [packs[token.id] for token in self.model.tokenize(letters)]
+        return made[0] if len(made) == 1 else b"".join(made)
 
     def _word(self, word: bytes) -> bytes:
+        head = word.rstrip(_SIGNS)
+        if self.known and head.isalpha():
+            ids = self.pieces[head.lower().decode()]
+            return ids if len(head) == len(word) else ids + self.pieces[word[len(head) :].decode()]
         text = word.decode()
         if self.known and "<|" not in text and _PLAIN.fullmatch(text):
             pieces = _PIECES.findall(text.lower())
-            return self.pieces[pieces[0]] if len(pieces) == 1 else b"".join(map(self.pieces.__getitem__, pieces))
+            return self.pieces[pieces[0]] if len(pieces) == 1 else b"".join([self.pieces[piece] for piece in pieces])
         return self._library(text)
 
     def of_text(self, text: bytes, end: int) -> bytes:
         ids_of = self.words.__getitem__
+        if self.known and b"<|" not in text:
+            # A-Z and a-z have the same ids, but for the names of special tokens.
+            text = text.lower()
         return b"".join([*(b"".join(map(ids_of, words)) for words in word_blocks(text)), self._packed([end])])
 
 
@@ -102,6 +118,12 @@ def text_ids(path: str) -> TextIds:
     return store["text_ids"]
 
 
+def few_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS):
+            yield batch.slice(start, ROWS)
+
+
 def tokens(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
     """(part, at, doc_id, n, width, ids): ids of each row with ``end_id``, in 16 or 32 bits.
 
@@ -111,7 +133,7 @@ def tokens(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, at, known = TaskContext.get().partitionId(), 0, text_ids(path)
-        for batch in batches:
+        for batch in few_rows(batches):
             made = [known.of_text(t.as_py(), end_id) for t in batch.column(1)]
             width = known.kind.itemsize
             sizes = np.array([len(m) // width for m in made], np.int64)
@@ -151,7 +173,7 @@ def pack(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END_ID)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
-        for batch in batches:
+        for batch in few_rows(batches):
             rows, ids = [], []
             for doc, first, n, width, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 made = np.frombuffer(data, f"<u{width}").astype("<u4")

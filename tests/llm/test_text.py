@@ -73,6 +73,19 @@ def test_word_ids_are_those_of_the_library():
         assert np.frombuffer(mine.of_text(text.encode(), 1), mine.kind).tolist() == [*library.encode(text, add_special_tokens=False).ids, 1]
 
 
+def test_a_word_is_worked_out_once_in_all_its_cases():
+    path = tokenizer_path("word_bpe_49k.json")
+    library, mine = Tokenizer.from_file(path), packing.TextIds(path)
+    worked_out, mine.words.work_out = [], lambda word: worked_out.append(word) or mine._word(word)
+    ids = np.frombuffer(mine.of_text(b"Harbour HARBOUR harbour harbour, HarBour, harbour", 1), mine.kind).tolist()
+    assert worked_out == [b"harbour", b"harbour,"]
+    assert ids == [*library.encode("Harbour HARBOUR harbour harbour, HarBour, harbour", add_special_tokens=False).ids, 1]
+    # Names of special tokens count in their own case alone.
+    for text in ("A<|endoftext|>B", "A<|ENDOFTEXT|>B", "A <|Endoftext|> b <|startoftext|>", "It'S WE'LL ''s \"Don't\").", "ÉTÉ É́ İ Kelvin."):
+        got = np.frombuffer(mine.of_text(text.encode(), 1), mine.kind).tolist()
+        assert got == [*library.encode(text, add_special_tokens=False).ids, 1]
+
+
 @pytest.mark.parametrize("window", [16, 2048])
 def test_packing(odd_docs, no_docs, odd_rows, window):
     path = tokenizer_path("word_bpe_49k.json")
