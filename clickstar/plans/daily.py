@@ -146,10 +146,14 @@ class DailyWarehouse:
             calendar.where(F.col("date_key") != F.lit(dims.UNKNOWN_DATE)),
         )
         mark = self._mark() if lateness == "drop" else None
+        many = product.count() >= sales.MANY_PRODUCTS
         # A few days at a time, so that only their lines are in shuffles.
-        for some, until in self._day_groups(days, batches if lateness == "drop" else None):
+        for some, until in self._day_groups(days, batches if lateness == "drop" else None, apart=many):
             events = self.landed(some) if lateness == "merge" else self.landed(some, batches)
-            fact = self._fact(events, some, product, location, ips, currency, store, calendar, mapping, rates, until)
+            sold = sales.sold_products(events) if many and None not in some else None
+            fact = self._fact(
+                events, some, product, location, ips, currency, store, calendar, mapping, rates, until, sold
+            )
             if lateness == "merge":
                 self._write(fact, "overwrite")
             else:
@@ -159,8 +163,13 @@ class DailyWarehouse:
             done.write.mode("overwrite").parquet(f"{self._path('loaded')}/batch={batch}")
         return days
 
-    def _day_groups(self, days: list[date | None], batches: Sequence[str] | None) -> list[tuple[list[date | None], date | None]]:
-        """The days in order, in groups of about as many documents, each with the first day of the next one."""
+    def _day_groups(
+        self, days: list[date | None], batches: Sequence[str] | None, apart: bool = False
+    ) -> list[tuple[list[date | None], date | None]]:
+        """The days in order, in groups of about as many documents, each with the first day of the next one.
+
+        ``apart`` gives events without a time a group of their own.
+        """
         ledger = self.table("ledger").where(one_of(DAY, days))
         if batches is not None:
             ledger = ledger.where(F.col("batch").cast("string").isin(list(batches)))
@@ -172,14 +181,14 @@ class DailyWarehouse:
         before, last = 0, -1
         for day in days:
             number = before * wanted // max(total, 1)
-            if number != last:
+            if number != last or (apart and groups[-1] == [None]):
                 groups.append([])
                 last = number
             groups[-1].append(day)
             before += sizes.get(day, 0)
         return [(group, after[0] if after else None) for group, after in zip(groups, [*groups[1:], None])]
 
-    def _fact(self, events: DataFrame, days: list[date | None], product, location, ips, currency, store, calendar, mapping, rates, until: date | None = None):
+    def _fact(self, events: DataFrame, days: list[date | None], product, location, ips, currency, store, calendar, mapping, rates, until: date | None = None, sold: DataFrame | None = None):
         """Order lines of the given days, which end before ``until``, with their keys."""
         visits = sales.checkout_visits(events)
         known = [d for d in days if d is not None]
@@ -191,7 +200,7 @@ class DailyWarehouse:
         customer = versions.join(devices, "customer_device_id", "left_semi")
         fact = sales.sales_fact(
             sales.order_lines(events, ips, together=sales.FACT_TOGETHER), visits=visits, customer=customer, product=product, location=location,
-            currency=currency, store=store, calendar=calendar, mapping=mapping, rates=rates,
+            currency=currency, store=store, calendar=calendar, mapping=mapping, rates=rates, sold=sold,
         )
         return with_comments(with_audit(fact, today=self.today), COMMENTS)
 

@@ -180,6 +180,41 @@ def test_days_are_loaded_in_groups(spark, tmp_path, sources, monkeypatch):
     assert len({str(x) for x in got.values()}) == 1 and len(got["merge", 4]) == 21
 
 
+def test_many_products_are_looked_up_by_time(spark, tmp_path, sources, monkeypatch):
+    """The rows are those of the plain lookup, with lines without a time, product or match; lines stay where they are."""
+    places, products, rates, mapping = sources
+    rows = [order(n, n % 5, f"d{n % 3}") for n in range(12)]
+    unreadable = list(order(12, 0))
+    unreadable[9] = "n/a"
+    got = []
+    for many in (10**6, 1):
+        monkeypatch.setattr(sales, "MANY_PRODUCTS", many)
+        monkeypatch.setattr(sales, "SLICE_DOCUMENTS", 5)
+        daily = DailyWarehouse(spark, f"{tmp_path}/{many}", dt.date(2024, 12, 31))
+        daily.land(spark.createDataFrame([*rows, tuple(unreadable)], EVENTS), "b1")
+        days = daily.load(places, products, rates, mapping)
+        groups = [group for group, _ in daily._day_groups(days, None, apart=many == 1)]
+        assert [d for group in groups for d in group] == days and (groups[0] == [None] or many > 1)
+        got.append(facts(daily.table("fact_sales_order_detail")))
+    assert got[0] == got[1] and len(got[0]) == 13
+
+    lines = spark.createDataFrame(
+        [(1, "p1", "a"), (1, "p1", "b"), (1, "p2", "c"), (2, "p9", "d"), (2, None, "e"), (3, "p3", "f")], "t int, product_id string, line string"
+    ).withColumn("time_stamp", F.timestamp_seconds("t")).drop("t")
+    dim = spark.createDataFrame([("p1", "k1"), ("p2", "k2"), ("p3", "k3"), ("p3", "k4"), (None, "k5")], "product_id string, product_key string")
+    monkeypatch.setattr(sales, "MANY_PRODUCTS", 1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = sales.lookup_sold(lines.repartition("time_stamp"), dim, lines.select("time_stamp", "product_id"))
+        assert sorted((r.line, r.product_key) for r in found.collect() if r.product_key) == [
+            ("a", "k1"), ("b", "k1"), ("c", "k2"), ("f", "k3"), ("f", "k4")]
+        assert found.count() == 7
+        moved = re.findall(r"Exchange\n(?:Input \[\d+\]: )(.*)\nArguments: (\S+)", formatted(found))
+        assert moved and all("(time_stamp" in how for what, how in moved if "line#" in what)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_only_touched_folders_are_opened(spark, tmp_path, sources):
     places, products, rates, mapping = sources
     daily = DailyWarehouse(spark, f"{tmp_path}/daily", dt.date(2024, 12, 31))
