@@ -145,6 +145,7 @@ class DailyWarehouse:
             landed_rates, currency.where(F.col("currency_key") != UNKNOWN_KEY),
             calendar.where(F.col("date_key") != F.lit(dims.UNKNOWN_DATE)),
         )
+        near_ips = sales.small_side(ips)
         mark = self._mark() if lateness == "drop" else None
         many = product.count() >= sales.MANY_PRODUCTS
         # A few days at a time, so that only their lines are in shuffles.
@@ -152,7 +153,7 @@ class DailyWarehouse:
             events = self.landed(some) if lateness == "merge" else self.landed(some, batches)
             sold = sales.sold_products(events) if many and None not in some else None
             fact = self._fact(
-                events, some, product, location, ips, currency, store, calendar, mapping, rates, until, sold
+                events, some, product, location, near_ips, currency, store, calendar, mapping, rates, until, sold
             )
             if lateness == "merge":
                 self._write(fact, "overwrite")
